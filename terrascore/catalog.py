@@ -274,3 +274,193 @@ def q_pivot(spark, sf):
 def q_assessment(spark, sf):
     f = fact(spark, sf)
     return M.assessment_dataset(f, M.dim_location(stg_inputs(spark, sf)[3]))
+
+
+# ---- rasters, spatial join, zonal statistics, extraction jobs --------------
+
+from .config import PipelineConfig  # noqa: E402
+from .operators import raster as R  # noqa: E402
+from .operators import spatial as SP  # noqa: E402
+from .plans import extract as X  # noqa: E402
+
+TEST_CFG = PipelineConfig(start_date=O.RUN_START, end_date=O.RUN_END, series=TD.TEST_SERIES, cell_deg=0.1)
+_SPEC = {s.name: s for s in TD.TEST_SERIES}
+
+
+def regions(spark, sf):
+    return SP.regions(TD.polygon_features(spark, sf))
+
+
+def index(spark, sf, cfg: PipelineConfig = TEST_CFG):
+    return X.build_index(regions(spark, sf), cfg)
+
+
+def data_grid(spark, sf):
+    px = TD.pixels(spark, sf)
+    bounds = px.agg(F.trunc(F.min("image_date"), "year").alias("s"),
+                    F.make_date(F.year(F.max("image_date")), F.lit(12), F.lit(31)).alias("e"))
+    return R.month_grid_from(bounds, "s", "e")
+
+
+@register("ras_month_grid", O.sql("SELECT * FROM data_grid", "data_grid"))
+def q_month_grid(spark, sf):
+    return data_grid(spark, sf)
+
+
+@register("ras_empty_months", O.sql(
+    "SELECT b.band, g.month, g.month_str FROM (SELECT DISTINCT band FROM pixels) b CROSS JOIN data_grid g "
+    "WHERE NOT EXISTS (SELECT 1 FROM pixels p WHERE p.band = b.band "
+    "AND CAST(date_trunc('month', p.image_date) AS DATE) = g.month)", "pixels", "data_grid"))
+def q_empty_months(spark, sf):
+    return R.empty_months(data_grid(spark, sf), TD.pixels(spark, sf))
+
+
+_PX_DOUBLES = ("lon", "lat", "value")
+
+
+@register("ras_date_range", O.sql(
+    f"SELECT * FROM pixels WHERE image_date >= DATE '{O.RUN_START}' AND image_date < DATE '1998-07-01'",
+    "pixels", doubles=_PX_DOUBLES))
+def q_date_range(spark, sf):
+    return R.date_range(TD.pixels(spark, sf), O.RUN_START, "1998-07-01")
+
+
+@register("ras_month_window", O.sql(
+    "SELECT band, month, count(*) AS n_images, count(DISTINCT image_date) AS n_dates FROM px_window "
+    "GROUP BY band, month", "px_window"))
+def q_month_window(spark, sf):
+    p = R.date_range(TD.pixels(spark, sf), TEST_CFG.start_date, TEST_CFG.end_date)
+    w = R.month_window(p, R.month_grid(spark, TEST_CFG.start_date, TEST_CFG.end_date))
+    return w.groupBy("band", "month").agg(F.count(F.lit(1)).alias("n_images"),
+                                         F.countDistinct("image_date").alias("n_dates"))
+
+
+def _window(spark, sf, band):
+    p = R.band_select(R.date_range(TD.pixels(spark, sf), TEST_CFG.start_date, TEST_CFG.end_date), band)
+    return R.month_window(p, R.month_grid(spark, TEST_CFG.start_date, TEST_CFG.end_date))
+
+
+@register("ras_composite_mean", O.sql("SELECT * FROM comp_a_mean", "comp_a_mean", doubles=_PX_DOUBLES))
+def q_comp_mean(spark, sf):
+    return R.composite(_window(spark, sf, "A"), "mean")
+
+
+@register("ras_composite_sum", O.sql("SELECT * FROM comp_r_sum", "comp_r_sum", doubles=_PX_DOUBLES))
+def q_comp_sum(spark, sf):
+    return R.composite(_window(spark, sf, "R"), "sum")
+
+
+@register("ras_band_select", O.sql(
+    "SELECT image_date, band, ix, iy, lon, lat, value AS temperature FROM pixels WHERE band = 'N'",
+    "pixels", doubles=("lon", "lat", "temperature")))
+def q_band_select(spark, sf):
+    return R.band_select(TD.pixels(spark, sf), "N", "temperature")
+
+
+@register("ras_band_math", O.sql("SELECT * FROM comp_temperature", "comp_temperature", doubles=_PX_DOUBLES))
+def q_band_math(spark, sf):
+    s = _SPEC["temperature"]
+    return R.band_math(R.composite(_window(spark, sf, s.band), s.temporal), s.scale_factor, s.offset)
+
+
+_SOIL_NAMES = tuple(n for _, n in TEST_CFG.soil_bands)
+
+
+@register("ras_static_stack", O.sql("SELECT * FROM static_stack", "static_stack",
+                                    doubles=("lon", "lat", *_SOIL_NAMES)))
+def q_static_stack(spark, sf):
+    return R.stack_bands(TD.static_pixels(spark, sf), TEST_CFG.soil_bands)
+
+
+@register("ras_grid_snap", O.sql(
+    "SELECT month, gx AS ix, gy AS iy, (CAST(gx AS DOUBLE) + 0.5::DOUBLE) * 0.2::DOUBLE AS lon, "
+    "(CAST(gy AS DOUBLE) + 0.5::DOUBLE) * 0.2::DOUBLE AS lat, value, n_pixels FROM ("
+    "SELECT month, CAST(floor(lon / 0.2::DOUBLE) AS BIGINT) AS gx, CAST(floor(lat / 0.2::DOUBLE) AS BIGINT) AS gy, "
+    "avg(value) AS value, count(*) AS n_pixels FROM comp_a_mean GROUP BY 1, 2, 3)",
+    "comp_a_mean", doubles=_PX_DOUBLES))
+def q_grid_snap(spark, sf):
+    return R.snap_to_grid(R.composite(_window(spark, sf, "A"), "mean"), 0.2, keys=("month",))
+
+
+@register("ras_regions", O.sql(
+    "SELECT region_id, field_id, x1, y1, x2, y2 FROM poly_edges", "poly_edges",
+    doubles=("x1", "y1", "x2", "y2")))
+def q_regions(spark, sf):
+    e = SP.region_edges(regions(spark, sf))
+    return e.filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))).drop("edge_no")
+
+
+@register("ras_point_in_polygon", O.sql(
+    "SELECT i.region_id, i.field_id, c.ix, c.iy FROM inside i JOIN "
+    "(SELECT DISTINCT ix, iy FROM pixels) c ON c.ix = i.ix AND c.iy = i.iy", "inside", "pixels"))
+def q_pip(spark, sf):
+    cells = TD.pixels(spark, sf).select("ix", "iy", "lon", "lat").distinct()
+    return SP.pixels_in_regions(cells, index(spark, sf)).select("region_id", "field_id", "ix", "iy")
+
+
+@register("ras_clip", O.sql(
+    "SELECT * FROM comp_a_mean c WHERE EXISTS (SELECT 1 FROM inside i WHERE i.ix = c.ix AND i.iy = c.iy)",
+    "comp_a_mean", "inside", doubles=_PX_DOUBLES))
+def q_clip(spark, sf):
+    return SP.clip(R.composite(_window(spark, sf, "A"), "mean"), index(spark, sf), exact=True)
+
+
+@register("ras_zonal_mean", O.sql(
+    "SELECT i.region_id, i.field_id, c.month, avg(c.value) AS value FROM comp_a_mean c JOIN inside i "
+    "ON c.ix = i.ix AND c.iy = i.iy GROUP BY i.region_id, i.field_id, c.month", "comp_a_mean", "inside",
+    doubles=("value",)))
+def q_zonal_mean(spark, sf):
+    return SP.zonal_stats(R.composite(_window(spark, sf, "A"), "mean"), index(spark, sf), "mean")
+
+
+@register("ras_zonal_sum", O.sql(
+    "SELECT i.region_id, i.field_id, c.month, sum(c.value) AS value FROM comp_r_sum c JOIN inside i "
+    "ON c.ix = i.ix AND c.iy = i.iy GROUP BY i.region_id, i.field_id, c.month", "comp_r_sum", "inside",
+    doubles=("value",)))
+def q_zonal_sum(spark, sf):
+    return SP.zonal_stats(R.composite(_window(spark, sf, "R"), "sum"), index(spark, sf), "sum")
+
+
+@register("ras_zonal_soil", O.sql("SELECT * FROM zonal_soil", "zonal_soil", doubles=_SOIL_NAMES))
+def q_zonal_soil(spark, sf):
+    stack = R.stack_bands(TD.static_pixels(spark, sf), TEST_CFG.soil_bands)
+    return SP.zonal_stats_multi(stack, index(spark, sf), _SOIL_NAMES)
+
+
+@register("ras_centroid", O.sql("SELECT * FROM centroids", "centroids", doubles=("lon", "lat")))
+def q_centroid(spark, sf):
+    return SP.centroids(regions(spark, sf))
+
+
+def job(spark, sf, name: str):
+    return X.extract_series(spark, TD.pixels(spark, sf), index(spark, sf), _SPEC[name], TEST_CFG)
+
+
+def job_soil(spark, sf):
+    r = regions(spark, sf)
+    return X.extract_static(TD.static_pixels(spark, sf), r, X.build_index(r, TEST_CFG), TEST_CFG)
+
+
+for _name in ("ndvi", "temperature", "rainfall"):
+    def _mk(name):
+        @register(f"job_{name}", O.sql(f"SELECT * FROM job_{name}", f"job_{name}", doubles=(name,)))
+        def q(spark, sf):
+            return job(spark, sf, name)
+        return q
+    _mk(_name)
+
+
+@register("job_soil", O.sql("SELECT * FROM job_soil", "job_soil", doubles=(*_SOIL_NAMES, "lat", "lon")))
+def q_job_soil(spark, sf):
+    return job_soil(spark, sf)
+
+
+@register("set_union_months", O.sql(
+    "SELECT field_id, 'ndvi' AS measure, ndvi AS value, date FROM job_ndvi UNION ALL "
+    "SELECT field_id, 'temperature', temperature, date FROM job_temperature UNION ALL "
+    "SELECT field_id, 'rainfall', rainfall, date FROM job_rainfall",
+    "job_ndvi", "job_temperature", "job_rainfall", doubles=("value",)))
+def q_union(spark, sf):
+    parts = [job(spark, sf, n).select("field_id", F.lit(n).alias("measure"), F.col(n).alias("value"), "date")
+             for n in ("ndvi", "temperature", "rainfall")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
