@@ -464,3 +464,181 @@ def q_union(spark, sf):
     parts = [job(spark, sf, n).select("field_id", F.lit(n).alias("measure"), F.col(n).alias("value"), "date")
              for n in ("ndvi", "temperature", "rainfall")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---- sources and sinks (write to the shared scratch folder, read back) -------
+
+from .session import scratch_path  # noqa: E402
+from .sources import geojson as GJ  # noqa: E402
+from .sources import tables as TB  # noqa: E402
+from . import schemas as SC  # noqa: E402
+
+
+def _write_polygons(spark, sf, with_id: bool) -> str:
+    """Polygons derived from supplier, written as one FeatureCollection per
+    nation (features ordered by supplier key)."""
+    feats = TD.polygon_features(spark, sf)
+    sup = TD.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("region_id"), "s_nationkey")
+    feats = feats.join(sup, "region_id").withColumn("supplier", F.col("region_id").cast("string"))
+    props = ["field_id", "supplier"] if with_id else ["supplier"]
+    path = scratch_path(spark, "geojson")
+    GJ.write_feature_collections(GJ.features_json(feats, props), path, "s_nationkey", "region_id")
+    return path
+
+
+def _parsed_shape(df):
+    from .functions import geometry as G
+    parts = G.parts_from_geojson("geom_type", "coordinates")
+    box = G.bbox(parts)
+    return df.select(
+        "*", F.size(G.geometry_points(parts)).cast("long").alias("n_points"),
+        *[v.alias(k) for k, v in box.items()])
+
+
+_GEO_ORACLE_SHAPE = (
+    "SELECT region_id, count(*) AS n_points, min(x) AS min_x, min(y) AS min_y, max(x) AS max_x, max(y) AS max_y "
+    "FROM poly_vertices GROUP BY region_id")
+_BOX = ("min_x", "min_y", "max_x", "max_y")
+
+
+@register("src_geojson", O.sql(
+    "SELECT p.field_id, CAST(s.s_nationkey AS BIGINT) AS nation, 'Polygon' AS geom_type, "
+    "CAST(p.region_id AS VARCHAR) AS supplier, v.n_points, v.min_x, v.min_y, v.max_x, v.max_y "
+    f"FROM poly_params p JOIN supplier s ON s.s_suppkey = p.region_id JOIN ({_GEO_ORACLE_SHAPE}) v "
+    "ON v.region_id = p.region_id", "poly_params", "poly_vertices", doubles=_BOX))
+def q_src_geojson(spark, sf):
+    f = GJ.read_geojson(spark, _write_polygons(spark, sf, with_id=True))
+    f = f.withColumn("nation", F.regexp_extract("file", r"s_nationkey=(\d+)", 1).cast("long"))
+    return _parsed_shape(f).select("field_id", "nation", "geom_type", F.col("properties")["supplier"].alias("supplier"),
+                                   "n_points", *_BOX)
+
+
+@register("src_geojson_default_id", O.sql(
+    "SELECT 'field_' || CAST(row_number() OVER (PARTITION BY s.s_nationkey ORDER BY s.s_suppkey) - 1 AS VARCHAR) "
+    "AS field_id, CAST(s.s_nationkey AS BIGINT) AS nation, CAST(s.s_suppkey AS VARCHAR) AS supplier, v.n_points "
+    f"FROM supplier s JOIN ({_GEO_ORACLE_SHAPE}) v ON v.region_id = s.s_suppkey", "poly_vertices"))
+def q_src_geojson_default_id(spark, sf):
+    f = GJ.read_geojson(spark, _write_polygons(spark, sf, with_id=False))
+    f = f.withColumn("nation", F.regexp_extract("file", r"s_nationkey=(\d+)", 1).cast("long"))
+    return _parsed_shape(f).select("field_id", "nation", F.col("properties")["supplier"].alias("supplier"), "n_points")
+
+
+@register("src_polygons_table", O.sql(
+    "SELECT field_id, 'Polygon' AS geom_type, CAST(count(DISTINCT ring) AS BIGINT) AS n_rings "
+    "FROM poly_vertices GROUP BY region_id, field_id", "poly_vertices"))
+def q_src_polygons_table(spark, sf):
+    path = scratch_path(spark, "cropland_polygons")
+    feats = GJ.read_geojson(spark, _write_polygons(spark, sf, with_id=True))
+    TB.write_replace(GJ.polygons_table(feats), path)
+    t = spark.read.schema(SC.CROPLAND_POLYGONS).parquet(path)
+    return t.select("field_id", F.get_json_object("geometry", "$.type").alias("geom_type"),
+                    F.json_array_length(F.get_json_object("geometry", "$.coordinates")).cast("long").alias("n_rings"))
+
+
+@register("sink_append", O.sql("SELECT * FROM job_ndvi", "job_ndvi", doubles=("ndvi",)))
+def q_sink_append(spark, sf):
+    path = scratch_path(spark, "ndvi_raw")
+    rows = job(spark, sf, "ndvi")
+    TB.write_append(rows, path, idempotent=True)
+    TB.write_append(rows, path, idempotent=True)     # rerun replaces its months
+    return spark.read.schema(SC.NDVI_RAW).parquet(path)
+
+
+@register("sink_append_duplicates", O.sql(
+    "SELECT * FROM job_ndvi UNION ALL SELECT * FROM job_ndvi", "job_ndvi", doubles=("ndvi",)))
+def q_sink_append_dup(spark, sf):
+    path = scratch_path(spark, "ndvi_raw_append")
+    rows = job(spark, sf, "ndvi")
+    TB.write_append(rows, path, idempotent=False)
+    TB.write_append(rows, path, idempotent=False)    # plain append: a rerun duplicates
+    return spark.read.schema(SC.NDVI_RAW).parquet(path)
+
+
+@register("sink_replace", O.sql("SELECT * FROM job_soil", "job_soil", doubles=(*_SOIL_NAMES, "lat", "lon")))
+def q_sink_replace(spark, sf):
+    path = scratch_path(spark, "soil_raw")
+    rows = job_soil(spark, sf)
+    TB.write_replace(rows, path)
+    TB.write_replace(rows, path)
+    return spark.read.schema(SC.SOIL_RAW).parquet(path)
+
+
+@register("src_thresholds_csv", O.sql("SELECT * FROM thresholds", "thresholds",
+                                      doubles=("optimal_min", "optimal_max", "acceptable_min", "acceptable_max")))
+def q_thresholds_csv(spark, sf):
+    path = scratch_path(spark, "dim_thresholds_csv")
+    TB.write_thresholds_csv(seed_thresholds(spark), path)
+    return TB.read_thresholds_csv(spark, path)
+
+
+# ---- end-to-end build, reports, checks ---------------------------------------
+
+from .plans import pipeline as PL  # noqa: E402
+from .plans import quality as QC  # noqa: E402
+from .plans import reports as RP  # noqa: E402
+
+
+@register("pipeline_build_all", O.sql("SELECT * FROM b_assessment", "b_assessment", doubles=ASSESS_DOUBLES))
+def q_build_all(spark, sf):
+    root = scratch_path(spark, "build")
+    rep = PL.build_all(spark, TEST_CFG, TD.polygon_features(spark, sf), TD.pixels(spark, sf),
+                       TD.static_pixels(spark, sf), seed_thresholds(spark), root=root)
+    return rep["layout"].read(spark, "marts", "assessment_dataset")
+
+
+@register("report_spatial", O.sql(
+    "SELECT CAST(floor(l.latitude / 1.0::DOUBLE) AS BIGINT) AS cell_lat, "
+    "CAST(floor(l.longitude / 1.0::DOUBLE) AS BIGINT) AS cell_lon, count(*) AS n_fields, "
+    "avg(f.field_score) AS avg_total_score, min(f.field_score) AS min_field_score, "
+    "max(f.field_score) AS max_field_score FROM (SELECT field_id, avg(total_suitability_score) AS field_score "
+    "FROM fact GROUP BY field_id) f JOIN dim_location l ON f.field_id = l.field_id GROUP BY 1, 2",
+    "fact", "dim_location", doubles=("avg_total_score", "min_field_score", "max_field_score")))
+def q_report_spatial(spark, sf):
+    return RP.report_spatial(fact(spark, sf), M.dim_location(stg_inputs(spark, sf)[3]))
+
+
+_SOIL_MEAN_SQL = "(" + " + ".join(f"{s}_score" for s in SOIL_FEATURES) + f") / {O.dbl(5)}"
+
+
+@register("report_factors", O.sql(
+    "SELECT agricultural_period, factor, avg(score) AS avg_score, avg(contribution) AS avg_contribution FROM ("
+    + " UNION ALL ".join(
+        f"SELECT agricultural_period, '{n}' AS factor, {('(' + _SOIL_MEAN_SQL + ')') if n == 'soil' else n + '_score'} "
+        f"AS score, {('(' + _SOIL_MEAN_SQL + ')') if n == 'soil' else n + '_score'} * {O.dbl(w)} AS contribution "
+        "FROM fact" for n, w in (("temperature", 0.4), ("rainfall", 0.3), ("ndvi", 0.2), ("soil", 0.1)))
+    + ") GROUP BY agricultural_period, factor", "fact", doubles=("avg_score", "avg_contribution")))
+def q_report_factors(spark, sf):
+    return RP.report_factors(fact(spark, sf))
+
+
+@register("report_trends", O.sql(
+    "SELECT d.year, f.agricultural_period, count(*) AS n_rows, avg(f.ndvi) AS avg_ndvi, "
+    "avg(f.temperature) AS avg_temperature, avg(f.rainfall) AS avg_rainfall, "
+    "avg(f.total_suitability_score) AS avg_total_score FROM fact f JOIN dim_date d ON f.date = d.date "
+    "GROUP BY d.year, f.agricultural_period", "fact", "dim_date",
+    doubles=("avg_ndvi", "avg_temperature", "avg_rainfall", "avg_total_score")))
+def q_report_trends(spark, sf):
+    h = harmonized(spark, sf)
+    return RP.report_trends(S.fact_suitability(h, seed_thresholds(spark)), M.dim_date(h, ordered=False))
+
+
+_IN_RANGE = " AND ".join(f"{c} BETWEEN 0.0::DOUBLE AND 1.0::DOUBLE" for c in
+                         [f"{f}_score" for f in SEASONAL_FEATURES + SOIL_FEATURES] + ["total_suitability_score"])
+
+
+@register("quality_checks", O.sql(
+    "SELECT 'fact_unique_field_date' AS \"check\", CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS failing FROM "
+    "(SELECT count(*) AS n FROM fact GROUP BY field_id, date HAVING count(*) > 1) UNION ALL "
+    "SELECT 'fact_not_null_keys', CAST(count(*) FILTER (WHERE field_id IS NULL OR date IS NULL) AS BIGINT) FROM fact "
+    "UNION ALL SELECT 'fact_season_accepted', CAST(count(*) FILTER (WHERE NOT coalesce(agricultural_period IN "
+    "('germination_early_growth', 'vegetative_growth', 'sugar_accumulation', 'other_period'), false)) AS BIGINT) "
+    f"FROM fact UNION ALL SELECT 'fact_scores_in_unit_range', CAST(count(*) FILTER (WHERE NOT coalesce({_IN_RANGE}, "
+    "false)) AS BIGINT) FROM fact UNION ALL SELECT 'fact_field_in_dim_location', CAST(count(*) AS BIGINT) FROM "
+    "(SELECT DISTINCT field_id FROM fact) f WHERE NOT EXISTS (SELECT 1 FROM dim_location l WHERE l.field_id = f.field_id) "
+    "UNION ALL SELECT 'thresholds_unique_feature_period', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM "
+    "(SELECT count(*) AS n FROM thresholds GROUP BY feature, period HAVING count(*) > 1) UNION ALL "
+    "SELECT 'dim_location_unique_field', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM "
+    "(SELECT count(*) AS n FROM dim_location GROUP BY field_id HAVING count(*) > 1)",
+    "fact", "thresholds", "dim_location"))
+def q_quality(spark, sf):
+    return QC.quality_checks(fact(spark, sf), seed_thresholds(spark), M.dim_location(stg_inputs(spark, sf)[3]))
