@@ -90,8 +90,9 @@ def empty_months(grid: DataFrame, pixels: DataFrame, band_col: str = "band") ->
     monthly loop would skip. Bands come from the pixel table itself."""
     seen = pixels.select(band_col, F.trunc(F.col("image_date"), "MM").alias("month")).distinct()
     bands = seen.select(band_col).distinct()
-    # bands x months: both sides are small (distinct bands, grid months).
-    all_pairs = F.broadcast(bands).crossJoin(grid.select("month", "month_str"))
+    # bands x months: the grid is one row per month of the run period (a
+    # proven bound), so it is the broadcast side.
+    all_pairs = bands.crossJoin(F.broadcast(grid.select("month", "month_str")))
     return all_pairs.join(seen, [band_col, "month"], "left_anti")
 
 
