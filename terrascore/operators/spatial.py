@@ -75,16 +75,16 @@ def cell_index(region_df: DataFrame, cell_deg: float) -> DataFrame:
     """(cx, cy, region_id, field_id, edges) — see the module docstring."""
     c = float(cell_deg)
     eps = c * 1e-9
+    box = ("min_x", "min_y", "max_x", "max_y")
     cells = region_df.filter(F.col("min_x").isNotNull()).select(
-        "region_id", "field_id", "edges",
+        "region_id", "field_id", "edges", *box,
         F.explode(F.sequence(cell_of("min_x", c), cell_of("max_x", c))).alias("cx"),
-        "min_y", "max_y",
     ).select(
-        "region_id", "field_id", "edges", "cx",
+        "region_id", "field_id", "edges", *box, "cx",
         F.explode(F.sequence(cell_of("min_y", c), cell_of("max_y", c))).alias("cy"),
     )
     near = G.edges_near_band("edges", F.col("cx") * c, F.col("cy") * c, (F.col("cy") + 1) * c, F.lit(eps))
-    return cells.select("cx", "cy", "region_id", "field_id", near.alias("edges")).filter(F.size("edges") > 0)
+    return cells.select("cx", "cy", "region_id", "field_id", *box, near.alias("edges")).filter(F.size("edges") > 0)
 
 
 @dataclass
@@ -99,7 +99,9 @@ class SpatialIndex:
     def build(cls, region_df: DataFrame, cell_deg: float, max_rows: int,
               max_edges: int | None = None) -> "SpatialIndex":
         cell = choose_cell(region_df, cell_deg, max_rows * 4)
-        idx = cell_index(region_df, cell)
+        # Persisted so the statistics job and the join share one computation;
+        # lost blocks are recomputed from the (short) polygon lineage.
+        idx = cell_index(region_df, cell).persist()
         stats = idx.agg(F.count(F.lit(1)).alias("rows"),
                         F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).collect()[0]
         limit_edges = max_edges if max_edges is not None else max_rows * 8
@@ -110,6 +112,13 @@ class SpatialIndex:
         return F.broadcast(self.df) if self.broadcastable else self.df
 
 
+def _inside_test(p: DataFrame, idx: DataFrame):
+    """Bounding-box pre-test (compiled, short-circuits) then the exact ray
+    cast over the cell's edges."""
+    in_box = (p["lon"] >= idx["min_x"]) & (p["lon"] <= idx["max_x"]) & (p["lat"] >= idx["min_y"]) & (p["lat"] <= idx["max_y"])
+    return in_box & G.point_in_polygon(p["lon"], p["lat"], idx["edges"])
+
+
 def _with_cell(pixels: DataFrame, cell_deg: float) -> DataFrame:
     return pixels.withColumn("_cx", cell_of("lon", cell_deg)).withColumn("_cy", cell_of("lat", cell_deg))
 
@@ -119,11 +128,8 @@ def pixels_in_regions(pixels: DataFrame, index: SpatialIndex) -> DataFrame:
     (holes excluded). Pixels in overlapping regions appear once per region."""
     p = _with_cell(pixels, index.cell_deg)
     idx = index.side().withColumnRenamed("cx", "_icx").withColumnRenamed("cy", "_icy")
-    cond = (
-        (p["_cx"] == idx["_icx"]) & (p["_cy"] == idx["_icy"])
-        & G.point_in_polygon(p["lon"], p["lat"], idx["edges"])
-    )
-    return p.join(idx, cond, "inner").drop("_cx", "_cy", "_icx", "_icy", "edges")
+    cond = (p["_cx"] == idx["_icx"]) & (p["_cy"] == idx["_icy"]) & _inside_test(p, idx)
+    return p.join(idx, cond, "inner").drop("_cx", "_cy", "_icx", "_icy", "edges", "min_x", "min_y", "max_x", "max_y")
 
 
 def clip(pixels: DataFrame, index: SpatialIndex, exact: bool = True) -> DataFrame:
@@ -134,7 +140,7 @@ def clip(pixels: DataFrame, index: SpatialIndex, exact: bool = True) -> DataFram
     idx = index.side().withColumnRenamed("cx", "_icx").withColumnRenamed("cy", "_icy")
     cond = (p["_cx"] == idx["_icx"]) & (p["_cy"] == idx["_icy"])
     if exact:
-        cond = cond & G.point_in_polygon(p["lon"], p["lat"], idx["edges"])
+        cond = cond & _inside_test(p, idx)
     else:
         idx = idx.select("_icx", "_icy").distinct()
         cond = (p["_cx"] == idx["_icx"]) & (p["_cy"] == idx["_icy"])
