@@ -87,13 +87,20 @@ def cell_index(region_df: DataFrame, cell_deg: float) -> DataFrame:
     return cells.select("cx", "cy", "region_id", "field_id", *box, near.alias("edges")).filter(F.size("edges") > 0)
 
 
+# Mean polygons per index cell above which containment is tested once per
+# pixel location (on a materialized input) instead of once per row.
+LOCATION_PIP_OVERLAP = 4.0
+
+
 @dataclass
 class SpatialIndex:
-    """A cell index plus the decision whether it may be broadcast."""
+    """A cell index, whether it may be broadcast, and the mean number of
+    polygons per cell (how many ray casts one pixel row costs)."""
 
     df: DataFrame
     cell_deg: float
     broadcastable: bool
+    overlap: float = 1.0
 
     @classmethod
     def build(cls, region_df: DataFrame, cell_deg: float, max_rows: int,
@@ -103,10 +110,15 @@ class SpatialIndex:
         # lost blocks are recomputed from the (short) polygon lineage.
         idx = cell_index(region_df, cell).persist()
         stats = idx.agg(F.count(F.lit(1)).alias("rows"),
-                        F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).collect()[0]
+                        F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges"),
+                        F.count_distinct("cx", "cy").alias("cells")).collect()[0]
         limit_edges = max_edges if max_edges is not None else max_rows * 8
         ok = stats["rows"] <= max_rows and stats["edges"] <= limit_edges
-        return cls(idx, cell, ok)
+        overlap = stats["rows"] / stats["cells"] if stats["cells"] else 0.0
+        return cls(idx, cell, ok, overlap)
+
+    def release(self) -> None:
+        self.df.unpersist()
 
     def side(self) -> DataFrame:
         return F.broadcast(self.df) if self.broadcastable else self.df
@@ -147,14 +159,50 @@ def clip(pixels: DataFrame, index: SpatialIndex, exact: bool = True) -> DataFram
     return p.join(idx, cond, "left_semi").drop("_cx", "_cy")
 
 
+def location_regions(pixels: DataFrame, index: SpatialIndex, value: str = "value") -> DataFrame:
+    """``ix, iy, region_id, field_id``: the regions containing each distinct
+    pixel location of ``pixels``. Containment depends on the location only,
+    so a monthly table is tested once per pixel instead of once per month.
+
+    ``pixels`` is read twice (locations, then the join back), so it should
+    be materialized (a table or a checkpoint), see :func:`assign_regions`."""
+    locations = pixels.groupBy("ix", "iy").agg(F.first("lon").alias("lon"), F.first("lat").alias("lat"))
+    return pixels_in_regions(locations, index).select("ix", "iy", *REGION_KEYS)
+
+
+def assign_regions(pixels: DataFrame, index: SpatialIndex, per_location: bool | None = None,
+                   value: str = "value") -> DataFrame:
+    """Pixel rows paired with every region containing them.
+
+    Per row (default when polygons barely overlap): every row is ray-cast
+    against the candidates of its cell in the index join — one scan, no
+    extra shuffle; with few candidates per pixel this is the cheapest plan.
+
+    Per location (default when the index shows more than
+    ``LOCATION_PIP_OVERLAP`` polygons per cell): each row would pay that many
+    ray casts, and a monthly table repeats every location once per month.
+    The input is checkpointed to the shared checkpoint folder (one reliable
+    write; no second scan of the source), each distinct location is tested
+    once, and rows are equi-joined to the (location, region) mapping; AQE
+    picks broadcast or sort-merge for that join from runtime sizes."""
+    if per_location is None:
+        per_location = index.overlap > LOCATION_PIP_OVERLAP
+    if not per_location:
+        return pixels_in_regions(pixels, index)
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(pixels.sparkSession)
+    solid = pixels.checkpoint(eager=True)
+    return solid.join(location_regions(solid, index, value), ["ix", "iy"], "inner")
+
+
 def zonal_stats(pixels: DataFrame, index: SpatialIndex, kind: str, value: str = "value",
                 keys: Sequence[str] = ("month",), out: str | None = None,
-                weight: str | None = None) -> DataFrame:
+                weight: str | None = None, per_location: bool | None = None) -> DataFrame:
     """Reduce the pixels of every region (per feature, not per id: two
     polygons sharing an id give two rows) within each ``keys`` group.
     Regions without pixels give no row. Partial aggregation before the
     shuffle absorbs regions that hold most pixels."""
-    joined = pixels_in_regions(pixels, index)
+    joined = assign_regions(pixels, index, per_location, value)
     return joined.groupBy(*REGION_KEYS, *keys).agg(reducer(kind, value, weight).alias(out or value))
 
 

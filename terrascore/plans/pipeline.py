@@ -89,6 +89,7 @@ def build_all(spark: SparkSession, cfg: PipelineConfig, features: DataFrame, pix
     df, obs = _counted(soil, "soil")
     write_replace(df, lay.name("raw", "soil_raw"))
     report["soil_raw"] = obs.get.get("rows", 0)
+    index.release()
 
     # 2. seed --------------------------------------------------------------
     write_replace(thresholds, lay.name("raw", "dim_thresholds"))

@@ -84,20 +84,19 @@ def write_append(df: DataFrame, name_or_path: str, idempotent: bool = True,
     """
     is_path = "/" in name_or_path or name_or_path.startswith("file:")
     spark = df.sparkSession
-    if not idempotent:
-        w = df.write.mode("append")
-        if is_path:
-            w.partitionBy(partition_col).parquet(name_or_path)
-        else:
-            w.partitionBy(partition_col).saveAsTable(name_or_path) if not spark.catalog.tableExists(name_or_path) \
-                else df.write.insertInto(name_or_path)
-        return
     if is_path:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(name_or_path))
+        if idempotent:
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(partition_col).parquet(name_or_path))
+        else:
+            df.write.mode("append").partitionBy(partition_col).parquet(name_or_path)
         return
     if not spark.catalog.tableExists(name_or_path):
-        df.limit(0).write.partitionBy(partition_col).saveAsTable(name_or_path)
+        # Create the empty partitioned table from the schema alone: ``df`` runs once.
+        spark.createDataFrame([], df.schema).write.partitionBy(partition_col).saveAsTable(name_or_path)
+    if not idempotent:
+        df.select(*spark.table(name_or_path).columns).write.insertInto(name_or_path)
+        return
     # insertInto matches columns by position: order them as the table does.
     cols = spark.table(name_or_path).columns
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")

@@ -10,7 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from terrascore.session import local_session
-    s = local_session(cores="*", shuffle_partitions=8, app="terrascore-tests")
+    s = local_session(cores="*", shuffle_partitions=8, app="terrascore-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="terrascore-wh-")})
     yield s
     s.stop()

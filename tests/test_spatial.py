@@ -73,3 +73,13 @@ def test_no_pixels_no_row_and_coarse_clip_superset(spark):
     z = SP.zonal_stats(px.withColumn("month", F.trunc("image_date", "MM")), idx, "mean")
     assert {row.field_id for row in z.collect()} <= {"sq"}
     assert SP.clip(px, idx, exact=True).count() <= SP.clip(px, idx, exact=False).count()
+
+
+def test_per_location_equals_per_row(spark):
+    regions = SP.regions(TD.polygon_features(spark, SF))
+    idx = SP.SpatialIndex.build(regions, 0.1, max_rows=1_000_000)
+    comp = TD.pixels(spark, SF).filter(F.col("band") == "R").withColumn("month", F.trunc("image_date", "MM"))
+    a = SP.zonal_stats(comp, idx, "sum", per_location=True)
+    b = SP.zonal_stats(comp, idx, "sum", per_location=False)
+    r = lambda df: sorted((x.region_id, x.month, x.value) for x in df.collect())
+    assert r(a) == r(b) and len(r(a)) > 0
