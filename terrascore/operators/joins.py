@@ -1,5 +1,5 @@
-"""Join operators: checked broadcasts, chained full outer joins on coalesced
-keys, and the threshold lookups."""
+"""Join operators: chained full outer joins on coalesced keys and the
+threshold lookups."""
 
 from __future__ import annotations
 
@@ -11,15 +11,6 @@ from pyspark.sql import functions as F
 BOUNDS = ("optimal_min", "optimal_max", "acceptable_min", "acceptable_max")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it holds at most ``max_rows`` rows; beyond
-    that leave the strategy to the planner (sort-merge / AQE). The count is
-    one cheap job over a small input; callers pass tables whose size is not
-    proven by construction."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """``f1 FULL JOIN f2 USING (keys) FULL JOIN f3 USING (keys) ...``.
 

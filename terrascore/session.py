@@ -3,7 +3,6 @@ folder (taken from ``spark.checkpoint.dir``) for materialized intermediates."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,6 +60,3 @@ def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme (for tests that inspect files directly)."""
     return uri[5:] if uri.startswith("file:") else uri
 
-
-def is_local_fs(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/") or os.path.isabs(uri)

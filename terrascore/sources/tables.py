@@ -106,7 +106,3 @@ def write_append(df: DataFrame, name_or_path: str, idempotent: bool = True,
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
-
-def series_table(df: DataFrame, name: str) -> DataFrame:
-    """Columns of a raw series in load order: ``field_id, <name>, date``."""
-    return df.select(F.col("field_id").cast("string"), F.col(name).cast("double"), F.col("date").cast("string"))
