@@ -83,3 +83,23 @@ def test_per_location_equals_per_row(spark):
     b = SP.zonal_stats(comp, idx, "sum", per_location=False)
     r = lambda df: sorted((x.region_id, x.month, x.value) for x in df.collect())
     assert r(a) == r(b) and len(r(a)) > 0
+
+
+def test_soil_rows_keep_polygons_without_pixels_or_geometry(spark):
+    from terrascore import catalog
+    from terrascore.plans.extract import extract_static
+    # at sf0.001 the static soil grid covers latitudes 30.0-30.25 only
+    south = [[[-8.8, 30.0], [-8.7, 30.0], [-8.7, 30.1], [-8.8, 30.1], [-8.8, 30.0]]]
+    feats = spark.createDataFrame(
+        [(0, "sq", "Polygon", json.dumps(south)), (1, "far", "Polygon", json.dumps([[[10, 10], [11, 10], [11, 11], [10, 10]]])),
+         (2, "nogeom", None, None), (3, "", "Polygon", json.dumps(SQUARE)), (4, None, "Polygon", json.dumps(SQUARE)),
+         (5, "line", "LineString", json.dumps([[0, 0], [1, 1]]))],
+        "region_id long, field_id string, geom_type string, coordinates string")
+    r = SP.regions(feats)
+    idx = SP.SpatialIndex.build(r, 0.1, max_rows=10_000)
+    rows = {x.field_id: x for x in extract_static(TD.static_pixels(spark, SF), r, idx, catalog.TEST_CFG).collect()}
+    assert set(rows) == {"sq", "far", "nogeom", "line"}          # empty / null ids dropped
+    assert rows["sq"].soil_ph is not None and round(rows["sq"].lon, 9) == -8.75 and round(rows["sq"].lat, 9) == 30.05
+    assert rows["far"].soil_ph is None and rows["far"].lat == pytest.approx(10 + 1 / 3)
+    assert rows["nogeom"].lat is None and rows["nogeom"].soil_ph is None
+    assert rows["line"].lat is None
