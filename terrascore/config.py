@@ -66,8 +66,9 @@ class SourceSpec:
     """How one raster source becomes a monthly (or static) per-field value.
 
     ``temporal`` reduces the images of one month per pixel, ``zonal`` reduces
-    the pixels of one polygon. ``scale_factor``/``offset`` are applied per
-    pixel before any reduction (``value * scale_factor + offset``).
+    the pixels of one polygon. ``scale_factor``/``offset`` are applied to each
+    pixel's monthly composite, between the two reductions
+    (``value * scale_factor + offset``), as the source applies its band math.
     """
 
     name: str                      # output column, e.g. "ndvi"
@@ -109,8 +110,10 @@ class PipelineConfig:
     marts_db: str = "marts"
     # Cell edge (degrees) of the spatial index that pairs pixels with polygons.
     cell_deg: float = 0.05
-    # Largest index / lookup table, in rows, that may be broadcast.
-    max_broadcast_rows: int = 2_000_000
+    # Largest spatial index that may be broadcast (rows and estimated bytes);
+    # beyond either bound the index is a shuffle join on the cell.
+    max_broadcast_rows: int = 1_000_000
+    max_broadcast_bytes: int = 256 << 20
     # Dynamic partition overwrite for the series loads (idempotent reruns);
     # False appends like the original loader (reruns duplicate rows).
     idempotent_loads: bool = True

@@ -102,9 +102,12 @@ class SpatialIndex:
     broadcastable: bool
     overlap: float = 1.0
 
+    # Bytes per index row without edges (keys, ids, box) and per edge.
+    ROW_BYTES, EDGE_BYTES = 96, 40
+
     @classmethod
     def build(cls, region_df: DataFrame, cell_deg: float, max_rows: int,
-              max_edges: int | None = None) -> "SpatialIndex":
+              max_bytes: int = 256 << 20) -> "SpatialIndex":
         cell = choose_cell(region_df, cell_deg, max_rows * 4)
         # Persisted so the statistics job and the join share one computation;
         # lost blocks are recomputed from the (short) polygon lineage.
@@ -112,8 +115,8 @@ class SpatialIndex:
         stats = idx.agg(F.count(F.lit(1)).alias("rows"),
                         F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges"),
                         F.count_distinct("cx", "cy").alias("cells")).collect()[0]
-        limit_edges = max_edges if max_edges is not None else max_rows * 8
-        ok = stats["rows"] <= max_rows and stats["edges"] <= limit_edges
+        est_bytes = stats["rows"] * cls.ROW_BYTES + stats["edges"] * cls.EDGE_BYTES
+        ok = stats["rows"] <= max_rows and est_bytes <= max_bytes
         overlap = stats["rows"] / stats["cells"] if stats["cells"] else 0.0
         return cls(idx, cell, ok, overlap)
 

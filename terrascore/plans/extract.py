@@ -21,7 +21,7 @@ from ..functions.dates import format_iso
 
 
 def build_index(region_df: DataFrame, cfg: PipelineConfig) -> SpatialIndex:
-    return SpatialIndex.build(region_df, cfg.cell_deg, cfg.max_broadcast_rows)
+    return SpatialIndex.build(region_df, cfg.cell_deg, cfg.max_broadcast_rows, cfg.max_broadcast_bytes)
 
 
 def series_rows(zonal: DataFrame, name: str) -> DataFrame:

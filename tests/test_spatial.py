@@ -103,3 +103,17 @@ def test_soil_rows_keep_polygons_without_pixels_or_geometry(spark):
     assert rows["far"].soil_ph is None and rows["far"].lat == pytest.approx(10 + 1 / 3)
     assert rows["nogeom"].lat is None and rows["nogeom"].soil_ph is None
     assert rows["line"].lat is None
+
+
+def test_weighted_zonal(spark):
+    regions = SP.regions(TD.polygon_features(spark, SF))
+    idx = SP.SpatialIndex.build(regions, 0.1, max_rows=1_000_000)
+    px = TD.pixels(spark, SF).filter(F.col("band") == "N").withColumn("month", F.trunc("image_date", "MM"))
+    half = px.withColumn("w", F.lit(0.5))
+    plain_mean = {(r.region_id, r.month): r.value for r in SP.zonal_stats(px, idx, "mean", per_location=False).collect()}
+    w_mean = {(r.region_id, r.month): r.value for r in SP.zonal_stats(half, idx, "mean", weight="w", per_location=False).collect()}
+    plain_sum = {(r.region_id, r.month): r.value for r in SP.zonal_stats(px, idx, "sum").collect()}
+    w_sum = {(r.region_id, r.month): r.value for r in SP.zonal_stats(half, idx, "sum", weight="w").collect()}
+    assert plain_mean.keys() == w_mean.keys() and len(plain_mean) > 0
+    assert all(w_mean[k] == pytest.approx(plain_mean[k]) for k in plain_mean)
+    assert all(w_sum[k] == pytest.approx(plain_sum[k] / 2) for k in plain_sum)
