@@ -312,7 +312,10 @@ def q_month_grid(spark, sf):
     "WHERE NOT EXISTS (SELECT 1 FROM pixels p WHERE p.band = b.band "
     "AND CAST(date_trunc('month', p.image_date) AS DATE) = g.month)", "pixels", "data_grid"))
 def q_empty_months(spark, sf):
-    return R.empty_months(data_grid(spark, sf), TD.pixels(spark, sf))
+    px = TD.pixels(spark, sf)
+    # the grid bounds: two dates from one aggregate (whole years of the data)
+    lo, hi = px.agg(F.min("image_date"), F.max("image_date")).first()
+    return R.empty_months(px, f"{lo.year}-01-01", f"{hi.year}-12-31")
 
 
 _PX_DOUBLES = ("lon", "lat", "value")

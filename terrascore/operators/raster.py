@@ -85,15 +85,16 @@ def composite(pixels: DataFrame, kind: str, value: str = "value",
     return pixels.groupBy(*keys, *PIXEL_KEYS).agg(reducer(kind, value).alias(value), *carry)
 
 
-def empty_months(grid: DataFrame, pixels: DataFrame, band_col: str = "band") -> DataFrame:
-    """(band, month) pairs of the grid that have no image — the months a
-    monthly loop would skip. Bands come from the pixel table itself."""
+def empty_months(pixels: DataFrame, start: str, end: str, band_col: str = "band") -> DataFrame:
+    """(band, month) pairs of the month grid of ``[start, end]`` that have no
+    image — the months a monthly loop would skip. Bands come from the pixel
+    table; each band row generates its own grid months (no join), and the
+    months seen are removed with an anti join."""
     seen = pixels.select(band_col, F.trunc(F.col("image_date"), "MM").alias("month")).distinct()
     bands = seen.select(band_col).distinct()
-    # bands x months: the grid is one row per month of the run period (a
-    # proven bound), so it is the broadcast side.
-    all_pairs = bands.crossJoin(F.broadcast(grid.select("month", "month_str")))
-    return all_pairs.join(seen, [band_col, "month"], "left_anti")
+    pairs = bands.select(band_col, F.explode(month_starts_between(F.lit(start), F.lit(end))).alias("month"))
+    return pairs.join(seen, [band_col, "month"], "left_anti").select(
+        band_col, "month", format_iso("month").alias("month_str"))
 
 
 def stack_bands(static_pixels: DataFrame, bands: Sequence[tuple[str, str]]) -> DataFrame:

@@ -30,7 +30,7 @@ def test_end_date_exclusive(spark):
 def test_empty_months_are_grid_minus_seen(spark):
     px = TD.pixels(spark, SF)
     grid = R.month_grid(spark, "1994-01-01", "2002-12-31")
-    empty = R.empty_months(grid, px)
+    empty = R.empty_months(px, "1994-01-01", "2002-12-31")
     n_bands = px.select("band").distinct().count()
     seen = px.select("band", F.trunc("image_date", "MM").alias("m")).distinct().count()
     assert empty.count() == n_bands * grid.count() - seen
