@@ -88,16 +88,27 @@ def features_json(df: DataFrame, properties: list[str], geom_type_col: str = "ge
 
 
 def write_feature_collections(df: DataFrame, path: str, file_key: str, order_by: str,
-                              feature_col: str = "feature") -> None:
-    """Write one FeatureCollection file per distinct ``file_key`` value, the
-    features ordered by ``order_by``. The caller picks ``file_key`` so that a
-    file stays small (as one would pick a Hive partition column); each file is
-    written by one task because a FeatureCollection is one document."""
-    grouped = df.groupBy(file_key).agg(
+                              feature_col: str = "feature", max_features_per_file: int | None = None) -> None:
+    """Write FeatureCollection files grouped by ``file_key`` (a folder per
+    value), the features ordered by ``order_by``.
+
+    A FeatureCollection is one JSON document, so each file is built by one
+    task. With ``max_features_per_file`` a key holding more features is split
+    into ``ceil(n / max)`` files by a hash of ``order_by`` (about ``max`` per
+    file; deterministic, so a retried task writes the same file); without it,
+    each key is one file."""
+    if max_features_per_file:
+        counts = df.groupBy(file_key).agg(F.count(F.lit(1)).alias("_n"))
+        n_files = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_features_per_file)))
+        df = df.join(counts, file_key).withColumn(
+            "_chunk", F.pmod(F.xxhash64(F.col(order_by)), n_files.cast("long"))).drop("_n")
+    else:
+        df = df.withColumn("_chunk", F.lit(0).cast("long"))
+    grouped = df.groupBy(file_key, "_chunk").agg(
         F.array_sort(F.collect_list(F.struct(F.col(order_by).alias("k"), F.col(feature_col).alias("v")))).alias("fs")
     )
     doc = F.concat(F.lit('{"type":"FeatureCollection","features":['),
                    F.array_join(F.transform("fs", lambda s: s["v"]), ","), F.lit("]}"))
+    # One document per file: a file with two documents would read as one.
     (grouped.select(F.col(file_key), doc.alias("value"))
-     .repartition(F.col(file_key))
-     .write.mode("overwrite").partitionBy(file_key).text(path))
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy(file_key).text(path))

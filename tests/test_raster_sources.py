@@ -109,3 +109,16 @@ def test_threshold_csv_keeps_doubles(spark):
     TB.write_thresholds_csv(TB.seed_thresholds(spark), p)
     t = TB.read_thresholds_csv(spark, p)
     assert dict(t.dtypes)["optimal_min"] == "double" and t.count() == 14
+
+
+def test_feature_collection_writer_splits_large_keys(spark):
+    from pyspark.sql import functions as F
+    feats = TD.polygon_features(spark, "/root/testdata/sf0.01").withColumn("grp", F.lit(1))
+    path = scratch_path(spark, "fc-split")
+    GJ.write_feature_collections(GJ.features_json(feats, ["field_id"]), path, "grp", "region_id",
+                                 max_features_per_file=30)
+    files = [f for f in os.listdir(local_path(path) + "/grp=1") if not f.startswith((".", "_"))]
+    assert len(files) == 4                                   # ceil(100 / 30) hash-split files
+    back = GJ.read_geojson(spark, path)
+    assert back.count() == 100 and back.select("field_id").distinct().count() == 100
+    assert back.select("region_id").distinct().count() == 100
