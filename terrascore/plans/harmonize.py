@@ -39,7 +39,9 @@ def monthly_data_unique(ndvi: DataFrame, temperature: DataFrame, rainfall: DataF
     per non-null (field_id, date) — e.g. series produced by the zonal jobs of
     one polygon set with unique ids. One shuffle (union + group) instead of a
     chain of sort-merge joins. Rows with a null key never merge: they pass
-    through ungrouped, as in the join."""
+    through ungrouped, as in the join. The inputs are read by both branches:
+    meant for stored raw tables, where the null-key branch is pruned by the
+    Parquet null-count statistics; on computed inputs prefer the join form."""
     tagged = [
         ndvi.select(*KEYS, F.col("ndvi"), F.lit(None).cast("double").alias("temperature"),
                     F.lit(None).cast("double").alias("rainfall")),
