@@ -50,9 +50,11 @@ def read_static_pixels(spark: SparkSession, path: str, bands: list[str] | None =
 
 def write_pixels(df: DataFrame, path: str) -> None:
     """Layout for time-indexed pixels: partitioned by band and month, so a
-    date-range scan of one band reads only its partitions."""
+    date-range scan of one band reads only its partitions. The rebalance
+    hint groups rows by partition (few files per folder) and lets AQE split a
+    band-month that exceeds the advisory partition size across many tasks."""
     (df.withColumn("month", F.trunc(F.col("image_date"), "MM"))
-       .repartition("band", "month")
+       .hint("rebalance", "band", "month")
        .write.mode("overwrite").partitionBy("band", "month").parquet(path))
 
 
@@ -84,6 +86,9 @@ def write_append(df: DataFrame, name_or_path: str, idempotent: bool = True,
     """
     is_path = "/" in name_or_path or name_or_path.startswith("file:")
     spark = df.sparkSession
+    # Group rows by month before the partitioned write (a few files per month
+    # instead of one per task and month); AQE splits an oversized month.
+    df = df.hint("rebalance", partition_col)
     if is_path:
         if idempotent:
             (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
