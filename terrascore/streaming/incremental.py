@@ -9,8 +9,8 @@ and overwrites exactly those month partitions of the raw series table.
 * exactly once: the stream's progress lives in a checkpoint under the shared
   ``spark.checkpoint.dir``; a replayed batch rewrites the same partitions
   with the same rows (dynamic partition overwrite is idempotent);
-* no driver loop over data: the touched months are a semi-join key, not a
-  collected list.
+* the only thing taken to the driver is the short list of months a batch
+  touches; it becomes a partition filter on the month-partitioned layout.
 """
 
 from __future__ import annotations
@@ -28,10 +28,19 @@ from ..sources.tables import write_append
 
 def refresh_months(spark: SparkSession, touched: DataFrame, pixels: DataFrame, index: SpatialIndex,
                    spec: SourceSpec, cfg: PipelineConfig, target: str) -> None:
-    """Recompute the series of the months present in ``touched`` (column
-    ``month``) and overwrite those month partitions of ``target``."""
-    months = touched.select(F.trunc(F.col("image_date"), "MM").alias("_m")).distinct()
-    scoped = pixels.join(months, F.trunc(pixels["image_date"], "MM") == months["_m"], "left_semi")
+    """Recompute the series of the months of the images in ``touched`` and
+    overwrite those month partitions of ``target``."""
+    # The months of one micro-batch: a short list (bounded by the months a
+    # batch can span), taken to the driver so the scan prunes statically.
+    months = sorted(r[0] for r in touched.select(F.trunc(F.col("image_date"), "MM")).distinct().collect())
+    if not months:
+        return
+    if "month" in pixels.columns:               # month-partitioned layout: partition pruning
+        scoped = pixels.filter(F.col("month").isin(months))
+    else:                                       # plain layout: row-group pruning on the date range
+        lo, hi = F.lit(months[0]), F.add_months(F.lit(months[-1]), 1)
+        scoped = pixels.filter((F.col("image_date") >= lo) & (F.col("image_date") < hi)
+                               & F.trunc(F.col("image_date"), "MM").isin(months))
     rows = extract_series(spark, scoped, index, spec, cfg)
     write_append(rows, target, idempotent=True)
 
@@ -43,7 +52,7 @@ def start_series_stream(spark: SparkSession, pixel_dir: str, index: SpatialIndex
     schema). Returns the StreamingQuery."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/terrascore-stream/{spec.name}"
     stream = spark.readStream.schema(schemas.PIXELS).parquet(pixel_dir).filter(F.col("band") == spec.band)
-    full = spark.read.schema(schemas.PIXELS).parquet(pixel_dir)
+    full = spark.read.parquet(pixel_dir)      # picks up a month partition column if present
 
     def on_batch(batch: DataFrame, _epoch: int) -> None:
         refresh_months(spark, batch, full, index, spec, cfg, target)

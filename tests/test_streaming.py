@@ -27,3 +27,20 @@ def test_incremental_stream_equals_batch(spark):
     want = extract_series(spark, spark.read.parquet(src), idx, spec, cfg)
     r = lambda df: sorted((x.field_id, x.date, round(x.ndvi, 9)) for x in df.collect())
     assert r(got) == r(want)
+
+
+def test_refresh_prunes_month_partitions(spark):
+    from terrascore.sources.tables import write_pixels
+    from terrascore.streaming.incremental import refresh_months
+    cfg, spec = catalog.TEST_CFG, TD.TEST_SERIES[2]
+    src, out = scratch_path(spark, "px-layout"), scratch_path(spark, "rain-refresh")
+    write_pixels(TD.pixels(spark, SF), src)
+    full = spark.read.parquet(src)
+    touched = full.filter(F.col("image_date").between("1997-03-01", "1997-04-30"))
+    idx = catalog.index(spark, SF)
+    refresh_months(spark, touched, full, idx, spec, cfg, out)
+    got = read_series(spark, out, "rainfall")
+    assert {r.date for r in got.select("date").distinct().collect()} <= {"1997-03-01", "1997-04-01"}
+    want = extract_series(spark, full.filter(F.col("image_date").between("1997-03-01", "1997-04-30")), idx, spec, cfg)
+    r = lambda df: sorted((x.field_id, x.date, round(x.rainfall, 9)) for x in df.collect())
+    assert r(got) == r(want)
