@@ -45,9 +45,14 @@ def month_grid_from(bounds: DataFrame, start_col: str, end_col: str) -> DataFram
 
 def date_range(pixels: DataFrame, start: str, end: str) -> DataFrame:
     """Images with ``start <= image_date < end`` (end exclusive). Pushed to
-    the scan; with a month-partitioned layout it prunes partitions."""
-    return pixels.filter((F.col("image_date") >= F.to_date(F.lit(start)))
-                         & (F.col("image_date") < F.to_date(F.lit(end))))
+    the scan (row-group statistics); on the month-partitioned layout
+    (``write_pixels``) the implied month range is added on the partition
+    column, so whole month folders are skipped."""
+    s, e = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    out = pixels.filter((F.col("image_date") >= s) & (F.col("image_date") < e))
+    if "month" in pixels.columns:
+        out = out.filter((F.col("month") >= F.trunc(s, "MM")) & (F.col("month") <= F.trunc(F.date_sub(e, 1), "MM")))
+    return out
 
 
 def band_select(pixels: DataFrame, band: str, name: str | None = None) -> DataFrame:

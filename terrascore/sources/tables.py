@@ -33,13 +33,12 @@ def read_pixels(spark: SparkSession, path: str, start: str | None = None, end: s
     """A time-indexed pixel table restricted to ``[start, end)`` and one band.
     Both filters reach the Parquet scan; a month-partitioned layout prunes
     whole partitions."""
+    from ..operators.raster import date_range
     df = spark.read.parquet(path)
     if band is not None:
         df = df.filter(F.col("band") == band)
-    if start is not None:
-        df = df.filter(F.col("image_date") >= F.to_date(F.lit(start)))
-    if end is not None:
-        df = df.filter(F.col("image_date") < F.to_date(F.lit(end)))
+    if start is not None or end is not None:
+        df = date_range(df, start or "0001-01-01", end or "9999-12-31")
     return df
 
 

@@ -122,3 +122,14 @@ def test_feature_collection_writer_splits_large_keys(spark):
     back = GJ.read_geojson(spark, path)
     assert back.count() == 100 and back.select("field_id").distinct().count() == 100
     assert back.select("region_id").distinct().count() == 100
+
+
+def test_month_partitioned_layout_prunes_band_and_month(spark):
+    src = scratch_path(spark, "layout")
+    TB.write_pixels(TD.pixels(spark, SF), src)
+    df = TB.read_pixels(spark, src, "1996-03-15", "1996-06-01", band="A")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    part = plan[plan.find("PartitionFilters"):plan.find("PushedFilters")]
+    assert "(band" in part and "(month" in part
+    want = TD.pixels(spark, SF).filter("band = 'A' AND image_date >= '1996-03-15' AND image_date < '1996-06-01'")
+    assert df.count() == want.count() > 0
