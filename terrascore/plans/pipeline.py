@@ -99,6 +99,10 @@ def build_all(spark: SparkSession, cfg: PipelineConfig, features: DataFrame, pix
     raw = {n: lay.read(spark, "raw", f"{n}_raw", schemas.series_raw(n)) for n in names}
     stg = {n: STG.stg_series(raw[n], n) for n in names}
     stg_soil = STG.stg_soil(lay.read(spark, "raw", "soil_raw", schemas.SOIL_RAW))
+    # Staging is a view layer: name the frames so they can be queried.
+    for n in names:
+        stg[n].createOrReplaceTempView(f"stg_{n}")
+    stg_soil.createOrReplaceTempView("stg_soil")
     harm = H.harmonize(stg["ndvi"], stg["temperature"], stg["rainfall"], stg_soil)
     write_replace(harm, lay.name("intermediate", "int_harmonized_environmental_data"))
     harm = lay.read(spark, "intermediate", "int_harmonized_environmental_data")

@@ -19,6 +19,7 @@ def test_build_into_catalog_tables_is_idempotent(spark):
     second = _build(spark, cfg=dbs)
     assert spark.table("t_raw.ndvi_raw").count() == n1 == first["ndvi_raw"] == second["ndvi_raw"]
     assert sorted(map(tuple, spark.table("t_marts.assessment_dataset").collect()), key=repr) == a1
+    assert spark.table("stg_ndvi").count() == n1 and spark.table("stg_soil").count() == first["soil_raw"]
     q = first["quality"]
     assert q["fact_unique_field_date"] == 0 and q["fact_scores_in_unit_range"] == 0
     assert q["thresholds_unique_feature_period"] == 0 and q["dim_location_unique_field"] == 0
