@@ -117,3 +117,17 @@ def test_weighted_zonal(spark):
     assert plain_mean.keys() == w_mean.keys() and len(plain_mean) > 0
     assert all(w_mean[k] == pytest.approx(plain_mean[k]) for k in plain_mean)
     assert all(w_sum[k] == pytest.approx(plain_sum[k] / 2) for k in plain_sum)
+
+
+def test_cell_grows_when_index_would_explode(spark):
+    regions = SP.regions(TD.polygon_features(spark, SF))
+    tiny = 0.001                                   # ~ 250^2 cells per polygon
+    assert SP.estimated_index_rows(regions, tiny) > 40_000
+    idx = SP.SpatialIndex.build(regions, tiny, max_rows=10_000)
+    assert idx.cell_deg > tiny
+    assert SP.estimated_index_rows(regions, idx.cell_deg) <= 40_000
+    cells = TD.pixels(spark, SF).select("ix", "iy", "lon", "lat").distinct()
+    brute = cells.crossJoin(regions.select("region_id", "edges")).filter(
+        point_in_polygon("lon", "lat", "edges")).select("region_id", "ix", "iy")
+    got = SP.pixels_in_regions(cells, idx).select("region_id", "ix", "iy")
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in brute.collect()}
