@@ -133,3 +133,21 @@ def test_month_partitioned_layout_prunes_band_and_month(spark):
     assert "(band" in part and "(month" in part
     want = TD.pixels(spark, SF).filter("band = 'A' AND image_date >= '1996-03-15' AND image_date < '1996-06-01'")
     assert df.count() == want.count() > 0
+
+
+def test_multipolygon_file_to_regions(spark):
+    from terrascore.operators import spatial as SP
+    from terrascore.functions.geometry import point_in_polygon
+    d = local_path(scratch_path(spark, "gj-multi"))
+    os.makedirs(d, exist_ok=True)
+    parts = [SQ, [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]]]
+    feat = {"type": "Feature", "properties": {"field_id": "m1"},
+            "geometry": {"type": "MultiPolygon", "coordinates": parts}}
+    _write_fc(f"{d}/multi.geojson", [feat])
+    f = GJ.read_geojson(spark, f"{d}/multi.geojson")
+    r = SP.regions(f)
+    pts = spark.createDataFrame([(0.5, 0.5), (-8.75, 30.55), (5.0, 5.0)], "x double, y double")
+    got = {(row.x, row.y) for row in pts.crossJoin(r).filter(point_in_polygon("x", "y", "edges")).collect()}
+    assert got == {(0.5, 0.5), (-8.75, 30.55)}
+    geo = json.loads(GJ.polygons_table(f).first().geometry)
+    assert geo == {"type": "MultiPolygon", "coordinates": parts}
