@@ -24,19 +24,18 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the workers, wherever the driver was started.
 
-    The package's sources are zipped once per application and handed to
+    The library's sources are zipped once per application and handed to
     ``addPyFile``, which serves them to every executor, later ones too."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="terrascore-src-"), "terrascore_llm.zip")
+    path = os.path.join(tempfile.mkdtemp(prefix="terrascore-src-"), "terrascore_src.zip")
     with zipfile.ZipFile(path, "w") as z:
-        z.write(os.path.join(top, "__init__.py"), "terrascore/__init__.py")
-        here = os.path.join(top, "llm")
-        for name in sorted(os.listdir(here)):
-            if name.endswith(".py"):
-                z.write(os.path.join(here, name), f"terrascore/llm/{name}")
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    z.write(full := os.path.join(folder, name), os.path.join("terrascore", os.path.relpath(full, top)))
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
 

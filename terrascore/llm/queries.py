@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding, suffix_dedup
+from . import exact_dedup, fingerprints, line_dedup, lm_score, packing, sharding, suffix_dedup, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,34 @@ FROM placed JOIN fill ON fill.slot = placed.slot
 """
 
 
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.stupid_backoff(documents(spark, sf_dir), order=3, min_count=2)
+    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
+
+
+SQL["op3_lm_scoring"] = r"""
+WITH w AS (
+  SELECT doc_id, unnest(a) AS c, unnest(range(len(a))) AS i FROM (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS a
+    FROM documents)),
+g AS (SELECT *, lag(c) OVER o AS b, lag(c, 2) OVER o AS a FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+c1 AS (SELECT c, count(*) AS n FROM g GROUP BY c),
+c2 AS (SELECT b, c, count(*) AS n FROM g WHERE i >= 1 GROUP BY b, c),
+c3 AS (SELECT a, b, c, count(*) AS n FROM g WHERE i >= 2 GROUP BY a, b, c),
+s AS (
+  SELECT g.doc_id,
+    CASE WHEN i >= 2 AND t.n >= 2 THEN ln(t.n / ctx2.n)
+         WHEN i >= 1 AND bi.n >= 2 THEN ln(bi.n / ctx1.n) + CASE WHEN i >= 2 THEN ln(0.4) ELSE 0 END
+         ELSE ln(u.n / (SELECT count(*) FROM w)) + least(i, 2) * ln(0.4) END AS v
+  FROM g JOIN c1 u ON u.c = g.c
+  LEFT JOIN c2 bi ON bi.b = g.b AND bi.c = g.c LEFT JOIN c1 ctx1 ON ctx1.c = g.b
+  LEFT JOIN c3 t ON t.a = g.a AND t.b = g.b AND t.c = g.c LEFT JOIN c2 ctx2 ON ctx2.b = g.a AND ctx2.c = g.b)
+SELECT d.doc_id, count(s.v) AS n_words, round(coalesce(sum(s.v), 0), 4) AS log_score
+FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
@@ -75,3 +103,31 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"), 10, digest=True)
+
+
+SQL["op9_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+gone AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(gone.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE gone.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN gone USING (key) GROUP BY doc_id
+"""

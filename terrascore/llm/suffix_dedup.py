@@ -6,20 +6,25 @@ anchors are sorted: an anchor is the position with the smallest k-mer hash
 among the k-mers of a window of ``length`` bytes, so equal windows have the same
 anchor at the same place, and one suffix in about 32 stands for all of them.
 
-1. Each run of texts (RUN_BYTES) sorts its anchor suffixes, with their common
+1. Anchors whose k-mer stands once in the corpus can't be part of a repeat. The
+   hashes of all anchors are exchanged (each run's distinct ones), and the
+   places of those that stand more than once go back to their documents.
+2. Each run of texts (RUN_BYTES) sorts its remaining suffixes, with their common
    prefixes, and settles the windows that repeat inside the run. Of equal
    windows only the first goes on, so a passage that a third of all documents
    share leaves a run once.
-2. The sorted runs are exchanged front-coded: of each suffix only what follows
+3. The sorted runs are exchanged front-coded: of each suffix only what follows
    the prefix it shares with the one before. The hash of the anchor's k-mer
    names the partition, so frequent first letters make no hot partition.
-3. Each partition combines its runs with a loser tree. It holds the common
+4. Each partition combines its runs with a loser tree. It holds the common
    prefix of each run's head with the last suffix put out; heads with different
    ones are ordered by these alone, and equal ones are compared from there on.
-4. In the merged order, equal right sides are neighbours whose common prefix is
+5. In the merged order, equal right sides are neighbours whose common prefix is
    long enough; the left sides are sorted likewise. Both together decide each
    window exactly, on the bytes.
 
+The texts are dealt by doc_id once; steps 2 and the removal both read that exchange.
+
 Null text counts as empty and a null doc_id as the smallest one. Rows with the
 same doc_id are one place in the order: what only they share stays in all.
 """
@@ -222,17 +227,82 @@ class LoserTree:
             self.top = top
 
 
+def anchor_hashes(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Each run's distinct anchor hashes, with the place of those that stand once in
+    it (kind 0), and the places of the others (kind 1)."""
+    names = ["pid", "kind", "value"]
+    for batch in batches:
+        ids = int_column(batch, "doc_id")
+        for i, j, data, off in runs(batch):
+            pos, most, least, h = anchors(data, off, length)
+            if not len(pos):
+                continue
+            doc, row = ids[i:j], np.searchsorted(off, pos, "right") - 1
+            place = (pos - off[row]) << 16 | most << 8 | least
+            _, first, which, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+            again = count[which] > 1
+            values, pids, kinds = [pack(doc[row[again]], place[again])], [int(h[0] % np.uint64(parts))], [1]
+            first = np.sort(first)  # text order, in which places pack well
+            pid = ((h[first] >> np.uint64(24)) % np.uint64(parts)).astype(np.int64)
+            first = first[np.argsort(pid, kind="stable")]
+            bounds = np.searchsorted(np.sort(pid), np.arange(parts + 1))
+            for p in np.flatnonzero(np.diff(bounds)):
+                s = first[bounds[p]:bounds[p + 1]]
+                once = s[~again[s]]
+                values.append(pack(h[np.r_[once, s[again[s]]]] >> np.uint64(24), doc[row[once]], place[once]))
+                pids.append(p)
+                kinds.append(0)
+            yield binary_batch(names, pa.array(pids, pa.int32()), pa.array(kinds, pa.int32()), pa.array(values, pa.binary()))
+
+
+def shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places (doc_id, place) of the anchors whose hash stands more than once."""
+    got: list[list[np.ndarray]] = []
+
+    def out(doc, place):
+        for i in range(0, len(doc), 50_000):
+            yield binary_batch(["doc_id", "place"], doc[i:i + 50_000], place[i:i + 50_000])
+
+    for batch in batches:
+        for kind, value in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            if kind == 1:
+                yield from out(*unpack(value))
+            else:
+                got.append(unpack(value))
+    if got:
+        _, which, count = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True, return_counts=True)
+        many, at = count[which] > 1, 0
+        for h, doc, place in got:
+            keep = many[at:at + len(doc)]
+            at += len(h)
+            yield from out(doc[keep], place[keep])
+
+
+def given_anchors(data: np.ndarray, off: np.ndarray, places: pa.ListArray, length: int) -> tuple[np.ndarray, ...]:
+    """The anchors named for each row: row, place, most and least bytes of a window before it, k-mer hash."""
+    code = np.asarray(places.flatten(), dtype=np.int64)
+    row = np.repeat(np.arange(len(places)), np.diff(np.asarray(places.offsets)))
+    most, least = code >> 8 & 255, code & 255
+    pos = (code >> 16) + off[row]
+    fits = (pos - most >= off[row]) & (pos - least + length <= off[row + 1])  # places of another row with this doc_id need not
+    row, pos, most, least = row[fits], pos[fits], most[fits], least[fits]
+    h = np.zeros(len(pos), np.uint64)
+    for c in range(length - WINDOW_KMERS + 1):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + data[pos + c] + _ONE
+    return row, pos, most, least, mix(h)
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Front-coded sorted runs (kind 0), and the spans settled inside a run (kind 1)."""
     names = ["pid", "kind", "value"]
     for batch in batches:
-        ids, tags = int_column(batch, "doc_id"), int_column(batch, "tag").astype(np.int32)
+        ids, tags = int_column(batch, "_key"), int_column(batch, "_tag").astype(np.int32)
+        places = batch.column(batch.schema.get_field_index("_places"))
         for i, j, data, off in runs(batch):
             doc, tag = ids[i:j], tags[i:j]
-            pos, most, least, h = anchors(data, off, length)
+            row, pos, most, least, h = given_anchors(data, off, places.slice(i, j - i), length)
             if not len(pos):
                 continue
-            row = np.searchsorted(off, pos, "right") - 1
             right = gather(data, pos, length - least, length)
             o = np.argsort(strings(right), kind="stable")
             pos, most, least, h, row, right = pos[o], most[o], least[o], h[o], row[o], right[o]
@@ -339,11 +409,11 @@ def cut(batches: Iterator[pa.RecordBatch], names: list[str], digest: bool) -> It
     for batch in batches:
         data, off = text_view(batch.column(batch.schema.get_field_index("text")))
         whole = data.tobytes()
-        lists = batch.column(batch.schema.get_field_index("spans")).to_pylist()
+        lists, tags = batch.column(batch.schema.get_field_index("_spans")).to_pylist(), batch.column(batch.schema.get_field_index("_tag")).to_pylist()
         kept, size, gone, count = [], [], [], []
         for i, found in enumerate(lists):
             row, parts, at, removed, n, end = whole[off[i]:off[i + 1]], [], 0, 0, 0, -1
-            for a, b in sorted((x["a"], x["b"]) for x in found or ()):
+            for a, b in sorted((x["a"], x["b"]) for x in found or () if x["tag"] == tags[i]):
                 n += a > end
                 end = max(end, b)
                 if b > at:
@@ -361,27 +431,25 @@ def cut(batches: Iterator[pa.RecordBatch], names: list[str], digest: bool) -> It
                                          names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"])
 
 
-def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
-    """Spans of bytes to remove: doc_id, tag (hash of the text, for rows that share a doc_id), a, b (they may overlap)."""
+def remove_repeats(docs: DataFrame, length: int = 100, digest: bool = False) -> DataFrame:
+    """All columns of ``docs``, n_bytes, n_removed, n_spans and the kept bytes (``kept``, or with digest ``kept_sha256``)."""
     if not WINDOW_KMERS < length < 256:
         raise ValueError(f"length must lie between {WINDOW_KMERS + 1} and 255")
     spark = docs.sparkSession
     ship(spark)
     parts = shuffle_partitions(spark)
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.hash("text").alias("tag"))
-    front = rows.mapInArrow(lambda it: sorted_runs(it, length, parts), "pid int, kind int, value binary")
-    return front.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: merge_runs(it, length), "doc_id long, tag int, a long, b long")
+    docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "_spans", "_places", "_id", "_tag", "_key")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
+    rows = docs.withColumn("_key", key).withColumn("_tag", F.hash("text"))
+
+    hashes = docs.select(key.alias("doc_id"), "text").mapInArrow(lambda it: anchor_hashes(it, length, parts), "pid int, kind int, value binary")
+    places = hashes.repartitionById(parts, F.col("pid")).mapInArrow(shared_anchors, "doc_id long, place long")
+    by_doc = places.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("place").alias("_places"))
+    front = rows.join(by_doc, F.col("_key") == F.col("_id")).mapInArrow(lambda it: sorted_runs(it, length, parts), "pid int, kind int, value binary")
+    spans_found = front.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: merge_runs(it, length), "doc_id long, tag int, a long, b long")
+    found = spans_found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("tag", "a", "b")).alias("_spans"))
+    joined = rows.join(found, F.col("_key") == F.col("_id"), "left")
 
-
-def remove_repeats(docs: DataFrame, length: int = 100, digest: bool = False) -> DataFrame:
-    """All columns of ``docs``, n_bytes, n_removed, n_spans and the kept bytes (``kept``, or with digest ``kept_sha256``)."""
-    clash = {"n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "spans", "_id", "_tag"} & set(docs.columns)
-    if clash:
-        docs = docs.drop(*clash)
-    found = repeated_spans(docs, length).groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(
-        F.collect_list(F.struct("a", "b")).alias("spans"))
-    rows = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")))
-    joined = rows.join(found, (F.col("_key") == F.col("_id")) & (F.hash("text") == F.col("_tag")), "left").drop("_key", "_id", "_tag")
     names = [c for c in docs.columns if not (digest and c == "text")]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "kept binary")
