@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, line_dedup, lm_score, packing, sharding, suffix_dedup, toxicity
+from . import exact_dedup, fingerprints, line_dedup, lm_score, packing, sentencepiece, sharding, suffix_dedup, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,11 @@ SELECT doc_id, count(*) AS n_lines, count(gone.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE gone.key IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN gone USING (key) GROUP BY doc_id
 """
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    encoded = sentencepiece.encode_sampled(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), seed=1, verify=True)
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "lossless")
