@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one in-memory run holds (one longer document makes a longer run).
 RUN_BYTES = 8 << 20
@@ -191,3 +192,20 @@ def unpack(value: bytes) -> list[np.ndarray]:
 
 def binary_batch(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+
+
+#: A key that holds at least this part of the rows is joined by broadcast: there are no more than so many.
+HOT = 1000
+
+
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], size: str, total: int, spread: str) -> DataFrame:
+    """Inner join with a table of one row for each key, whose column ``size`` says how many of the ``total``
+    rows on the left have it. The rows of hot keys meet it by broadcast, and are dealt evenly by the column ``spread``."""
+    others = [c for c in right.columns if c not in keys]
+    value = F.struct(*others)
+    hot = right.where(F.col(size) * HOT >= total).select(*keys, value.alias("_hot"))
+    salt = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(F.lit(1) + F.pmod(F.xxhash64(spread), F.lit(1 << 16))).cast("int")
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt)
+    cold = right.select(*keys, value.alias("_cold"), F.lit(0).alias("_salt"))
+    both = dealt.join(cold, [*keys, "_salt"], "left").withColumn("_value", F.coalesce("_hot", "_cold")).where(F.col("_value").isNotNull())
+    return both.select(*left.columns, *[F.col(f"_value.{c}").alias(c) for c in others])

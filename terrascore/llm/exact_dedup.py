@@ -18,8 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A group with at least this part of all rows is joined by broadcast.
-HOT = 1000
+from .common import join_counted
+
 WHITE = "\x20\t\n\x0b\x0c\r"
 
 
@@ -53,15 +53,10 @@ def groups(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128)
 
 def exact_duplicates(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256 of the normalised text."""
-    rows, found = keyed(docs.select("doc_id", "text"), content_hash).select("doc_id", "_hash", "_sha"), groups(docs, content_hash)
-    # groups with a HOT-th of all rows number HOT at most; they are broadcast, and their rows dealt evenly
-    hot = found.where(F.col("group_size") * HOT >= docs.count()).select("_hash", "_sha", F.col("keep_id").alias("hot_id"), F.col("group_size").alias("hot_size"))
-    salt = F.when(F.col("hot_size").isNull(), F.lit(0)).otherwise(F.lit(1) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 16))).cast("int")
-    dealt = rows.join(F.broadcast(hot), ["_hash", "_sha"], "left").withColumn("salt", salt)
-    keep = F.when(F.col("hot_size").isNull(), F.col("keep_id")).otherwise(F.col("hot_id"))
-    return (dealt.join(found.withColumn("salt", F.lit(0)), ["_hash", "_sha", "salt"], "left").withColumn("keep_id", keep)
-            .select("doc_id", "keep_id", F.coalesce("hot_size", "group_size").alias("group_size"),
-                    F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("_sha").alias("text_sha256")))
+    rows = keyed(docs.select("doc_id", "text"), content_hash).select("doc_id", "_hash", "_sha")
+    met = join_counted(rows, groups(docs, content_hash), ["_hash", "_sha"], "group_size", docs.count(), "doc_id")
+    return met.select("doc_id", "keep_id", "group_size", F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")).alias("kept"),
+                      F.col("_sha").alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, line_dedup, lm_score, packing, sentencepiece, sharding, suffix_dedup, toxicity
+from . import exact_dedup, fingerprints, line_dedup, lm_score, minhash_dedup, packing, sentencepiece, sharding, suffix_dedup, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,25 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     encoded = sentencepiece.encode_sampled(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), seed=1, verify=True)
     return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "lossless")
+
+
+@query
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir), words=2, percent=80)
+
+
+SQL["op10_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS a
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(a) = 0 THEN [] WHEN len(a) = 1 THEN [a[1]]
+                                 ELSE list_transform(range(1, len(a)), lambda i: a[i] || ' ' || a[i + 1]) END) AS x FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.x = y.x AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""
