@@ -193,8 +193,9 @@ class LoserTree:
         if h != g:
             return (a, b) if h > g else (b, a)
         if x == y:
-            self.known[b] = len(x)
-            return (a, b) if a < b else (b, a)
+            first, second = min(a, b), max(a, b)
+            self.known[second] = len(x)
+            return first, second
         n = min(len(x), len(y))
         while h + 16 <= n and x[h:h + 16] == y[h:h + 16]:
             h += 16
@@ -296,8 +297,8 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> I
     """Front-coded sorted runs (kind 0), and the spans settled inside a run (kind 1)."""
     names = ["pid", "kind", "value"]
     for batch in batches:
-        ids, tags = int_column(batch, "_key"), int_column(batch, "_tag").astype(np.int32)
-        places = batch.column(batch.schema.get_field_index("_places"))
+        ids, tags = int_column(batch, "__key"), int_column(batch, "__tag").astype(np.int32)
+        places = batch.column(batch.schema.get_field_index("__places"))
         for i, j, data, off in runs(batch):
             doc, tag = ids[i:j], tags[i:j]
             row, pos, most, least, h = given_anchors(data, off, places.slice(i, j - i), length)
@@ -324,7 +325,7 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> I
             for p in np.flatnonzero(np.diff(bounds)):
                 s = order[bounds[p]:bounds[p + 1]]
                 bits = mask[s]
-                far = length - np.log2((bits & (~bits + _ONE)).astype(np.float64)).astype(np.int64)  # right bytes needed
+                far = length - least[s]  # right bytes; as they were sorted
                 near = np.frexp(bits.astype(np.float64))[1] - 1  # left bytes needed
                 near -= (_ONE << np.minimum(near, 63).astype(np.uint64)) > bits  # rounding of large masks
                 head = common(right[s])
@@ -404,12 +405,16 @@ def merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
         yield from out(pair[0][0][key], pair[0][1][key].astype(np.int32), a, b)
 
 
-def cut(batches: Iterator[pa.RecordBatch], names: list[str], digest: bool) -> Iterator[pa.RecordBatch]:
+#: What ``remove_repeats`` returns of each text: column and type.
+KEPT = {"bytes": ("kept", "binary"), "text": ("kept_text", "string"), "sha256": ("kept_sha256", "string")}
+
+
+def cut(batches: Iterator[pa.RecordBatch], names: list[str], kept_as: str) -> Iterator[pa.RecordBatch]:
     """Remove the spans of each row from its text."""
     for batch in batches:
         data, off = text_view(batch.column(batch.schema.get_field_index("text")))
         whole = data.tobytes()
-        lists, tags = batch.column(batch.schema.get_field_index("_spans")).to_pylist(), batch.column(batch.schema.get_field_index("_tag")).to_pylist()
+        lists, tags = batch.column(batch.schema.get_field_index("__spans")).to_pylist(), batch.column(batch.schema.get_field_index("__tag")).to_pylist()
         kept, size, gone, count = [], [], [], []
         for i, found in enumerate(lists):
             row, parts, at, removed, n, end = whole[off[i]:off[i + 1]], [], 0, 0, 0, -1
@@ -426,31 +431,37 @@ def cut(batches: Iterator[pa.RecordBatch], names: list[str], digest: bool) -> It
             gone.append(removed)
             count.append(n)
         extra = [pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64())]
-        extra.append(pa.array([hashlib.sha256(x).hexdigest() for x in kept]) if digest else pa.array(kept, pa.binary()))
+        if kept_as == "sha256":
+            extra.append(pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()))
+        elif kept_as == "text":
+            extra.append(pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()))
+        else:
+            extra.append(pa.array(kept, pa.binary()))
         yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(x)) for x in names), *extra],
-                                         names=[*names, "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"])
+                                         names=[*names, "n_bytes", "n_removed", "n_spans", KEPT[kept_as][0]])
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, digest: bool = False) -> DataFrame:
-    """All columns of ``docs``, n_bytes, n_removed, n_spans and the kept bytes (``kept``, or with digest ``kept_sha256``)."""
+def remove_repeats(docs: DataFrame, length: int = 100, kept_as: str = "bytes") -> DataFrame:
+    """The columns of ``docs`` but the text, n_bytes, n_removed, n_spans and what is kept of the text, as KEPT names it:
+    the bytes, the text (code points cut apart are left out), or the bytes' SHA-256."""
     if not WINDOW_KMERS < length < 256:
         raise ValueError(f"length must lie between {WINDOW_KMERS + 1} and 255")
     spark = docs.sparkSession
     ship(spark)
     parts = shuffle_partitions(spark)
-    docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "_spans", "_places", "_id", "_tag", "_key")
+    docs = docs.drop("n_bytes", "n_removed", "n_spans", KEPT[kept_as][0])
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
-    rows = docs.withColumn("_key", key).withColumn("_tag", F.hash("text"))
+    rows = docs.withColumn("__key", key).withColumn("__tag", F.hash("text"))
 
     hashes = docs.select(key.alias("doc_id"), "text").mapInArrow(lambda it: anchor_hashes(it, length, parts), "pid int, kind int, value binary")
     places = hashes.repartitionById(parts, F.col("pid")).mapInArrow(shared_anchors, "doc_id long, place long")
-    by_doc = places.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("place").alias("_places"))
-    front = rows.join(by_doc, F.col("_key") == F.col("_id")).mapInArrow(lambda it: sorted_runs(it, length, parts), "pid int, kind int, value binary")
+    by_doc = places.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("place").alias("__places"))
+    front = rows.join(by_doc, F.col("__key") == F.col("__id")).mapInArrow(lambda it: sorted_runs(it, length, parts), "pid int, kind int, value binary")
     spans_found = front.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: merge_runs(it, length), "doc_id long, tag int, a long, b long")
-    found = spans_found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("tag", "a", "b")).alias("_spans"))
-    joined = rows.join(found, F.col("_key") == F.col("_id"), "left")
+    found = spans_found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("tag", "a", "b")).alias("__spans"))
+    joined = rows.join(found, F.col("__key") == F.col("__id"), "left")
 
-    names = [c for c in docs.columns if not (digest and c == "text")]
+    names = [c for c in docs.columns if c != "text"]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", n_bytes long, n_removed long, n_spans long, " + ("kept_sha256 string" if digest else "kept binary")
-    return joined.mapInArrow(lambda it: cut(it, names, digest), schema)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", n_bytes long, n_removed long, n_spans long, " + " ".join(KEPT[kept_as])
+    return joined.mapInArrow(lambda it: cut(it, names, kept_as), schema)
