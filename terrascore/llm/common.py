@@ -55,7 +55,8 @@ def text_view(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
         column = column.combine_chunks()
         if isinstance(column, pa.ChunkedArray):
             column = pa.concat_arrays(column.chunks)
-    column = pc.fill_null(column, "") if column.null_count else column
+    if column.null_count:
+        column = pc.fill_null(column, pa.scalar(b"" if pa.types.is_binary(column.type) else "", column.type))
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     kind = np.int64 if large else np.int32
@@ -203,9 +204,9 @@ def join_counted(left: DataFrame, right: DataFrame, keys: list[str], size: str,
     rows on the left have it. The rows of hot keys meet it by broadcast, and are dealt evenly by the column ``spread``."""
     others = [c for c in right.columns if c not in keys]
     value = F.struct(*others)
-    hot = right.where(F.col(size) * HOT >= total).select(*keys, value.alias("_hot"))
-    salt = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(F.lit(1) + F.pmod(F.xxhash64(spread), F.lit(1 << 16))).cast("int")
-    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt)
-    cold = right.select(*keys, value.alias("_cold"), F.lit(0).alias("_salt"))
-    both = dealt.join(cold, [*keys, "_salt"], "left").withColumn("_value", F.coalesce("_hot", "_cold")).where(F.col("_value").isNotNull())
-    return both.select(*left.columns, *[F.col(f"_value.{c}").alias(c) for c in others])
+    hot = right.where(F.col(size) * HOT >= total).select(*keys, value.alias("__hot"))
+    salt = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.lit(1) + F.pmod(F.xxhash64(spread), F.lit(1 << 16))).cast("int")
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt)
+    cold = right.select(*keys, value.alias("__cold"), F.lit(0).alias("__salt"))
+    both = dealt.join(cold, [*keys, "__salt"], "left").withColumn("__value", F.coalesce("__hot", "__cold")).where(F.col("__value").isNotNull())
+    return both.select(*left.columns, *[F.col(f"__value.{c}").alias(c) for c in others])

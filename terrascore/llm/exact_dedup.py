@@ -37,30 +37,30 @@ def md5_128(text: Column) -> Column:
 
 def keyed(docs: DataFrame, content_hash: Callable[[Column], Column]) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return (docs.withColumn("_norm", normalised(F.col("text"))).withColumn("_n", F.char_length(text))
-            .withColumn("_hash", content_hash(F.col("_norm"))).withColumn("_sha", F.sha2(F.col("_norm").cast("binary"), 256)))
+    return (docs.withColumn("__norm", normalised(F.col("text"))).withColumn("__n", F.char_length(text))
+            .withColumn("__hash", content_hash(F.col("__norm"))).withColumn("__sha", F.sha2(F.col("__norm").cast("binary"), 256)))
 
 
 def groups(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
     """One row per text: _hash, _sha, keep_id, group_size."""
-    best = F.max(F.struct(F.col("_n"), F.bitwise_not(F.col("doc_id").cast("long")).alias("id")))  # ~ turns the order and can't overflow
-    each = (keyed(docs.select("doc_id", "text"), content_hash).groupBy("_hash", "_sha", "_norm")
+    best = F.max(F.struct(F.col("__n"), F.bitwise_not(F.col("doc_id").cast("long")).alias("id")))  # ~ turns the order and can't overflow
+    each = (keyed(docs.select("doc_id", "text"), content_hash).groupBy("__hash", "__sha", "__norm")
             .agg(best.alias("best"), F.count(F.lit(1)).alias("n")))
-    one = each.groupBy("_hash", "_sha").agg(F.first("best").alias("best"), F.first("n").alias("group_size"), F.count(F.lit(1)).alias("texts"))
+    one = each.groupBy("__hash", "__sha").agg(F.first("best").alias("best"), F.first("n").alias("group_size"), F.count(F.lit(1)).alias("texts"))
     alone = F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts share both digests")).cast("long")).otherwise(F.col("group_size"))
-    return one.select("_hash", "_sha", F.bitwise_not(F.col("best.id")).alias("keep_id"), alone.alias("group_size"))
+    return one.select("__hash", "__sha", F.bitwise_not(F.col("best.id")).alias("keep_id"), alone.alias("group_size"))
 
 
 def exact_duplicates(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256 of the normalised text."""
-    rows = keyed(docs.select("doc_id", "text"), content_hash).select("doc_id", "_hash", "_sha")
-    met = join_counted(rows, groups(docs, content_hash), ["_hash", "_sha"], "group_size", docs.count(), "doc_id")
+    rows = keyed(docs.select("doc_id", "text"), content_hash).select("doc_id", "__hash", "__sha")
+    met = join_counted(rows, groups(docs, content_hash), ["__hash", "__sha"], "group_size", docs.count(), "doc_id")
     return met.select("doc_id", "keep_id", "group_size", F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")).alias("kept"),
-                      F.col("_sha").alias("text_sha256"))
+                      F.col("__sha").alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
     """The rows that stay, with the columns of ``docs``; of rows alike in all but other columns, the greatest."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    best = F.max(F.struct(F.col("_n"), F.bitwise_not(F.col("doc_id").cast("long")).alias("id"), row.alias("row")))
-    return (keyed(docs, content_hash).groupBy("_hash", "_sha", "_norm").agg(best.alias("best")).select("best.row.*"))
+    best = F.max(F.struct(F.col("__n"), F.bitwise_not(F.col("doc_id").cast("long")).alias("id"), row.alias("row")))
+    return (keyed(docs, content_hash).groupBy("__hash", "__sha", "__norm").agg(best.alias("best")).select("best.row.*"))

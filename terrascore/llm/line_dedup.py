@@ -141,7 +141,7 @@ def cut(batches: Iterator[pa.RecordBatch], names: list[str], digest: bool) -> It
         data, off = text_view(batch.column(batch.schema.get_field_index("text")))
         whole = data.tobytes()
         dropped, count, kept = [], [], []
-        for i, found in enumerate(batch.column(batch.schema.get_field_index("_keys")).to_pylist()):
+        for i, found in enumerate(batch.column(batch.schema.get_field_index("__keys")).to_pylist()):
             row = whole[off[i]:off[i + 1]]
             if found:
                 first = {x["key"]: x["first"] for x in found}  # key, and whether its first line here stays
@@ -175,7 +175,7 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, keep_first: bool =
     spark = docs.sparkSession
     ship(spark)
     ensure_checkpoint_dir(spark)
-    docs = docs.drop("n_lines", "n_dropped", "kept_text", "kept_sha256", "_keys", "_id", "_tag")
+    docs = docs.drop("n_lines", "n_dropped", "kept_sha256" if digest else "kept_text")
     rows = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("tag"), F.col("text").cast("string").alias("text"))
     shared, bits = repeat_filter(rows)
     held = rows.mapInArrow(lambda it: suspected(it, shared, bits), "doc_id long, tag int, key binary").checkpoint()
@@ -184,8 +184,8 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, keep_first: bool =
     dealt = counted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     gone = (held.withColumn("salt", salt).join(dealt, ["key", "salt"])
             .select("doc_id", "tag", "key", (F.col("doc_id").eqNullSafe(F.col("least")) if keep_first else F.lit(False)).alias("first")))
-    by_doc = gone.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_set(F.struct("key", "first")).alias("_keys"))
-    joined = docs.join(by_doc, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.hash("text") == F.col("_tag")), "left").drop("_id", "_tag")
+    by_doc = gone.groupBy(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).agg(F.collect_set(F.struct("key", "first")).alias("__keys"))
+    joined = docs.join(by_doc, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.hash("text") == F.col("__tag")), "left").drop("__id", "__tag")
     names = [c for c in docs.columns if not (digest and c == "text")]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", n_lines long, n_dropped long, " + ("kept_sha256 string" if digest else "kept_text string")

@@ -6,18 +6,20 @@ A document's set are its distinct shingles of ``words`` words; documents are lin
 1. Each text gets its set's size, a 128-bit key of the set, and a signature: the least
    hash of the set under each of COORDINATES permutations. Documents with the
    same key are one class from here on, whatever their number.
-2. Classes are posted under their coordinate-value pairs. Two linked classes agree in
-   MATCHES coordinates or more (all but one in ten million pairs at the very
-   threshold), so it is enough to post a class under its rarest pairs, all but
-   MATCHES - 1 of those that others have too (the prefix); a class with fewer than
-   MATCHES such pairs has no partner and is skipped.
-3. First, each class is held against the smallest doc_id of its posts, where they collide
-   MATCHES times or more: a star for each large group of near copies, linear in its size.
-   The links are confirmed and closed.
-4. Then the posts are merged: classes under one pair that no link joins yet are
-   candidates. Posts of one component make none (skip), so a group of near copies, however
-   large, costs what its unlinked rest costs. Candidates that collide MATCHES
-   times over the whole signature are confirmed, and all links are closed.
+2. Classes are posted under the coordinate-value pairs of the first POSTED ones. Two
+   linked classes agree in SHARED of these or more (all but one in ten million pairs at
+   the very threshold), so it is enough to post a class under its rarest pairs, all but
+   SHARED - 1 of those that others have too (the prefix); a class with fewer than
+   SHARED such pairs has no partner and is skipped.
+3. Each class is held against the smallest doc_id of its posts, where they collide
+   SHARED times or more: a star for each group of near copies, linear in its size. The
+   links are confirmed and closed. Then the posts are merged, and each offers the
+   one post of another component with which it collides most, from LIKELY collisions on:
+   at most one candidate a post. These are confirmed and closed as well.
+4. Last, all posts of different components under one pair are candidates where they collide
+   MATCHES times over the whole signature. Posts of one component make none (skip), so
+   a group of near copies costs what its unlinked rest costs. The candidates
+   are confirmed, and all links are closed.
 
 Links are confirmed on the words of both whole texts. Nothing is capped. Words are
 ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case. A text with fewer words than a shingle has one
@@ -37,10 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import int_column, join_counted, mix, runs, ship, shuffle_partitions
+from .common import int_column, join_counted, mix, runs, ship, shuffle_partitions, text_view
 from .lm_score import grams
 
-COORDINATES, MATCHES = 32, 12
+COORDINATES, MATCHES, LIKELY = 64, 33, 45
+POSTED, SHARED = 32, 12
 #: Posts of one pair that one task holds against each other.
 BLOCK = 1024
 NULL_ID = -(1 << 63)
@@ -64,7 +67,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndar
 
 
 def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Per row: id, n, key of the set, posts (coordinate and value as one number)."""
+    """Per row: id, n, key of the set, posts (coordinate and value as one number), and a byte of each coordinate."""
     for batch in batches:
         ids = int_column(batch, "id")
         for i, j, data, off in runs(batch):
@@ -72,58 +75,92 @@ def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
             n, has = np.diff(at), np.flatnonzero(np.diff(at))
             start = at[:-1][has]
             keys = np.zeros((j - i, 2), np.uint64)
-            posts = np.zeros((j - i, COORDINATES), np.int64)
+            posts, short = np.zeros((j - i, POSTED), np.int64), np.zeros((j - i, COORDINATES), np.uint8)
             if len(has):
                 for c in range(2):
                     keys[has, c] = np.add.reduceat(mix(h ^ _SEEDS[COORDINATES + c]), start)
                 for c in range(COORDINATES):
                     least = np.minimum.reduceat(mix(h ^ _SEEDS[c]), start)
-                    posts[has, c] = (np.uint64(c) << np.uint64(32) | least >> np.uint64(32)).astype(np.int64)
-            raw = keys.tobytes()
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * COORDINATES, COORDINATES, dtype=np.int32)), pa.array(posts.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(n), pa.array([raw[16 * r:16 * r + 16] for r in range(j - i)], pa.binary()), lists],
-                                             names=["id", "n", "key", "sig"])
+                    short[has, c] = least & np.uint64(255)
+                    if c < POSTED:
+                        posts[has, c] = (np.uint64(c) << np.uint64(32) | least >> np.uint64(32)).astype(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * POSTED, POSTED, dtype=np.int32)), pa.array(posts.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(n), pa.array([x.tobytes() for x in keys], pa.binary()), lists,
+                                              pa.array([x.tobytes() for x in short], pa.binary())], names=["id", "n", "key", "posts", "sig"])
 
 
-def merge_posts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Candidates among the posts of each pair and block (rows come sorted by both): a < b, in different components."""
-    held: list[np.ndarray] = []
+def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) -> Iterator[pa.RecordBatch]:
+    """Candidates among the posts of each pair and block (rows come sorted by both): a < b, in different components.
+    All that collide MATCHES times, or with ``best`` each post's one that collides most."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def pairs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(rows: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         _, block, rep, n, comp, rest = rows
         found_a, found_b = [], []
-        for s in range(0, len(rep), BLOCK):
-            q = slice(s, s + BLOCK)
-            ok = (comp[q, None] != comp[s:]) & (100 * n[q, None] >= percent * n[s:]) & (100 * n[s:] >= percent * n[q, None])
+        for s in range(0, len(rep), 128):
+            q = slice(s, s + 128)
+            ok = (comp[q, None] != comp) & (100 * n[q, None] >= percent * n) & (100 * n >= percent * n[q, None])
             if block[0]:  # two posts of the rest meet in the first block
-                ok &= ~((rest[q, None] == 1) & (rest[s:] == 1))
+                ok &= ~((rest[q, None] == 1) & (rest == 1))
+            if not best:
+                ok &= np.arange(len(rep))[q, None] < np.arange(len(rep))
             x, y = np.nonzero(ok)
-            up = x < y
-            found_a.append(rep[q][x[up]]), found_b.append(rep[s:][y[up]])
+            if not len(x):
+                continue
+            hits = np.concatenate([np.count_nonzero(sig[q][x[i:i + 65536]] == sig[y[i:i + 65536]], axis=1) for i in range(0, len(x), 65536)])
+            if best:
+                o = np.lexsort((-hits, x))
+                o = o[np.r_[True, x[o][1:] != x[o][:-1]]]
+                o = o[hits[o] >= LIKELY]
+                x, y = x[o], y[o]
+            else:
+                x, y = x[hits >= MATCHES], y[hits >= MATCHES]
+            found_a.append(rep[q][x]), found_b.append(rep[y])
+        if not found_a:
+            return rep[:0], rep[:0]
         a, b = np.concatenate(found_a), np.concatenate(found_b)
         return np.minimum(a, b), np.maximum(a, b)
 
-    def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def done(rows: np.ndarray, sig: np.ndarray) -> Iterator[pa.RecordBatch]:
         edge = np.flatnonzero(np.r_[True, (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1]), True])
-        out = [pairs(rows[:, x:y]) for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if y - x > 1]
+        out = [pairs(rows[:, x:y], sig[x:y]) for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if y - x > 1]
         if out:
             both = np.unique(np.stack([np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])]), axis=1)
             for x in range(0, both.shape[1], 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(both[0, x:x + 50_000]), pa.array(both[1, x:x + 50_000])], names=["a", "b"])
 
     for batch in batches:
-        rows = np.stack([np.asarray(c.to_numpy(zero_copy_only=False), np.int64) for c in batch.columns])
-        if not rows.shape[1]:
+        if not len(batch):
             continue
-        held.append(rows)
+        rows = np.stack([np.asarray(c.to_numpy(zero_copy_only=False), np.int64) for c in batch.columns[:-1]])
+        sig = text_view(batch.column(batch.num_columns - 1).cast(pa.binary()))[0].reshape(len(batch), -1)
+        held.append((rows, sig))
         last = rows[:2, -1]
-        if (held[0][:2, 0] != last).any():  # all but the last, perhaps unfinished, group
-            rows = np.concatenate(held, axis=1)
+        if (held[0][0][:2, 0] != last).any():  # all but the last, perhaps unfinished, group
+            rows, sig = np.concatenate([r for r, _ in held], axis=1), np.concatenate([g for _, g in held])
             cut = int(np.flatnonzero((rows[:2] != last[:, None]).any(axis=0))[-1]) + 1
-            yield from done(rows[:, :cut])
-            held = [rows[:, cut:]]
+            yield from done(rows[:, :cut], sig[:cut])
+            held = [(rows[:, cut:], sig[cut:])]
     if held:
-        yield from done(np.concatenate(held, axis=1))
+        yield from done(np.concatenate([r for r, _ in held], axis=1), np.concatenate([g for _, g in held]))
+
+
+def candidates(posts: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Candidate pairs (a, b) of posts: post, rep, n, comp, sig. A pair with more than BLOCK posts is held in blocks:
+    its largest component's posts are dealt over them, and the rest's put in each."""
+    parts = shuffle_partitions(posts.sparkSession)
+    groups = posts.groupBy("post").agg(F.count(F.lit(1)).alias("g"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("post", "g")
+    big = groups.where(F.col("g") > BLOCK)
+    major = (posts.join(big, "post", "left_semi").groupBy("post", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("post")
+             .agg(F.max_by("comp", F.struct("k", "comp")).alias("major")))
+    met = join_counted(posts, groups.join(major, "post", "left"), ["post"], "g", max(1, posts.count()), "rep")
+    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
+    rest = F.when(F.col("major").isNotNull() & (F.col("comp") != F.col("major")), F.lit(1)).otherwise(F.lit(0))
+    to = (F.when(F.col("major").isNull(), F.array(F.lit(0))).when(F.col("comp") == F.col("major"), F.array(F.pmod(F.xxhash64("rep"), blocks).cast("int")))
+          .otherwise(F.sequence(F.lit(0), blocks - 1)))
+    dealt = met.select("post", F.explode(to).alias("block"), "rep", "n", "comp", rest.alias("rest"), "sig")
+    return (dealt.repartition(parts, "post", "block").sortWithinPartitions("post", "block")
+            .mapInArrow(lambda it: merge_posts(it, percent, best), "a long, b long").distinct())
 
 
 def word_set(text: bytes, words: int) -> frozenset:
@@ -192,48 +229,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     ship(spark)
     ensure_checkpoint_dir(spark)
-    parts = shuffle_partitions(spark)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("text").cast("string").alias("text"))
-    base = rows.mapInArrow(lambda it: signatures(it, words), "id long, n long, key binary, sig array<long>").checkpoint()
-    classes = base.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"))
+    base = rows.mapInArrow(lambda it: signatures(it, words), "id long, n long, key binary, posts array<long>, sig binary").checkpoint()
+    classes = base.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep"), F.first("posts").alias("posts"), F.first("sig").alias("sig"))
 
     # a smaller set can only be linked with its equals
     least = next(n for n in range(1, 102) if 100 * n >= percent * (n + 1) or n == 101)
-    posted = classes.where(F.col("n") >= least).select("rep", F.explode("sig").alias("post"))
-    total = base.count() * COORDINATES
+    posted = classes.where(F.col("n") >= least).select("rep", F.explode("posts").alias("post"))
     shared = posted.groupBy("post").agg(F.count(F.lit(1)).alias("f"), F.min("rep").alias("first")).where("f > 1")
-    of_rep = (join_counted(posted, shared, ["post"], "f", total, "rep").groupBy("rep")
-              .agg(F.array_sort(F.collect_list(F.struct("f", "post", "first"))).alias("posts")).where(F.size("posts") >= MATCHES))
+    of_rep = (join_counted(posted, shared, ["post"], "f", base.count() * POSTED, "rep").groupBy("rep")
+              .agg(F.array_sort(F.collect_list(F.struct("f", "post", "first"))).alias("posts")).where(F.size("posts") >= SHARED))
     firsts = F.col("posts.first")
-    stars = F.filter(F.array_distinct(firsts), lambda p: (p != F.col("rep")) & (F.size(F.filter(firsts, lambda x: x == p)) >= MATCHES))
-    prefix = F.slice(F.col("posts.post"), F.lit(1), F.size("posts") - (MATCHES - 1))
-    held = (of_rep.select("rep", prefix.alias("prefix"), stars.alias("stars"))
-            .join(classes.select("rep", "n", "sig"), "rep").checkpoint())
+    stars = F.filter(F.array_distinct(firsts), lambda p: (p != F.col("rep")) & (F.size(F.filter(firsts, lambda x: x == p)) >= SHARED))
+    prefix = F.slice(F.col("posts.post"), F.lit(1), F.size("posts") - (SHARED - 1))
+    held = of_rep.select("rep", prefix.alias("prefix"), stars.alias("stars")).join(classes.select("rep", "n", "sig"), "rep").checkpoint()
 
-    star_pairs = held.select(F.col("rep").alias("b"), F.explode("stars").alias("a")).select("a", "b").distinct()
-    star_links = confirmed(rows, star_pairs, words, percent).checkpoint()
-    joined = components(star_links)
+    def posts_of(links: DataFrame) -> DataFrame:
+        """The posts, with the component that the links so far give."""
+        joined = components(links).withColumnRenamed("node", "rep")
+        return (held.join(joined, "rep", "left").select(F.explode("prefix").alias("post"), "rep", "n", F.coalesce("comp", "rep").alias("comp"), "sig").checkpoint())
 
-    posts = (held.select("rep", "n", "prefix").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-             .select(F.explode("prefix").alias("post"), "rep", "n", F.coalesce("comp", "rep").alias("comp")).checkpoint())
-    groups = posts.groupBy("post").agg(F.count(F.lit(1)).alias("g"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("post", "g")
-    # the largest component of a group that needs several blocks
-    big = groups.where(F.col("g") > BLOCK)
-    major = (posts.join(big, "post", "left_semi").groupBy("post", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("post")
-             .agg(F.max_by("comp", F.struct("k", "comp")).alias("major")))
-    met = join_counted(posts, groups.join(major, "post", "left"), ["post"], "g", max(1, posts.count()), "rep")
-    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
-    rest = F.when(F.col("major").isNotNull() & (F.col("comp") != F.col("major")), F.lit(1)).otherwise(F.lit(0))
-    to = (F.when(F.col("major").isNull(), F.array(F.lit(0))).when(F.col("comp") == F.col("major"), F.array(F.pmod(F.xxhash64("rep"), blocks).cast("int")))
-          .otherwise(F.sequence(F.lit(0), blocks - 1)))
-    dealt = met.select("post", F.explode(to).alias("block"), "rep", "n", "comp", rest.alias("rest"))
-    merged = (dealt.repartition(parts, "post", "block").sortWithinPartitions("post", "block")
-              .mapInArrow(lambda it: merge_posts(it, percent), "a long, b long").distinct())
-    sigs = held.select("rep", "sig")
-    alike = (merged.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-             .where(F.size(F.array_intersect("sa", "sb")) >= MATCHES).select("a", "b"))
-    links = confirmed(rows, alike, words, percent)
-    final = components(star_links.union(links))
+    pairs = held.select(F.explode("stars").alias("a"), F.col("rep").alias("b")).distinct()
+    links = confirmed(rows, pairs, words, percent).checkpoint()
+    links = links.union(confirmed(rows, candidates(posts_of(links), percent, True), words, percent)).checkpoint()
+    links = links.union(confirmed(rows, candidates(posts_of(links), percent, False), words, percent))
+    final = components(links)
 
     of_class = (classes.select("key", "n", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
                 .select("key", "n", F.coalesce("comp", "rep").alias("comp")))
@@ -247,5 +267,5 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose doc_id is their component's."""
-    found = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    found = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_semi")

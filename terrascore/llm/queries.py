@@ -24,7 +24,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), 100, digest=True)
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"), 100, kept_as="sha256")
 
 
 @query
@@ -65,7 +65,8 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op3_lm_scoring"] = r"""
 WITH w AS (
   SELECT doc_id, unnest(a) AS c, unnest(range(len(a))) AS i FROM (
-    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS a
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS a
     FROM documents)),
 g AS (SELECT *, lag(c) OVER o AS b, lag(c, 2) OVER o AS a FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 c1 AS (SELECT c, count(*) AS n FROM g GROUP BY c),

@@ -222,7 +222,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], path: str, alpha: float, s
     pieces = None
     for batch in batches:
         pieces = pieces or Pieces(path, alpha)
-        keys = int_column(batch, "_key")
+        keys = int_column(batch, "__key")
         for i, j, data, off in runs(batch, limit=4 << 20):
             ids, at = encode_run(data, off, keys[i:j], seed, pieces)
             raw = ids.astype("<u4").tobytes()
@@ -243,7 +243,7 @@ def encode_sampled(docs: DataFrame, model: str, key: str = "doc_id", alpha: floa
     ship(docs.sparkSession)
     others = [c for c in docs.columns if c not in ("text", "ids", "lossless")]
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    rows = docs.select(F.xxhash64(F.col(key).cast("string")).alias("_key"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in others])
+    rows = docs.select(F.xxhash64(F.col(key).cast("string")).alias("__key"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in others])
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), "ids binary", *["lossless boolean"] * verify])
     return rows.mapInArrow(lambda it: encode_batches(it, model, alpha, seed, verify), schema)
 

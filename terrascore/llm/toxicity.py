@@ -216,11 +216,11 @@ class Model:
         self.steps = IsotonicRegression(featuresCol="p", labelCol="label").fit(scored)
         fit.unpersist()
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """The columns of ``docs`` but the text, and ``score``."""
-        others = [c for c in docs.columns if c not in ("text", "score")]
+    def score(self, docs: DataFrame, out: str = "score") -> DataFrame:
+        """The columns of ``docs`` but the text, and the score as column ``out``."""
+        others = [c for c in docs.columns if c not in ("text", out)]
         if self.trees is None:
-            return docs.select(*[F.col(f"`{c}`") for c in others], F.lit(float(self.share)).alias("score"))
+            return docs.select(*[F.col(f"`{c}`") for c in others], F.lit(float(self.share)).alias(out))
         lexicons, kinds = {ALL: self.lexicon}, {f.name: f.dataType.simpleString() for f in docs.schema.fields}
         names = [f"_{i}" for i in range(len(others))]  # so that no column clashes with the model's own
         rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)], F.col("text").cast("string").alias("_text"))
@@ -228,7 +228,7 @@ class Model:
         scored = self.trees.transform(made.withColumn("features", array_to_vector("_features")))
         scored = self.steps.transform(scored.select(*names, vector_to_array("probability")[1].alias("p")))
         score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.999 * F.col("prediction") + 0.001 * F.col("p")))
-        return scored.select(*[F.col(n).alias(c) for c, n in zip(others, names, strict=True)], score.alias("score"))
+        return scored.select(*[F.col(n).alias(c) for c, n in zip(others, names, strict=True)], score.alias(out))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -239,7 +239,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows whose score stays under THRESHOLD, with the columns of ``docs``."""
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "score"], F.col("text").alias("_kept"))
-    scored = Model(docs, labels).score(kept)
-    row = [F.col("_kept").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "score"]
-    return scored.where(F.col("score") < THRESHOLD).select(*row)
+    scored = Model(docs, labels).score(docs.withColumn("__text", F.col("text")), "__score")
+    row = [F.col("__text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    return scored.where(F.col("__score") < THRESHOLD).select(*row)
