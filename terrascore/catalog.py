@@ -108,15 +108,15 @@ def q_join_2way(spark, sf):
 
 
 @register("join_full_outer_3way", O.sql(
-    "SELECT field_id, date, month, ndvi, temperature, rainfall, agricultural_period FROM monthly_data",
-    "monthly_data", doubles=("ndvi", "temperature", "rainfall")))
+    "SELECT field_id, date, month, ndvi, temperature, rainfall, agricultural_period FROM harmonized",
+    "harmonized", doubles=("ndvi", "temperature", "rainfall")))
 def q_join_3way(spark, sf):
     n, t, r, _ = stg_inputs(spark, sf)
-    return H.monthly_data(n, t, r)
+    return H.series_by_month(n, t, r)
 
 
 @register("season_label", O.sql(
-    "SELECT DISTINCT month, agricultural_period FROM monthly_data", "monthly_data"))
+    "SELECT DISTINCT month, agricultural_period FROM harmonized", "harmonized"))
 def q_season_label(spark, sf):
     n, t, r, _ = stg_inputs(spark, sf)
     md = full_outer_chain([n, t, r], ["field_id", "date"])
@@ -126,10 +126,10 @@ def q_season_label(spark, sf):
 
 @register("fn_date_parts", O.sql(
     "SELECT DISTINCT date, CAST(extract(year FROM date) AS BIGINT) AS year, "
-    "CAST(extract(month FROM date) AS BIGINT) AS month FROM monthly_data", "monthly_data"))
+    "CAST(extract(month FROM date) AS BIGINT) AS month FROM harmonized", "harmonized"))
 def q_date_parts(spark, sf):
     n, t, r, _ = stg_inputs(spark, sf)
-    d = H.monthly_data(n, t, r).select("date").distinct()
+    d = H.series_by_month(n, t, r).select("date").distinct()
     return d.select("date", year_of("date").alias("year"), month_of("date").alias("month"))
 
 
@@ -145,12 +145,6 @@ def q_harmonized_unique(spark, sf):
 
 # ---- thresholds and scores -------------------------------------------------
 
-@register("src_thresholds", O.sql("SELECT * FROM thresholds", "thresholds",
-                                  doubles=("optimal_min", "optimal_max", "acceptable_min", "acceptable_max")))
-def q_thresholds(spark, sf):
-    return seed_thresholds(spark)
-
-
 _SEASONAL_BOUND_COLS = [f"ndvi_{b}" for b in BOUNDS]
 
 
@@ -283,7 +277,7 @@ from .operators import raster as R  # noqa: E402
 from .operators import spatial as SP  # noqa: E402
 from .plans import extract as X  # noqa: E402
 
-TEST_CFG = PipelineConfig(start_date=O.RUN_START, end_date=O.RUN_END, series=TD.TEST_SERIES, cell_deg=0.1)
+TEST_CFG = PipelineConfig(start_date=O.RUN_START, end_date=O.RUN_END, series=TD.TEST_SERIES, cell_deg=0.005, polygon_set="suppliers")
 _SPEC = {s.name: s for s in TD.TEST_SERIES}
 
 
@@ -338,19 +332,20 @@ def q_month_window(spark, sf):
                                          F.countDistinct("image_date").alias("n_dates"))
 
 
-def _window(spark, sf, band):
-    p = R.band_select(R.date_range(TD.pixels(spark, sf), TEST_CFG.start_date, TEST_CFG.end_date), band)
+def _window(spark, sf, band=None):
+    p = R.date_range(TD.pixels(spark, sf), TEST_CFG.start_date, TEST_CFG.end_date)
+    p = R.band_select(p, band) if band else p
     return R.month_window(p, R.month_grid(spark, TEST_CFG.start_date, TEST_CFG.end_date))
 
 
-@register("ras_composite_mean", O.sql("SELECT * FROM comp_a_mean", "comp_a_mean", doubles=_PX_DOUBLES))
+@register("ras_composite_mean", O.sql("SELECT * FROM comp_mean", "comp_mean", doubles=_PX_DOUBLES))
 def q_comp_mean(spark, sf):
-    return R.composite(_window(spark, sf, "A"), "mean")
+    return R.composite(_window(spark, sf), "mean")
 
 
-@register("ras_composite_sum", O.sql("SELECT * FROM comp_r_sum", "comp_r_sum", doubles=_PX_DOUBLES))
+@register("ras_composite_sum", O.sql("SELECT * FROM comp_sum", "comp_sum", doubles=_PX_DOUBLES))
 def q_comp_sum(spark, sf):
-    return R.composite(_window(spark, sf, "R"), "sum")
+    return R.composite(_window(spark, sf), "sum")
 
 
 @register("ras_band_select", O.sql(
@@ -376,13 +371,13 @@ def q_static_stack(spark, sf):
 
 
 @register("ras_grid_snap", O.sql(
-    "SELECT month, gx AS ix, gy AS iy, (CAST(gx AS DOUBLE) + 0.5::DOUBLE) * 0.2::DOUBLE AS lon, "
-    "(CAST(gy AS DOUBLE) + 0.5::DOUBLE) * 0.2::DOUBLE AS lat, value, n_pixels FROM ("
-    "SELECT month, CAST(floor(lon / 0.2::DOUBLE) AS BIGINT) AS gx, CAST(floor(lat / 0.2::DOUBLE) AS BIGINT) AS gy, "
-    "avg(value) AS value, count(*) AS n_pixels FROM comp_a_mean GROUP BY 1, 2, 3)",
-    "comp_a_mean", doubles=_PX_DOUBLES))
+    "SELECT month, band, gx AS ix, gy AS iy, (CAST(gx AS DOUBLE) + 0.5::DOUBLE) * 0.004::DOUBLE AS lon, "
+    "(CAST(gy AS DOUBLE) + 0.5::DOUBLE) * 0.004::DOUBLE AS lat, value, n_pixels FROM ("
+    "SELECT month, band, CAST(floor(lon / 0.004::DOUBLE) AS BIGINT) AS gx, CAST(floor(lat / 0.004::DOUBLE) AS BIGINT) AS gy, "
+    f"{O.xavg('value')} AS value, count(*) AS n_pixels FROM comp_mean GROUP BY 1, 2, 3, 4)",
+    "comp_mean", doubles=_PX_DOUBLES))
 def q_grid_snap(spark, sf):
-    return R.snap_to_grid(R.composite(_window(spark, sf, "A"), "mean"), 0.2, keys=("month",))
+    return R.snap_to_grid(R.composite(_window(spark, sf), "mean"), 0.004, keys=("month", "band"))
 
 
 @register("ras_regions", O.sql(
@@ -402,26 +397,27 @@ def q_pip(spark, sf):
 
 
 @register("ras_clip", O.sql(
-    "SELECT * FROM comp_a_mean c WHERE EXISTS (SELECT 1 FROM inside i WHERE i.ix = c.ix AND i.iy = c.iy)",
-    "comp_a_mean", "inside", doubles=_PX_DOUBLES))
+    "SELECT * FROM comp_mean c WHERE EXISTS (SELECT 1 FROM inside i WHERE i.ix = c.ix AND i.iy = c.iy)",
+    "comp_mean", "inside", doubles=_PX_DOUBLES))
 def q_clip(spark, sf):
-    return SP.clip(R.composite(_window(spark, sf, "A"), "mean"), index(spark, sf), exact=True)
+    return SP.clip(R.composite(_window(spark, sf), "mean"), index(spark, sf), exact=True)
+
 
+def _near_window(spark, sf, idx):
+    """The window's pixels near a polygon, cut down before the composite is shuffled."""
+    return SP.clip(_window(spark, sf), idx, exact=False)
 
-@register("ras_zonal_mean", O.sql(
-    "SELECT i.region_id, i.field_id, c.month, avg(c.value) AS value FROM comp_a_mean c JOIN inside i "
-    "ON c.ix = i.ix AND c.iy = i.iy GROUP BY i.region_id, i.field_id, c.month", "comp_a_mean", "inside",
-    doubles=("value",)))
+
+@register("ras_zonal_mean", O.sql("SELECT * FROM zonal_mean", "zonal_mean", doubles=("value",)))
 def q_zonal_mean(spark, sf):
-    return SP.zonal_stats(R.composite(_window(spark, sf, "A"), "mean"), index(spark, sf), "mean")
+    idx = index(spark, sf)
+    return SP.zonal_stats(R.composite(_near_window(spark, sf, idx), "mean"), idx, "mean", keys=("month", "band"))
 
 
-@register("ras_zonal_sum", O.sql(
-    "SELECT i.region_id, i.field_id, c.month, sum(c.value) AS value FROM comp_r_sum c JOIN inside i "
-    "ON c.ix = i.ix AND c.iy = i.iy GROUP BY i.region_id, i.field_id, c.month", "comp_r_sum", "inside",
-    doubles=("value",)))
+@register("ras_zonal_sum", O.sql("SELECT * FROM zonal_sum", "zonal_sum", doubles=("value",)))
 def q_zonal_sum(spark, sf):
-    return SP.zonal_stats(R.composite(_window(spark, sf, "R"), "sum"), index(spark, sf), "sum")
+    idx = index(spark, sf)
+    return SP.zonal_stats(R.composite(_near_window(spark, sf, idx), "sum"), idx, "sum", keys=("month", "band"))
 
 
 @register("ras_zonal_soil", O.sql("SELECT * FROM zonal_soil", "zonal_soil", doubles=_SOIL_NAMES))
@@ -542,9 +538,10 @@ def q_src_polygons_table(spark, sf):
 def q_sink_append(spark, sf):
     path = scratch_path(spark, "ndvi_raw")
     rows = job(spark, sf, "ndvi")
-    TB.write_append(rows, path, idempotent=True)
-    TB.write_append(rows, path, idempotent=True)     # rerun replaces its months
-    return spark.read.schema(SC.NDVI_RAW).parquet(path)
+    load = TB.load_name("suppliers", TEST_CFG.start_date, TEST_CFG.end_date)
+    TB.write_append(rows, path, load)
+    TB.write_append(rows, path, load)     # a rerun replaces its own rows
+    return spark.read.parquet(path).select("field_id", "ndvi", F.col("date").cast("string").alias("date"))
 
 
 @register("sink_append_duplicates", O.sql(
@@ -552,9 +549,9 @@ def q_sink_append(spark, sf):
 def q_sink_append_dup(spark, sf):
     path = scratch_path(spark, "ndvi_raw_append")
     rows = job(spark, sf, "ndvi")
-    TB.write_append(rows, path, idempotent=False)
-    TB.write_append(rows, path, idempotent=False)    # plain append: a rerun duplicates
-    return spark.read.schema(SC.NDVI_RAW).parquet(path)
+    TB.write_append(rows, path)
+    TB.write_append(rows, path)    # plain append: a rerun duplicates
+    return spark.read.parquet(path).select("field_id", "ndvi", F.col("date").cast("string").alias("date"))
 
 
 @register("sink_replace", O.sql("SELECT * FROM job_soil", "job_soil", doubles=(*_SOIL_NAMES, "lat", "lon")))
@@ -566,12 +563,20 @@ def q_sink_replace(spark, sf):
     return spark.read.schema(SC.SOIL_RAW).parquet(path)
 
 
-@register("src_thresholds_csv", O.sql("SELECT * FROM thresholds", "thresholds",
-                                      doubles=("optimal_min", "optimal_max", "acceptable_min", "acceptable_max")))
-def q_thresholds_csv(spark, sf):
-    path = scratch_path(spark, "dim_thresholds_csv")
-    TB.write_thresholds_csv(seed_thresholds(spark), path)
-    return TB.read_thresholds_csv(spark, path)
+@register("raw_series_rows", O.sql(
+    "SELECT field_id, value, strftime(month, '%Y-%m-%d') AS date FROM zonal_sum WHERE band = 'R' "
+    "AND field_id IS NOT NULL AND field_id <> '' AND value IS NOT NULL", "zonal_sum", doubles=("value",)))
+def q_raw_series_rows(spark, sf):
+    idx = index(spark, sf)
+    comp = R.composite(SP.clip(_window(spark, sf, "R"), idx, exact=False), "sum")
+    return X.series_rows(SP.zonal_stats(comp, idx, "sum"), "value")
+
+
+@register("raw_soil_rows", O.sql(
+    "SELECT c.field_id, c.lat, c.lon, z.soil_ph, z.clay FROM centroids c LEFT JOIN zonal_soil z ON c.region_id = z.region_id "
+    "WHERE c.field_id IS NOT NULL AND c.field_id <> ''", "centroids", "zonal_soil", doubles=("lat", "lon", "soil_ph", "clay")))
+def q_raw_soil_rows(spark, sf):
+    return job_soil(spark, sf).select("field_id", "lat", "lon", "soil_ph", "clay")
 
 
 # ---- end-to-end build, reports, checks ---------------------------------------
@@ -592,8 +597,8 @@ def q_build_all(spark, sf):
 @register("report_spatial", O.sql(
     "SELECT CAST(floor(l.latitude / 1.0::DOUBLE) AS BIGINT) AS cell_lat, "
     "CAST(floor(l.longitude / 1.0::DOUBLE) AS BIGINT) AS cell_lon, count(*) AS n_fields, "
-    "avg(f.field_score) AS avg_total_score, min(f.field_score) AS min_field_score, "
-    "max(f.field_score) AS max_field_score FROM (SELECT field_id, avg(total_suitability_score) AS field_score "
+    + O.xavg("f.field_score") + " AS avg_total_score, min(f.field_score) AS min_field_score, "
+    "max(f.field_score) AS max_field_score FROM (SELECT field_id, " + O.xavg("total_suitability_score") + " AS field_score "
     "FROM fact GROUP BY field_id) f JOIN dim_location l ON f.field_id = l.field_id GROUP BY 1, 2",
     "fact", "dim_location", doubles=("avg_total_score", "min_field_score", "max_field_score")))
 def q_report_spatial(spark, sf):
@@ -604,7 +609,7 @@ _SOIL_MEAN_SQL = "(" + " + ".join(f"{s}_score" for s in SOIL_FEATURES) + f") / {
 
 
 @register("report_factors", O.sql(
-    "SELECT agricultural_period, factor, avg(score) AS avg_score, avg(contribution) AS avg_contribution FROM ("
+    f"SELECT agricultural_period, factor, {O.xavg('score')} AS avg_score, {O.xavg('contribution')} AS avg_contribution FROM ("
     + " UNION ALL ".join(
         f"SELECT agricultural_period, '{n}' AS factor, {('(' + _SOIL_MEAN_SQL + ')') if n == 'soil' else n + '_score'} "
         f"AS score, {('(' + _SOIL_MEAN_SQL + ')') if n == 'soil' else n + '_score'} * {O.dbl(w)} AS contribution "
@@ -615,14 +620,12 @@ def q_report_factors(spark, sf):
 
 
 @register("report_trends", O.sql(
-    "SELECT d.year, f.agricultural_period, count(*) AS n_rows, avg(f.ndvi) AS avg_ndvi, "
-    "avg(f.temperature) AS avg_temperature, avg(f.rainfall) AS avg_rainfall, "
-    "avg(f.total_suitability_score) AS avg_total_score FROM fact f JOIN dim_date d ON f.date = d.date "
-    "GROUP BY d.year, f.agricultural_period", "fact", "dim_date",
+    "SELECT CAST(extract(year FROM date) AS BIGINT) AS year, agricultural_period, count(*) AS n_rows, "
+    f"{O.xavg('ndvi')} AS avg_ndvi, {O.xavg('temperature')} AS avg_temperature, {O.xavg('rainfall')} AS avg_rainfall, "
+    f"{O.xavg('total_suitability_score')} AS avg_total_score FROM fact GROUP BY ALL", "fact",
     doubles=("avg_ndvi", "avg_temperature", "avg_rainfall", "avg_total_score")))
 def q_report_trends(spark, sf):
-    h = harmonized(spark, sf)
-    return RP.report_trends(S.fact_suitability(h, seed_thresholds(spark)), M.dim_date(h, ordered=False))
+    return RP.report_trends(fact(spark, sf))
 
 
 _IN_RANGE = " AND ".join(f"{c} BETWEEN 0.0::DOUBLE AND 1.0::DOUBLE" for c in

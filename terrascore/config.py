@@ -7,11 +7,11 @@ source becomes a monthly per-field series lives in :class:`SourceSpec`.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --------------------------------------------------------------------------
 # Fixed values. These must equal the modelled project's for equal results:
-# season months, factor weights, default run period and pixel scale, and the
+# season months, factor weights, default run period, and the
 # threshold seed (feature, period, optimal_min, optimal_max, acceptable_min,
 # acceptable_max), given here in the seed's own order.
 # --------------------------------------------------------------------------
@@ -33,7 +33,6 @@ WEIGHTS: tuple[tuple[str, float], ...] = (
 
 DEFAULT_START = "2020-01-01"
 DEFAULT_END = "2024-12-31"
-DEFAULT_SCALE_M = 30
 
 THRESHOLD_SEED: tuple[tuple[str, str, float, float, float, float], ...] = (
     ("ndvi", "germination_early_growth", 0.1, 0.3, 0.05, 0.4),
@@ -77,6 +76,7 @@ class SourceSpec:
     zonal: str = "mean"            # "mean" | "sum"
     scale_factor: float = 1.0
     offset: float = 0.0
+    weight: str | None = None      # pixel column with the share of a pixel that counts
 
     def __post_init__(self):
         for kind in (self.temporal, self.zonal):
@@ -103,7 +103,6 @@ class PipelineConfig:
 
     start_date: str = DEFAULT_START           # inclusive
     end_date: str = DEFAULT_END               # exclusive for image selection
-    scale_m: int = DEFAULT_SCALE_M
     raw_db: str = "raw"
     staging_db: str = "staging"
     intermediate_db: str = "intermediate"
@@ -114,13 +113,16 @@ class PipelineConfig:
     # beyond either bound the index is a shuffle join on the cell.
     max_broadcast_rows: int = 1_000_000
     max_broadcast_bytes: int = 256 << 20
-    # Dynamic partition overwrite for the series loads (idempotent reruns);
-    # False appends like the original loader (reruns duplicate rows).
+    # What a load replaces when it runs again: the rows of the same polygon set
+    # and period, and nothing else. Without it each run appends, as the
+    # original loader does (reruns duplicate rows).
     idempotent_loads: bool = True
+    polygon_set: str = "default"
+    # A failing check after the build raises; the tables stay for inspection.
+    fail_on_checks: bool = True
     series: tuple[SourceSpec, ...] = (NDVI, TEMPERATURE, RAINFALL)
     soil_bands: tuple[tuple[str, str], ...] = SOIL_BANDS
     weights: tuple[tuple[str, float], ...] = WEIGHTS
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "PipelineConfig":
         return replace(self, **kw)

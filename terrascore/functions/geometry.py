@@ -84,16 +84,16 @@ def point_in_polygon(px, py, edges) -> Column:
     return F.size(F.filter(_c(edges), crosses_ray(px, py))) % 2 == 1
 
 
-def edges_near_band(edges, x_min, y_min, y_max, eps) -> Column:
-    """Edges that a rightward ray from any point of the box
-    ``[x_min, +inf) x [y_min, y_max]`` could cross (a superset: exact)."""
-    lo_x, lo_y, hi_y, e_ = _c(x_min), _c(y_min), _c(y_max), _c(eps)
-    return F.filter(
-        _c(edges),
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= lo_y - e_)
-        & (F.least(e["y1"], e["y2"]) <= hi_y + e_)
-        & (F.greatest(e["x1"], e["x2"]) >= lo_x - e_),
-    )
+def edges_in_rows(edges, y_min, y_max, eps) -> Column:
+    """Edges that a horizontal line between ``y_min`` and ``y_max`` can meet (a superset)."""
+    lo_y, hi_y, e_ = _c(y_min), _c(y_max), _c(eps)
+    return F.filter(_c(edges), lambda e: (F.greatest(e["y1"], e["y2"]) >= lo_y - e_) & (F.least(e["y1"], e["y2"]) <= hi_y + e_))
+
+
+def edges_right_of(edges, x_min, eps) -> Column:
+    """Edges that a rightward ray from a point not left of ``x_min`` can meet (a superset)."""
+    lo_x, e_ = _c(x_min), _c(eps)
+    return F.filter(_c(edges), lambda e: F.greatest(e["x1"], e["x2"]) >= lo_x - e_)
 
 
 def centroid(parts) -> dict[str, Column]:

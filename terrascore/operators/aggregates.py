@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SEASONS
+from ..functions.exact import exact_mean
 
 FIELD_SEASON_MEASURES = (
     ("ndvi", "avg_ndvi"),
@@ -33,7 +34,7 @@ def field_season_averages(fact: DataFrame) -> DataFrame:
     included). avg ignores nulls. Partial aggregation runs before the shuffle,
     so a field holding most rows costs one partial row per map task."""
     return fact.groupBy("field_id", "agricultural_period").agg(
-        *[F.avg(src).alias(out) for src, out in FIELD_SEASON_MEASURES]
+        *[exact_mean(F.col(src)).alias(out) for src, out in FIELD_SEASON_MEASURES]
     )
 
 
@@ -41,7 +42,7 @@ def pivot_columns(period_col: str, measures: Sequence[tuple[str, str]], seasons:
     """``avg(CASE WHEN period = s THEN m END) AS <prefix>_<s>`` for every
     measure and season, in output order."""
     return [
-        F.avg(F.when(F.col(period_col) == s, F.col(src))).alias(f"{prefix}_{s}")
+        exact_mean(F.when(F.col(period_col) == s, F.col(src))).alias(f"{prefix}_{s}")
         for src, prefix in measures
         for s in seasons
     ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BOUNDS = ("optimal_min", "optimal_max", "acceptable_min", "acceptable_max")
@@ -15,15 +15,35 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFr
     """``f1 FULL JOIN f2 USING (keys) FULL JOIN f3 USING (keys) ...``.
 
     The ``USING`` form yields one coalesced column per key, so the next join
-    matches on ``coalesce(f1.k, f2.k)`` exactly like the hand-written
-    ``on coalesce(n.k, t.k) = r.k``. Null keys never match and each such row
-    survives on its own; duplicate keys multiply rows (no dedupe)."""
-    out = frames[0]
+    matches on ``coalesce(f1.k, f2.k)``. Duplicate keys multiply rows (no
+    dedupe). Rows with a null key match nothing, so they stay out of the joins
+    (all of them would land on one reducer, which a full outer join can't split)
+    and are united with the result; on stored tables the null counts of the
+    row groups prune that second read."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    out = frames[0].filter(whole)
     for f in frames[1:]:
-        out = out.join(f, list(keys), "full_outer")
+        out = out.join(f.filter(whole), list(keys), "full_outer")
+    for f in frames:
+        out = out.unionByName(f.filter(~whole), allowMissingColumns=True)
     return out
 
 
+MAX_THRESHOLDS = 10_000
+
+
+def unique_thresholds(thresholds: DataFrame) -> DataFrame:
+    """The threshold rows; the query fails when a (feature, period) has several, or
+    when there are more than MAX_THRESHOLDS (they are broadcast)."""
+    one = thresholds.groupBy("feature", "period").agg(*[F.first(b).alias(b) for b in BOUNDS], F.count(F.lit(1)).alias("_n"))
+    many = F.concat(F.lit("several threshold rows for "), F.coalesce("feature", F.lit("null")), F.lit(" / "), F.coalesce("period", F.lit("null")))
+    sized = one.limit(MAX_THRESHOLDS + 1).withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy()))
+    checked = F.when(F.col("_n") > 1, F.raise_error(many)).when(F.col("_rows") > MAX_THRESHOLDS, F.raise_error(F.lit("too many threshold rows")))
+    return sized.withColumn("feature", F.coalesce(checked.cast("string"), F.col("feature"))).select("feature", "period", *BOUNDS)
+
+
 def seasonal_bounds(thresholds: DataFrame, feature: str, prefix: str | None = None) -> DataFrame:
     """Threshold rows of one feature keyed by period (the join's constant
     condition ``feature = '...'`` applied before the join)."""
@@ -38,8 +58,8 @@ def static_bounds_row(thresholds: DataFrame, features: Sequence[str], period: st
     (``<feature>_<bound>`` columns). A global aggregate returns one row even on
     empty input (all nulls), so a cross join with it keeps every left row —
     the same rows as the ``LEFT JOIN ... ON period = 'static' AND feature = f``
-    chain when (feature, period) is unique, in one broadcast instead of five
-    nested-loop joins."""
+    chain, as (feature, period) is unique (``unique_thresholds``), in one
+    broadcast instead of five nested-loop joins."""
     static = thresholds.filter(F.col("period") == period)
     aggs = [
         F.max(F.when(F.col("feature") == f, F.col(b))).alias(f"{f}_{b}")
@@ -59,8 +79,8 @@ def attach_static_bounds(df: DataFrame, thresholds: DataFrame, features: Sequenc
 def attach_seasonal_bounds(df: DataFrame, thresholds: DataFrame, feature: str,
                            period_col: str = "agricultural_period") -> DataFrame:
     """``LEFT JOIN thresholds t ON df.period = t.period AND t.feature = f``;
-    bound columns come out as ``<feature>_<bound>``. The right side has at most
-    one row per period once (feature, period) is unique — checked by the
-    quality step — so it is broadcast."""
+    bound columns come out as ``<feature>_<bound>``. The right side has one row
+    per period and MAX_THRESHOLDS at most (``unique_thresholds``), so it is
+    broadcast."""
     b = seasonal_bounds(thresholds, feature, prefix=feature)
     return df.join(F.broadcast(b), df[period_col] == b[f"{feature}_period"], "left").drop(f"{feature}_period")

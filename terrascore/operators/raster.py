@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import format_iso, month_starts_between
+from ..functions.exact import exact_mean, exact_sum
 
 PIXEL_KEYS = ("ix", "iy")
 
@@ -22,11 +23,11 @@ def reducer(kind: str, value: str = "value", weight: str | None = None):
     """mean / sum, optionally weighted by a per-pixel coverage column."""
     v = F.col(value)
     if weight is None:
-        return F.avg(v) if kind == "mean" else F.sum(v)
+        return exact_mean(v) if kind == "mean" else exact_sum(v)
     w = F.col(weight)
     if kind == "sum":
-        return F.sum(v * w)
-    return F.sum(v * w) / F.nullif(F.sum(F.when(v.isNotNull(), w)), F.lit(0.0))
+        return exact_sum(v * w)
+    return exact_sum(v * w) / F.nullif(exact_sum(F.when(v.isNotNull(), w)), F.lit(0.0))
 
 
 def month_grid(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -82,12 +83,15 @@ def month_window(pixels: DataFrame, grid: DataFrame) -> DataFrame:
 
 def composite(pixels: DataFrame, kind: str, value: str = "value",
               keys: Sequence[str] = ("month",), weight: str | None = None) -> DataFrame:
-    """Per-pixel temporal reduction (mean or sum) within each ``keys`` group.
-    Pixel centres ride along with ``first`` (they are functions of (ix, iy))."""
-    carry = [F.first("lon").alias("lon"), F.first("lat").alias("lat")]
+    """Per-pixel temporal reduction (mean or sum) within each ``keys`` group,
+    each band of a multi-band collection on its own. A pixel's centre (and
+    coverage weight) is a function of (ix, iy); should images disagree on it,
+    the smallest counts, whatever the order of rows."""
+    carry = [F.min("lon").alias("lon"), F.min("lat").alias("lat")]
     if weight:
-        carry.append(F.first(weight).alias(weight))
-    return pixels.groupBy(*keys, *PIXEL_KEYS).agg(reducer(kind, value).alias(value), *carry)
+        carry.append(F.min(weight).alias(weight))
+    bands = [c for c in ("band",) if c in pixels.columns and c not in keys]
+    return pixels.groupBy(*keys, *bands, *PIXEL_KEYS).agg(reducer(kind, value).alias(value), *carry)
 
 
 def empty_months(pixels: DataFrame, start: str, end: str, band_col: str = "band") -> DataFrame:
@@ -110,8 +114,8 @@ def stack_bands(static_pixels: DataFrame, bands: Sequence[tuple[str, str]]) -> D
     return (
         static_pixels.filter(F.col("band").isin(*src))
         .groupBy(*PIXEL_KEYS)
-        .agg(F.first("lon").alias("lon"), F.first("lat").alias("lat"),
-             *[F.avg(F.when(F.col("band") == b, F.col("value"))).alias(n) for b, n in bands])
+        .agg(F.min("lon").alias("lon"), F.min("lat").alias("lat"),
+             *[exact_mean(F.when(F.col("band") == b, F.col("value"))).alias(n) for b, n in bands])
     )
 
 
@@ -124,7 +128,7 @@ def snap_to_grid(pixels: DataFrame, cell_deg: float, value: str = "value",
     return (
         pixels.withColumn("gx", gx).withColumn("gy", gy)
         .groupBy(*keys, "gx", "gy")
-        .agg(F.avg(value).alias(value), F.count(F.lit(1)).alias("n_pixels"))
+        .agg(exact_mean(F.col(value)).alias(value), F.count(F.lit(1)).alias("n_pixels"))
         .select(*keys, F.col("gx").alias("ix"), F.col("gy").alias("iy"),
                 ((F.col("gx") + 0.5) * c).alias("lon"), ((F.col("gy") + 0.5) * c).alias("lat"),
                 value, "n_pixels")

@@ -53,79 +53,61 @@ def cell_of(coord, cell_deg: float):
     return F.floor(F.col(coord) / F.lit(float(cell_deg))) if isinstance(coord, str) else F.floor(coord / F.lit(float(cell_deg)))
 
 
-def estimated_index_rows(region_df: DataFrame, cell_deg: float) -> int:
-    """Rows the cell index would have (upper bound), from the bounding boxes."""
-    nx = cell_of("max_x", cell_deg) - cell_of("min_x", cell_deg) + 1
-    ny = cell_of("max_y", cell_deg) - cell_of("min_y", cell_deg) + 1
-    row = region_df.filter(F.col("min_x").isNotNull()).agg(F.sum(nx * ny).alias("n")).collect()[0]
-    return int(row["n"] or 0)
-
-
-def choose_cell(region_df: DataFrame, cell_deg: float, max_rows: int) -> float:
-    """Grow the cell (never shrink it) until the index stays under ``max_rows``."""
-    c = float(cell_deg)
-    for _ in range(16):
-        if estimated_index_rows(region_df, c) <= max_rows:
-            return c
-        c *= 2.0
-    return c
-
-
 def cell_index(region_df: DataFrame, cell_deg: float) -> DataFrame:
-    """(cx, cy, region_id, field_id, edges) — see the module docstring."""
+    """(cx, cy, region_id, field_id, box, edges) — see the module docstring.
+
+    A polygon's edges are narrowed to each row of cells first and to each cell
+    of the row after that, so a polygon of many vertices over many cells looks
+    at each edge once per row it spans, not once per cell."""
     c = float(cell_deg)
-    eps = c * 1e-9
+    eps = F.lit(c * 1e-9)
     box = ("min_x", "min_y", "max_x", "max_y")
-    cells = region_df.filter(F.col("min_x").isNotNull()).select(
+    rows = region_df.filter(F.col("min_x").isNotNull()).select(
         "region_id", "field_id", "edges", *box,
-        F.explode(F.sequence(cell_of("min_x", c), cell_of("max_x", c))).alias("cx"),
-    ).select(
-        "region_id", "field_id", "edges", *box, "cx",
         F.explode(F.sequence(cell_of("min_y", c), cell_of("max_y", c))).alias("cy"),
     )
-    near = G.edges_near_band("edges", F.col("cx") * c, F.col("cy") * c, (F.col("cy") + 1) * c, F.lit(eps))
+    in_row = G.edges_in_rows("edges", F.col("cy") * c, (F.col("cy") + 1) * c, eps)
+    cells = rows.withColumn("edges", in_row).filter(F.size("edges") > 0).select(
+        "region_id", "field_id", "edges", *box, "cy",
+        F.explode(F.sequence(cell_of("min_x", c), cell_of("max_x", c))).alias("cx"),
+    )
+    near = G.edges_right_of("edges", F.col("cx") * c, eps)
     return cells.select("cx", "cy", "region_id", "field_id", *box, near.alias("edges")).filter(F.size("edges") > 0)
 
 
-# Mean polygons per index cell above which containment is tested once per
-# pixel location (on a materialized input) instead of once per row.
-LOCATION_PIP_OVERLAP = 4.0
-
-
 @dataclass
 class SpatialIndex:
-    """A cell index, whether it may be broadcast, and the mean number of
-    polygons per cell (how many ray casts one pixel row costs)."""
+    """A cell index, and which of its sides may be broadcast: the whole index,
+    and the mere list of its cells. The cell is the configured one whatever the
+    number of polygons: many polygons make many cells, never large ones."""
 
     df: DataFrame
     cell_deg: float
     broadcastable: bool
-    overlap: float = 1.0
+    cells_broadcastable: bool
 
-    # Bytes per index row without edges (keys, ids, box) and per edge.
-    ROW_BYTES, EDGE_BYTES = 96, 40
+    # Bytes of an index row without edges (keys, ids, box), of an edge (a struct of four doubles in an array) and of a cell.
+    ROW_BYTES, EDGE_BYTES, CELL_BYTES = 160, 64, 48
 
     @classmethod
     def build(cls, region_df: DataFrame, cell_deg: float, max_rows: int,
               max_bytes: int = 256 << 20) -> "SpatialIndex":
-        cell = choose_cell(region_df, cell_deg, max_rows * 4)
-        # Persisted so the statistics job and the join share one computation;
-        # lost blocks are recomputed from the (short) polygon lineage.
-        idx = cell_index(region_df, cell).persist()
+        idx = cell_index(region_df, cell_deg)
         stats = idx.agg(F.count(F.lit(1)).alias("rows"),
                         F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges"),
                         F.count_distinct("cx", "cy").alias("cells")).collect()[0]
-        est_bytes = stats["rows"] * cls.ROW_BYTES + stats["edges"] * cls.EDGE_BYTES
-        ok = stats["rows"] <= max_rows and est_bytes <= max_bytes
-        overlap = stats["rows"] / stats["cells"] if stats["cells"] else 0.0
-        return cls(idx, cell, ok, overlap)
-
-    def release(self) -> None:
-        self.df.unpersist()
+        size = stats["rows"] * cls.ROW_BYTES + stats["edges"] * cls.EDGE_BYTES
+        return cls(idx, float(cell_deg), stats["rows"] <= max_rows and size <= max_bytes,
+                   stats["cells"] * cls.CELL_BYTES <= max_bytes)
 
     def side(self) -> DataFrame:
         return F.broadcast(self.df) if self.broadcastable else self.df
 
+    def cells(self) -> DataFrame:
+        """The distinct (cx, cy) that some region reaches: far smaller than the index."""
+        cells = self.df.select("cx", "cy").distinct()
+        return F.broadcast(cells) if self.cells_broadcastable else cells
+
 
 def _inside_test(p: DataFrame, idx: DataFrame):
     """Bounding-box pre-test (compiled, short-circuits) then the exact ray
@@ -152,60 +134,21 @@ def clip(pixels: DataFrame, index: SpatialIndex, exact: bool = True) -> DataFram
     keeps every pixel of a cell some region reaches: a cheap pre-filter with
     no false negatives, used before the temporal composite."""
     p = _with_cell(pixels, index.cell_deg)
-    idx = index.side().withColumnRenamed("cx", "_icx").withColumnRenamed("cy", "_icy")
+    idx = (index.side() if exact else index.cells()).withColumnRenamed("cx", "_icx").withColumnRenamed("cy", "_icy")
     cond = (p["_cx"] == idx["_icx"]) & (p["_cy"] == idx["_icy"])
     if exact:
         cond = cond & _inside_test(p, idx)
-    else:
-        idx = idx.select("_icx", "_icy").distinct()
-        cond = (p["_cx"] == idx["_icx"]) & (p["_cy"] == idx["_icy"])
     return p.join(idx, cond, "left_semi").drop("_cx", "_cy")
 
 
-def location_regions(pixels: DataFrame, index: SpatialIndex, value: str = "value") -> DataFrame:
-    """``ix, iy, region_id, field_id``: the regions containing each distinct
-    pixel location of ``pixels``. Containment depends on the location only,
-    so a monthly table is tested once per pixel instead of once per month.
-
-    ``pixels`` is read twice (locations, then the join back), so it should
-    be materialized (a table or a checkpoint), see :func:`assign_regions`."""
-    locations = pixels.groupBy("ix", "iy").agg(F.first("lon").alias("lon"), F.first("lat").alias("lat"))
-    return pixels_in_regions(locations, index).select("ix", "iy", *REGION_KEYS)
-
-
-def assign_regions(pixels: DataFrame, index: SpatialIndex, per_location: bool | None = None,
-                   value: str = "value") -> DataFrame:
-    """Pixel rows paired with every region containing them.
-
-    Per row (default when polygons barely overlap): every row is ray-cast
-    against the candidates of its cell in the index join — one scan, no
-    extra shuffle; with few candidates per pixel this is the cheapest plan.
-
-    Per location (default when the index shows more than
-    ``LOCATION_PIP_OVERLAP`` polygons per cell): each row would pay that many
-    ray casts, and a monthly table repeats every location once per month.
-    The input is checkpointed to the shared checkpoint folder (one reliable
-    write; no second scan of the source), each distinct location is tested
-    once, and rows are equi-joined to the (location, region) mapping; AQE
-    picks broadcast or sort-merge for that join from runtime sizes."""
-    if per_location is None:
-        per_location = index.overlap > LOCATION_PIP_OVERLAP
-    if not per_location:
-        return pixels_in_regions(pixels, index)
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(pixels.sparkSession)
-    solid = pixels.checkpoint(eager=True)
-    return solid.join(location_regions(solid, index, value), ["ix", "iy"], "inner")
-
-
 def zonal_stats(pixels: DataFrame, index: SpatialIndex, kind: str, value: str = "value",
                 keys: Sequence[str] = ("month",), out: str | None = None,
-                weight: str | None = None, per_location: bool | None = None) -> DataFrame:
+                weight: str | None = None) -> DataFrame:
     """Reduce the pixels of every region (per feature, not per id: two
     polygons sharing an id give two rows) within each ``keys`` group.
     Regions without pixels give no row. Partial aggregation before the
     shuffle absorbs regions that hold most pixels."""
-    joined = assign_regions(pixels, index, per_location, value)
+    joined = pixels_in_regions(pixels, index)
     return joined.groupBy(*REGION_KEYS, *keys).agg(reducer(kind, value, weight).alias(out or value))
 
 
@@ -213,7 +156,7 @@ def zonal_stats_multi(pixels: DataFrame, index: SpatialIndex, columns: Sequence[
                       kind: str = "mean", keys: Sequence[str] = ()) -> DataFrame:
     """Zonal reduction of several band columns in one pass."""
     joined = pixels_in_regions(pixels, index)
-    aggs = [(F.avg(c) if kind == "mean" else F.sum(c)).alias(c) for c in columns]
+    aggs = [reducer(kind, c).alias(c) for c in columns]
     return joined.groupBy(*REGION_KEYS, *keys).agg(*aggs)
 
 

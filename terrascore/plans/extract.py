@@ -40,7 +40,7 @@ def monthly_composite(spark: SparkSession, pixels: DataFrame, spec: SourceSpec,
     p = R.month_window(p, grid)
     if index is not None:
         p = clip(p, index, exact=False)
-    comp = R.composite(p, spec.temporal)
+    comp = R.composite(p, spec.temporal, weight=spec.weight)
     return R.band_math(comp, spec.scale_factor, spec.offset)
 
 
@@ -49,7 +49,7 @@ def extract_series(spark: SparkSession, pixels: DataFrame, index: SpatialIndex,
     """Raw series rows ``field_id, <spec.name>, date`` for every polygon and
     month of the run (months without images simply produce nothing)."""
     comp = monthly_composite(spark, pixels, spec, cfg, index)
-    z = zonal_stats(comp, index, spec.zonal, keys=("month",), out=spec.name)
+    z = zonal_stats(comp, index, spec.zonal, keys=("month",), out=spec.name, weight=spec.weight)
     return series_rows(z, spec.name)
 
 
@@ -60,8 +60,8 @@ def extract_static(static_pixels: DataFrame, region_df: DataFrame, index: Spatia
     polygon with a non-empty id gives a row; its values are null when no
     pixel falls inside."""
     names = [n for _, n in cfg.soil_bands]
-    stack = R.stack_bands(static_pixels, cfg.soil_bands)
-    stack = clip(stack, index, exact=False)
+    near = clip(static_pixels, index, exact=False)   # before the shuffle of the stack, not after it
+    stack = R.stack_bands(near, cfg.soil_bands)
     z = zonal_stats_multi(stack, index, names, "mean")
     cents = centroids(region_df)
     rows = cents.join(z.drop("field_id"), "region_id", "left")

@@ -18,7 +18,7 @@ HARMONIZED_COLUMNS = (
 )
 
 
-def monthly_data(ndvi: DataFrame, temperature: DataFrame, rainfall: DataFrame) -> DataFrame:
+def series_by_month(ndvi: DataFrame, temperature: DataFrame, rainfall: DataFrame) -> DataFrame:
     """ndvi FULL JOIN temperature FULL JOIN rainfall on (field_id, date),
     the second join on the coalesced keys. ``month`` and the season come from
     the coalesced date (the month is null exactly when the date is)."""
@@ -34,8 +34,8 @@ def monthly_data(ndvi: DataFrame, temperature: DataFrame, rainfall: DataFrame) -
     )
 
 
-def monthly_data_unique(ndvi: DataFrame, temperature: DataFrame, rainfall: DataFrame) -> DataFrame:
-    """Same rows as :func:`monthly_data` when every series has at most one row
+def series_by_month_unique(ndvi: DataFrame, temperature: DataFrame, rainfall: DataFrame) -> DataFrame:
+    """Same rows as :func:`series_by_month` when every series has at most one row
     per non-null (field_id, date) — e.g. series produced by the zonal jobs of
     one polygon set with unique ids. One shuffle (union + group) instead of a
     chain of sort-merge joins. Rows with a null key never merge: they pass
@@ -69,6 +69,6 @@ def harmonize(ndvi: DataFrame, temperature: DataFrame, rainfall: DataFrame, soil
     but no series are not kept; fields without soil keep null soil columns.
     The soil side is one row per field; AQE broadcasts it when its runtime
     size is under the broadcast threshold and sort-merges it otherwise."""
-    md = (monthly_data_unique if unique_keys else monthly_data)(ndvi, temperature, rainfall)
+    md = (series_by_month_unique if unique_keys else series_by_month)(ndvi, temperature, rainfall)
     s = soil.select("field_id", *SOIL_FEATURES)
     return md.join(s, "field_id", "left").select(*HARMONIZED_COLUMNS)

@@ -1,10 +1,12 @@
 """End-to-end build: raw loads → seed → staging → intermediate → marts → checks.
 
 Run order follows the original task graph (loads, then seed, then models,
-then tests); the scheduler itself is not rebuilt. Layers materialize as in
-the original project: staging is a view (a lazy DataFrame), the harmonized
-table and the marts are written tables. Writing the harmonized table once
-cuts the lineage before its two consumers and survives executor loss.
+then tests); the scheduler itself is not rebuilt. Staging is a view layer:
+stored views in the staging database of the catalog, or session views over
+tables in a folder. The harmonized table and the marts are written tables;
+writing the harmonized table once cuts the lineage before its two consumers
+and survives executor loss. The seed is checked before the fact uses it, and a
+failing check after the build raises (``fail_on_checks``).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..config import PipelineConfig
 from ..sources.geojson import polygons_table
-from ..sources.tables import write_append, write_replace
+from ..sources.tables import load_name, write_append, write_replace
 from ..operators.spatial import regions as to_regions
 from . import extract as X
 from . import harmonize as H
@@ -44,7 +46,7 @@ class Layout:
 
     def ensure_databases(self, spark: SparkSession) -> None:
         if self.root is None:
-            for db in {self.cfg.raw_db, self.cfg.intermediate_db, self.cfg.marts_db}:
+            for db in {self.cfg.raw_db, self.cfg.staging_db, self.cfg.intermediate_db, self.cfg.marts_db}:
                 spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
     def read(self, spark: SparkSession, layer: str, table: str, schema=None) -> DataFrame:
@@ -57,6 +59,21 @@ class Layout:
         return spark.table(n)
 
 
+def stage_views(spark: SparkSession, lay: Layout, names: list[str]) -> dict[str, DataFrame]:
+    """The staging layer over the raw tables, as views: ``stg_<name>`` and ``stg_soil``."""
+    out = {}
+    for n in [*names, "soil"]:
+        schema = schemas.SOIL_RAW if n == "soil" else schemas.series_raw(n)
+        raw = lay.read(spark, "raw", f"{n}_raw", schema)
+        out[n] = STG.stg_soil(raw) if n == "soil" else STG.stg_series(raw, n)
+        if lay.root:
+            out[n].createOrReplaceTempView(f"stg_{n}")
+        else:
+            spark.sql(f"CREATE OR REPLACE VIEW {lay.name('staging', f'stg_{n}')} AS {STG.view_sql(n, lay.name('raw', f'{n}_raw'))}")
+            out[n] = spark.table(lay.name("staging", f"stg_{n}"))
+    return out
+
+
 def _counted(df: DataFrame, name: str):
     """Row count reported by the write itself (``observe``: no extra job)."""
     from pyspark.sql import Observation
@@ -82,27 +99,22 @@ def build_all(spark: SparkSession, cfg: PipelineConfig, features: DataFrame, pix
     for spec in cfg.series:
         rows = X.extract_series(spark, pixels, index, spec, cfg)
         df, obs = _counted(rows, spec.name)
-        write_append(df, lay.name("raw", f"{spec.name}_raw"), idempotent=cfg.idempotent_loads)
+        write_append(df, lay.name("raw", f"{spec.name}_raw"),
+                     load_name(cfg.polygon_set, cfg.start_date, cfg.end_date) if cfg.idempotent_loads else None)
         report[f"{spec.name}_raw"] = obs.get.get("rows", 0)
     soil = X.extract_static(static_pixels, region_df, index, cfg)
     df, obs = _counted(soil, "soil")
     write_replace(df, lay.name("raw", "soil_raw"))
     report["soil_raw"] = obs.get.get("rows", 0)
-    index.release()
 
     # 2. seed --------------------------------------------------------------
     write_replace(thresholds, lay.name("raw", "dim_thresholds"))
     th = lay.read(spark, "raw", "dim_thresholds", schemas.THRESHOLDS)
+    Q.raise_on_failures({r["check"]: r["failing"] for r in Q.threshold_checks(th).collect()})
 
     # 3. staging (views) -> intermediate (table) --------------------------------
-    names = [s.name for s in cfg.series]
-    raw = {n: lay.read(spark, "raw", f"{n}_raw", schemas.series_raw(n)) for n in names}
-    stg = {n: STG.stg_series(raw[n], n) for n in names}
-    stg_soil = STG.stg_soil(lay.read(spark, "raw", "soil_raw", schemas.SOIL_RAW))
-    # Staging is a view layer: name the frames so they can be queried.
-    for n in names:
-        stg[n].createOrReplaceTempView(f"stg_{n}")
-    stg_soil.createOrReplaceTempView("stg_soil")
+    stg = stage_views(spark, lay, [s.name for s in cfg.series])
+    stg_soil = stg["soil"]
     harm = H.harmonize(stg["ndvi"], stg["temperature"], stg["rainfall"], stg_soil)
     write_replace(harm, lay.name("intermediate", "int_harmonized_environmental_data"))
     harm = lay.read(spark, "intermediate", "int_harmonized_environmental_data")
@@ -118,4 +130,6 @@ def build_all(spark: SparkSession, cfg: PipelineConfig, features: DataFrame, pix
     # 5. checks ----------------------------------------------------------------
     report["quality"] = {r["check"]: r["failing"] for r in Q.quality_checks(fact, th, loc).collect()}
     report["layout"] = lay
+    if cfg.fail_on_checks:
+        Q.raise_on_failures(report["quality"])
     return report

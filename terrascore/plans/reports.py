@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SOIL_FEATURES, WEIGHTS
+from ..functions.dates import year_of
+from ..functions.exact import exact_mean
 from ..functions.scoring import mean_of
 
 
@@ -16,7 +18,7 @@ def report_spatial(fact: DataFrame, location: DataFrame, cell_deg: float = 1.0)
     Each field is first reduced to its mean total (partial aggregation on the
     fact), then placed in its cell; the cell average is the mean of its field
     means. Fields without a location are not placed."""
-    per_field = fact.groupBy("field_id").agg(F.avg("total_suitability_score").alias("field_score"))
+    per_field = fact.groupBy("field_id").agg(exact_mean(F.col("total_suitability_score")).alias("field_score"))
     c = float(cell_deg)
     placed = per_field.join(location.select("field_id", "latitude", "longitude"), "field_id", "inner")
     cells = placed.select(
@@ -24,7 +26,7 @@ def report_spatial(fact: DataFrame, location: DataFrame, cell_deg: float = 1.0)
         "field_id", "field_score",
     )
     return cells.groupBy("cell_lat", "cell_lon").agg(
-        F.count(F.lit(1)).alias("n_fields"), F.avg("field_score").alias("avg_total_score"),
+        F.count(F.lit(1)).alias("n_fields"), exact_mean(F.col("field_score")).alias("avg_total_score"),
         F.min("field_score").alias("min_field_score"), F.max("field_score").alias("max_field_score"),
     )
 
@@ -38,18 +40,16 @@ def report_factors(fact: DataFrame) -> DataFrame:
         terms.append(F.struct(F.lit(name).alias("factor"), score.alias("score"), (score * float(w)).alias("contribution")))
     long = fact.select("agricultural_period", F.explode(F.array(*terms)).alias("t"))
     return long.groupBy("agricultural_period", F.col("t.factor").alias("factor")).agg(
-        F.avg("t.score").alias("avg_score"), F.avg("t.contribution").alias("avg_contribution")
+        exact_mean(F.col("t.score")).alias("avg_score"), exact_mean(F.col("t.contribution")).alias("avg_contribution")
     )
 
 
-def report_trends(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Environmental metrics per year and growth stage, through the date
-    dimension (one row per month of the run: a size bound by construction,
-    so it is broadcast)."""
-    d = F.broadcast(dates.select("date", "year"))
-    j = fact.join(d, "date", "inner")
-    return j.groupBy("year", "agricultural_period").agg(
+def report_trends(fact: DataFrame) -> DataFrame:
+    """Environmental metrics per year and growth stage. The year is the one
+    the date dimension holds for the date; it comes from the date itself, so the
+    fact is read once and rows without a date keep a row of their own (null year)."""
+    return fact.groupBy(year_of("date").alias("year"), "agricultural_period").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.avg("ndvi").alias("avg_ndvi"), F.avg("temperature").alias("avg_temperature"),
-        F.avg("rainfall").alias("avg_rainfall"), F.avg("total_suitability_score").alias("avg_total_score"),
+        *[exact_mean(F.col(c)).alias(out) for c, out in (("ndvi", "avg_ndvi"), ("temperature", "avg_temperature"),
+                                                         ("rainfall", "avg_rainfall"), ("total_suitability_score", "avg_total_score"))],
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import SCORE_COLUMNS, SEASONAL_FEATURES, SOIL_FEATURES, WEIGHTS
 from ..functions.scoring import mean_of, trapezoid_score, weighted_index
-from ..operators.joins import BOUNDS, attach_seasonal_bounds, attach_static_bounds
+from ..operators.joins import BOUNDS, attach_seasonal_bounds, attach_static_bounds, unique_thresholds
 
 FACT_COLUMNS = (
     "field_id", "date", "agricultural_period", *SEASONAL_FEATURES, *SOIL_FEATURES,
@@ -23,8 +23,9 @@ def _score(feature: str) -> "F.Column":
 
 def with_bounds(harmonized: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Every harmonized row with the bounds of its season (three seasonal
-    features) and the static bounds (five soil features) as columns."""
-    out = harmonized
+    features) and the static bounds (five soil features) as columns. Several
+    rows for one (feature, period) fail the query, for both kinds alike."""
+    out, thresholds = harmonized, unique_thresholds(thresholds)
     for f in SEASONAL_FEATURES:
         out = attach_seasonal_bounds(out, thresholds, f)
     return attach_static_bounds(out, thresholds, SOIL_FEATURES)

@@ -31,3 +31,10 @@ def stg_rainfall(raw: DataFrame, strict: bool = True) -> DataFrame:
 
 def stg_soil(raw: DataFrame) -> DataFrame:
     return raw.select(*SOIL_COLUMNS)
+
+
+def view_sql(name: str, table: str) -> str:
+    """The staging projection as the text of a stored view."""
+    if name == "soil":
+        return f"SELECT {', '.join(SOIL_COLUMNS)} FROM {table}"
+    return f"SELECT field_id, to_date(date, 'yyyy-MM-dd') AS date, {name} FROM {table}"

@@ -16,20 +16,14 @@ from ..functions.dates import format_iso, month_start
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Pixel grid of the synthetic rasters: 40 x 20 pixels of 0.05 degrees.
-GRID_X0, GRID_Y0, PIXEL_DEG, GRID_NX, GRID_NY = -9.0, 30.0, 0.05, 40, 20
+# Pixel grid of the synthetic rasters: each supplier owns a block of BLOCK x BLOCK pixels of PIXEL_DEG degrees,
+# BLOCKS_X blocks to a row. The grid grows with the keys; how far a polygon reaches over its block doesn't.
+GRID_X0, GRID_Y0, PIXEL_DEG, BLOCK, BLOCKS_X = -9.0, 30.0, 0.001, 10, 100
 
 # Bands of the synthetic collection (l_returnflag) and how each becomes a
 # series in the test configuration.
-# The ndvi scale is a generic constant, 1 / (16 pi). A short decimal (0.02,
-# 0.0197) or a small-denominator fraction (1/49) makes averages of small
-# integer counts land exactly on a 7th-decimal 5 (the 6-decimal value hash
-# then flips with summation order) or on a threshold edge such as 0.5, where
-# the score jumps and a 1-ulp difference between two engines' summation
-# orders changes the score. A generic scale is never that close to either.
-NDVI_TEST_SCALE = 0.019894367886486918
 TEST_SERIES = (
-    SourceSpec("ndvi", band="A", scale_factor=NDVI_TEST_SCALE),
+    SourceSpec("ndvi", band="A", scale_factor=0.02),
     SourceSpec("temperature", band="N", offset=-5.0),
     SourceSpec("rainfall", band="R", temporal="sum", zonal="sum"),
 )
@@ -41,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def field_key(suppkey) -> Column:
     c = F.col(suppkey) if isinstance(suppkey, str) else suppkey
-    return F.concat(F.lit("field_"), F.lpad(c.cast("string"), 4, "0"))
+    return F.concat(F.lit("field_"), c.cast("string"))
 
 
 # ---- monthly series and soil straight from lineitem / supplier -------------
@@ -54,8 +48,9 @@ def _series(spark, sf_dir, flag: str, value: Column, name: str) -> DataFrame:
 
 
 def ndvi_series(spark, sf_dir) -> DataFrame:
-    """field_id, date (date), ndvi = avg(l_discount) * 10 over returnflag A."""
-    return _series(spark, sf_dir, "A", F.avg("l_discount") * 10, "ndvi")
+    """field_id, date (date), ndvi = avg(l_discount) * 10 over returnflag A, from whole hundredths (exact in any order)."""
+    hundredths = F.sum(F.round(F.col("l_discount") * 100).cast("long"))
+    return _series(spark, sf_dir, "A", hundredths.cast("double") / (F.count("l_discount") * 10), "ndvi")
 
 
 def temperature_series(spark, sf_dir) -> DataFrame:
@@ -74,14 +69,14 @@ def raw_series(series: DataFrame, name: str) -> DataFrame:
 
 
 def soil_raw(spark, sf_dir) -> DataFrame:
-    """One soil row per surveyed supplier (non-negative balance); sand is
-    unknown for balances above 9000."""
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0)
+    """One soil row per supplier; pH is unknown for negative balances and sand
+    for balances above 9000."""
+    s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     d = lambda x: F.lit(float(x))
     return s.select(
         field_key("s_suppkey").alias("field_id"),
-        (d(5) + (k % 40).cast("double") / d(10)).alias("soil_ph"),
+        F.when(F.col("s_acctbal") >= 0, d(5) + (k % 40).cast("double") / d(10)).alias("soil_ph"),
         (d(5) + (k % 41).cast("double")).alias("soil_cec"),
         (d(10) + (k % 45).cast("double")).alias("clay"),
         (d(20) + ((k * 7) % 45).cast("double")).alias("silt"),
@@ -98,12 +93,17 @@ def _centre(idx: Column, origin: float) -> Column:
     return F.lit(origin) + F.lit(PIXEL_DEG) * idx.cast("double") + F.lit(PIXEL_DEG / 2)
 
 
+def _block_pixel(block: Column, dx: Column, dy: Column) -> tuple[Column, Column]:
+    """Grid position of pixel (dx, dy) of a block."""
+    return ((block % BLOCKS_X) * BLOCK + dx).cast("long"), (F.floor(block / BLOCKS_X) * BLOCK + dy).cast("long")
+
+
 def pixels(spark, sf_dir) -> DataFrame:
     """Time-indexed pixel table from lineitem: one image row per line item,
-    ``band = l_returnflag``, pixel (l_partkey % 40, l_suppkey % 20),
-    ``value = l_quantity``."""
+    ``band = l_returnflag``, the pixel ``l_partkey`` names in the block of
+    ``l_suppkey``, ``value = l_quantity``."""
     li = table(spark, sf_dir, "lineitem")
-    ix, iy = (F.col("l_partkey") % GRID_NX), (F.col("l_suppkey") % GRID_NY)
+    ix, iy = _block_pixel(F.col("l_suppkey"), F.col("l_partkey") % BLOCK, F.floor(F.col("l_partkey") / BLOCK) % BLOCK)
     return li.select(
         F.to_date("l_shipdate").alias("image_date"), F.col("l_returnflag").alias("band"),
         ix.alias("ix"), iy.alias("iy"), _centre(ix, GRID_X0).alias("lon"), _centre(iy, GRID_Y0).alias("lat"),
@@ -112,11 +112,12 @@ def pixels(spark, sf_dir) -> DataFrame:
 
 
 def static_pixels(spark, sf_dir) -> DataFrame:
-    """Undated soil images from part, long form (one row per part and band)."""
+    """Undated soil images from part, long form (one row per part and band):
+    20 parts fall into each block."""
     p = table(spark, sf_dir, "part")
     size = F.col("p_size").cast("long")
     d = lambda x: F.lit(float(x))
-    ix, iy = F.col("p_partkey") % GRID_NX, F.floor(F.col("p_partkey") / GRID_NX) % GRID_NY
+    ix, iy = _block_pixel(F.floor(F.col("p_partkey") / 20), (F.col("p_partkey") * 7) % BLOCK, (F.col("p_partkey") * 3) % BLOCK)
     values = {
         "phh2o": d(5) + (size % 40).cast("double") / d(10),
         "cec": d(5) + (size % 41).cast("double"),
@@ -148,14 +149,15 @@ def _shape_literal(rings) -> Column:
 def polygon_features(spark, sf_dir) -> DataFrame:
     """One polygon per supplier: ``region_id, field_id, geom_type,
     coordinates`` (GeoJSON text). Shape ``s_suppkey % 4`` of SHAPES (square,
-    concave L, triangle, square with a hole), anchored at
-    (-9.2 + 0.023 * (k % 100), 29.9 + 0.037 * (k % 31)) with edge
-    0.15 + 0.05 * (k % 5) degrees. Some fall outside the pixel grid."""
+    concave L, triangle, square with a hole), anchored a little outside or
+    inside of its block's corner, with an edge of 0.7 to 1.3 blocks: it covers part of
+    its own block and at times a strip of the next ones, at every scale."""
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
-    x0 = F.lit(-9.2) + F.lit(0.023) * (k % 100).cast("double")
-    y0 = F.lit(29.9) + F.lit(0.037) * (k % 31).cast("double")
-    size = F.lit(0.15) + F.lit(0.05) * (k % 5).cast("double")
+    width = PIXEL_DEG * BLOCK
+    x0 = F.lit(GRID_X0 - 0.00237) + F.lit(width) * (k % BLOCKS_X).cast("double") + F.lit(0.00061) * (k % 7).cast("double")
+    y0 = F.lit(GRID_Y0 - 0.00173) + F.lit(width) * F.floor(k / BLOCKS_X).cast("double") + F.lit(0.00047) * (k % 5).cast("double")
+    size = F.lit(0.00703) + F.lit(0.00151) * (k % 5).cast("double")
     shape = k % len(SHAPES)
     tmpl = None
     for i, rings in enumerate(SHAPES):

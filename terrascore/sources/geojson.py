@@ -7,7 +7,7 @@ task; many files are read in parallel. The reader never infers a schema:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -15,21 +15,19 @@ from .. import schemas
 ID_PROPERTY = "field_id"
 
 
-def read_geojson(spark: SparkSession, path: str | list[str], id_property: str = ID_PROPERTY,
-                 max_broadcast_files: int = 100_000) -> DataFrame:
+def read_geojson(spark: SparkSession, path: str | list[str], id_property: str = ID_PROPERTY) -> DataFrame:
     """One row per feature:
     ``region_id bigint, file string, feature_index int, field_id string,
     properties map<string,string>, geom_type string, coordinates string``.
 
     Id rule, per file: if no feature of the file carries ``id_property``,
     every feature gets ``field_<0-based position>``; otherwise the property is
-    used as text and features without it keep a null id. ``region_id`` is the
-    feature position, offset by ``file ordinal << 32`` when several files are
-    read, so it is unique per feature.
+    used as text and features without it keep a null id. ``region_id`` is a
+    64-bit hash of the file and the position in it, for one file as for many.
+    A broken file fails the read.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.schema(schemas.FEATURE_COLLECTION).option("multiLine", True).json(paths)
-    files = sorted(raw.inputFiles())
+    raw = spark.read.schema(schemas.FEATURE_COLLECTION).option("multiLine", True).option("mode", "FAILFAST").json(paths)
     # The decision "does any feature carry an id" is per file; a file is one
     # row here (the whole collection), so it is an array predicate: no shuffle.
     has_id = F.exists(F.coalesce(F.col("features"), F.array()),
@@ -39,22 +37,13 @@ def read_geojson(spark: SparkSession, path: str | list[str], id_property: str =
     field_id = F.when(F.col("_has_id"), F.col("f.properties").getItem(id_property).cast("string")).otherwise(
         F.concat(F.lit("field_"), F.col("feature_index").cast("string"))
     )
-    out = feats.select(
-        "file", "feature_index",
+    return feats.select(
+        F.xxhash64("file", "feature_index").alias("region_id"), "file", "feature_index",
         field_id.alias("field_id"),
         F.col("f.properties").alias("properties"),
         F.col("f.geometry.type").alias("geom_type"),
         F.col("f.geometry.coordinates").alias("coordinates"),
     )
-    if len(files) <= 1:
-        return out.withColumn("region_id", F.col("feature_index").cast("long"))
-    # File ordinals from the driver's file listing (metadata, size known here).
-    ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "file string, file_ordinal long")
-    if len(files) <= max_broadcast_files:
-        ordinals = F.broadcast(ordinals)
-    return out.join(ordinals, "file", "left").withColumn(
-        "region_id", F.shiftleft(F.col("file_ordinal"), 32) + F.col("feature_index")
-    ).drop("file_ordinal")
 
 
 def json_string(col) -> "F.Column":
@@ -88,27 +77,27 @@ def features_json(df: DataFrame, properties: list[str], geom_type_col: str = "ge
 
 
 def write_feature_collections(df: DataFrame, path: str, file_key: str, order_by: str,
-                              feature_col: str = "feature", max_features_per_file: int | None = None) -> None:
-    """Write FeatureCollection files grouped by ``file_key`` (a folder per
-    value), the features ordered by ``order_by``.
-
-    A FeatureCollection is one JSON document, so each file is built by one
-    task. With ``max_features_per_file`` a key holding more features is split
-    into ``ceil(n / max)`` files by a hash of ``order_by`` (about ``max`` per
-    file; deterministic, so a retried task writes the same file); without it,
-    each key is one file."""
-    if max_features_per_file:
-        counts = df.groupBy(file_key).agg(F.count(F.lit(1)).alias("_n"))
-        n_files = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_features_per_file)))
-        df = df.join(counts, file_key).withColumn(
-            "_chunk", F.pmod(F.xxhash64(F.col(order_by)), n_files.cast("long"))).drop("_n")
-    else:
-        df = df.withColumn("_chunk", F.lit(0).cast("long"))
-    grouped = df.groupBy(file_key, "_chunk").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(order_by).alias("k"), F.col(feature_col).alias("v")))).alias("fs")
-    )
-    doc = F.concat(F.lit('{"type":"FeatureCollection","features":['),
-                   F.array_join(F.transform("fs", lambda s: s["v"]), ","), F.lit("]}"))
-    # One document per file: a file with two documents would read as one.
-    (grouped.select(F.col(file_key), doc.alias("value"))
-     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy(file_key).text(path))
+                              feature_col: str = "feature", max_features_per_file: int = 100_000) -> None:
+    """Write FeatureCollection files below a folder per ``file_key`` and chunk,
+    the features ordered by ``order_by``.
+
+    A FeatureCollection is one JSON document, so each file is written by one
+    task, line by line: a head, the features in order, and an end. No task holds
+    a collection in memory. A key with more than ``max_features_per_file``
+    features is split into chunks by a hash of ``order_by`` (about that many
+    each; deterministic, so a retried task writes the same file)."""
+    counts = df.groupBy(file_key).agg(F.count(F.lit(1)).alias("_n"))
+    n_files = F.ceil(F.col("_n") / F.lit(max_features_per_file)).cast("long")
+    rows = df.join(counts, file_key).select(
+        file_key, F.pmod(F.xxhash64(F.col(order_by)), n_files).alias("chunk"), F.lit(1).alias("_part"), F.col(order_by).alias("_order"),
+        F.col(feature_col).alias("value"))
+    chunks = rows.select(file_key, "chunk").distinct()
+    frame = chunks.select(file_key, "chunk", F.explode(F.array(F.lit(0), F.lit(2))).alias("_part"), F.lit(None).cast(rows.schema["_order"].dataType).alias("_order"),
+                          F.lit("").alias("value"))
+    by_file = Window.partitionBy(file_key, "chunk").orderBy("_part", "_order")
+    before = F.lag("_part").over(by_file)
+    line = (F.when(F.col("_part") == 0, F.lit('{"type":"FeatureCollection","features":[')).when(F.col("_part") == 2, F.lit("]}"))
+            .otherwise(F.concat(F.when(before == 1, F.lit(",")).otherwise(F.lit("")), F.col("value"))))
+    lines = rows.unionByName(frame).withColumn("value", line)
+    # the window has dealt and sorted the lines of a file into one task, in order
+    lines.select(file_key, "chunk", "value").write.mode("overwrite").partitionBy(file_key, "chunk").text(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +60,10 @@ def write_pixels(df: DataFrame, path: str) -> None:
        .write.mode("overwrite").partitionBy("band", "month").parquet(path))
 
 
+#: The load of rows that were appended without a name.
+APPENDED = "appended"
+
+
 # ---- raw tables and sinks ------------------------------------------------
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -74,39 +81,51 @@ def write_replace(df: DataFrame, name_or_path: str) -> None:
         df.write.mode("overwrite").saveAsTable(name_or_path)
 
 
-def write_append(df: DataFrame, name_or_path: str, idempotent: bool = True,
+def load_name(polygon_set: str, start: str, end: str) -> str:
+    """Name of a load: one polygon set over one period. It becomes a folder name."""
+    return "-".join(re.sub(r"[^A-Za-z0-9_.]+", "_", x) for x in (polygon_set, start, end))
+
+
+def write_append(df: DataFrame, name_or_path: str, load: str | None = None,
                  partition_col: str = "date") -> None:
     """Load a monthly series.
 
-    ``idempotent=False`` appends (a rerun duplicates rows, as the original
-    loader does). ``idempotent=True`` overwrites only the ``partition_col``
-    partitions present in ``df`` (dynamic partition overwrite), so reruns
-    of a month replace it. Writing zero rows is a no-op either way.
-    """
+    With ``load`` (see ``load_name``) the table is partitioned by load first, and
+    the write replaces all that this load wrote before, also months that now
+    have no rows. Other loads, of other polygon sets or periods, stay. Without a
+    name the rows are appended (a rerun duplicates them, as the original loader
+    does)."""
     is_path = "/" in name_or_path or name_or_path.startswith("file:")
     spark = df.sparkSession
     # Group rows by month before the partitioned write (a few files per month
     # instead of one per task and month); AQE splits an oversized month.
     df = df.hint("rebalance", partition_col)
     if is_path:
-        if idempotent:
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(partition_col).parquet(name_or_path))
+        if load is None:
+            df.withColumn("load", F.lit(APPENDED)).write.mode("append").partitionBy("load", partition_col).parquet(name_or_path)
         else:
-            df.write.mode("append").partitionBy(partition_col).parquet(name_or_path)
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(
+                f"{name_or_path.rstrip('/')}/load={load}")
         return
     if not spark.catalog.tableExists(name_or_path):
         # Create the empty partitioned table from the schema alone: ``df`` runs once.
-        spark.createDataFrame([], df.schema).write.partitionBy(partition_col).saveAsTable(name_or_path)
-    if not idempotent:
-        df.select(*spark.table(name_or_path).columns).write.insertInto(name_or_path)
+        (spark.createDataFrame([], df.schema).withColumn("load", F.lit(APPENDED)).limit(0)
+         .write.partitionBy("load", partition_col).saveAsTable(name_or_path))
+    columns = [c for c in df.columns if c != partition_col]
+    if load is None:
+        df.withColumn("load", F.lit(APPENDED)).select(*columns, "load", partition_col).write.insertInto(name_or_path)
         return
-    # insertInto matches columns by position: order them as the table does.
-    cols = spark.table(name_or_path).columns
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # All partitions of the load, and of no other, are replaced: a static partition value in the
+    # statement itself, so no session setting is changed for it.
+    name = f"terrascore_load_{uuid.uuid4().hex}"
+    df.select(*columns, partition_col).createOrReplaceTempView(name)
     try:
-        df.select(*cols).write.insertInto(name_or_path, overwrite=True)
+        spark.sql(f"INSERT OVERWRITE TABLE {name_or_path} PARTITION (load = '{load}', {partition_col}) SELECT * FROM {name}")
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        spark.catalog.dropTempView(name)
+
 
+def replace_months(df: DataFrame, path: str, load: str, partition_col: str = "date") -> None:
+    """Replace the months that ``df`` has within one load (dynamic partition overwrite, an option of this write)."""
+    (df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(partition_col).parquet(f"{path.rstrip('/')}/load={load}"))

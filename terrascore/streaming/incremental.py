@@ -4,11 +4,15 @@ The original loader appends a batch of months per run. Here new pixel files
 arriving in a pixel-table folder drive the load: each micro-batch finds the
 months it touches, recomputes those months from the whole pixel table (a
 month's composite needs every image of the month, not only the new ones),
-and overwrites exactly those month partitions of the raw series table.
+and overwrites exactly those month partitions of its load in the raw series
+table.
 
-* exactly once: the stream's progress lives in a checkpoint under the shared
+* the stream's progress lives in a checkpoint under the shared
   ``spark.checkpoint.dir``; a replayed batch rewrites the same partitions
-  with the same rows (dynamic partition overwrite is idempotent);
+  from the files that lie in the folder then (at least once, with the same or
+  newer rows);
+* the pixel folder is listed anew for each batch, so a stream that runs for
+  long sees the files that came since it started;
 * the only thing taken to the driver is the short list of months a batch
   touches; it becomes a partition filter on the month-partitioned layout.
 """
@@ -23,7 +27,7 @@ from ..config import PipelineConfig, SourceSpec
 from ..operators.spatial import SpatialIndex
 from ..plans.extract import extract_series
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import write_append
+from ..sources.tables import load_name, replace_months
 
 
 def refresh_months(spark: SparkSession, touched: DataFrame, pixels: DataFrame, index: SpatialIndex,
@@ -42,25 +46,25 @@ def refresh_months(spark: SparkSession, touched: DataFrame, pixels: DataFrame, i
         scoped = pixels.filter((F.col("image_date") >= lo) & (F.col("image_date") < hi)
                                & F.trunc(F.col("image_date"), "MM").isin(months))
     rows = extract_series(spark, scoped, index, spec, cfg)
-    write_append(rows, target, idempotent=True)
+    replace_months(rows, target, load_name(cfg.polygon_set, cfg.start_date, cfg.end_date))
 
 
 def start_series_stream(spark: SparkSession, pixel_dir: str, index: SpatialIndex, spec: SourceSpec,
                         cfg: PipelineConfig, target: str, checkpoint: str | None = None,
-                        available_now: bool = True):
+                        available_now: bool = True, interval: str = "1 minute"):
     """Start the stream over ``pixel_dir`` (Parquet files with the pixel
     schema). Returns the StreamingQuery."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/terrascore-stream/{spec.name}"
     stream = spark.readStream.schema(schemas.PIXELS).parquet(pixel_dir).filter(F.col("band") == spec.band)
-    full = spark.read.parquet(pixel_dir)      # picks up a month partition column if present
 
     def on_batch(batch: DataFrame, _epoch: int) -> None:
-        refresh_months(spark, batch, full, index, spec, cfg, target)
+        pixels = spark.read.parquet(pixel_dir)     # listed now; picks up a month partition column if present
+        refresh_months(spark, batch, pixels, index, spec, cfg, target)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
 def read_series(spark: SparkSession, target: str, name: str) -> DataFrame:
-    return spark.read.schema(schemas.series_raw(name)).parquet(target)
+    return spark.read.parquet(target).select("field_id", name, F.col("date").cast("string").alias("date"))

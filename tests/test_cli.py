@@ -16,7 +16,7 @@ def test_build_from_stored_inputs(spark):
     write_thresholds_csv(seed_thresholds(spark), th)
     series = [f"{s.name}:{s.band}:{s.temporal}:{s.zonal}:{s.scale_factor!r}:{s.offset!r}" for s in TD.TEST_SERIES]
     argv = ["build", "--polygons", poly, "--pixels", px, "--static-pixels", st, "--thresholds", th,
-            "--start", "1995-01-01", "--end", "2001-12-31", "--root", root, "--cell-deg", "0.1"]
+            "--start", "1995-01-01", "--end", "2001-12-31", "--root", root, "--cell-deg", "0.005"]
     for s in series:
         argv += ["--series", s]
     summary = main(argv, spark)

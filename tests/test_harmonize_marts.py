@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from terrascore.plans.harmonize import harmonize, monthly_data, monthly_data_unique
+from terrascore.plans.harmonize import harmonize, series_by_month, series_by_month_unique
 from terrascore.plans.marts import assessment_dataset, dim_date, dim_location
 from terrascore.plans.scoring import fact_suitability
 from terrascore.operators.aggregates import field_season_averages, pivot_seasons, pivot_seasons_direct
@@ -25,7 +25,7 @@ def test_full_outer_keeps_one_sided_and_null_keys(spark):
     n = _series(spark, "ndvi", [("a", D1, 0.5), ("x", None, 0.1)])
     t = _series(spark, "temperature", [("b", D1, 20.0), ("y", None, 15.0)])
     r = _series(spark, "rainfall", [("c", D2, 80.0), ("a", D1, 60.0)])
-    md = monthly_data(n, t, r)
+    md = series_by_month(n, t, r)
     rows = {(x.field_id, x.date): x for x in md.collect()}
     assert len(rows) == 5                      # a, b, c, and two null-date rows that do not merge
     assert rows[("a", D1)].rainfall == 60.0 and rows[("a", D1)].temperature is None
@@ -35,15 +35,15 @@ def test_full_outer_keeps_one_sided_and_null_keys(spark):
 
 def test_duplicate_keys_multiply(spark):
     rows = lambda name: _series(spark, name, [("a", D1, 1.0), ("a", D1, 2.0)])
-    assert monthly_data(rows("ndvi"), rows("temperature"), rows("rainfall")).count() == 8
+    assert series_by_month(rows("ndvi"), rows("temperature"), rows("rainfall")).count() == 8
 
 
 def test_unique_fast_path_equals_join_on_unique_keys(spark):
     n = _series(spark, "ndvi", [("a", D1, 0.5), ("b", D2, 0.2), ("n", None, 0.3)])
     t = _series(spark, "temperature", [("a", D1, 20.0), ("c", D9, 11.0)])
     r = _series(spark, "rainfall", [("b", D2, 80.0), ("n", None, 9.0)])
-    a = sorted(map(tuple, monthly_data(n, t, r).collect()), key=repr)
-    b = sorted(map(tuple, monthly_data_unique(n, t, r).select(*monthly_data(n, t, r).columns).collect()), key=repr)
+    a = sorted(map(tuple, series_by_month(n, t, r).collect()), key=repr)
+    b = sorted(map(tuple, series_by_month_unique(n, t, r).select(*series_by_month(n, t, r).columns).collect()), key=repr)
     assert a == b
 
 
@@ -89,3 +89,57 @@ def test_dim_date_sorted_and_unique(spark):
     d = dim_date(harmonize(n, e_t, e_r, _soil(spark, []))).collect()
     assert [r.date for r in d] == [D1, D2]
     assert d[0].year == 2020 and d[0].month == 1
+
+
+def test_null_keys_stay_out_of_the_joins(spark):
+    """Many null keys neither multiply nor meet in a join."""
+    n = _series(spark, "ndvi", [("a", D1, 0.5), *[(None, D1, 0.1)] * 40, *[("n", None, 0.2)] * 40])
+    t = _series(spark, "temperature", [("a", D1, 20.0), *[(None, D1, 9.0)] * 40])
+    md = series_by_month(n, t, _series(spark, "rainfall", [(None, None, 1.0)]))
+    assert md.count() == 1 + 40 + 40 + 40 + 1
+    plan = md._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("isnotnull(field_id") >= 3
+
+
+def test_several_threshold_rows_fail_alike(spark):
+    import pytest
+    from terrascore import schemas
+    n = _series(spark, "ndvi", [("a", D1, 0.2)])
+    e_t, e_r = _series(spark, "temperature", []), _series(spark, "rainfall", [])
+    h = harmonize(n, e_t, e_r, _soil(spark, [("a", 30.0, -8.0, 6.5, 20.0, 30.0, 40.0, 45.0)]))
+    seed = seed_thresholds(spark)
+    for feature, period in (("ndvi", "germination_early_growth"), ("clay", "static")):
+        twice = seed.union(spark.createDataFrame([(feature, period, 1.0, 2.0, 0.0, 3.0)], schemas.THRESHOLDS))
+        with pytest.raises(Exception, match="several threshold rows"):
+            fact_suitability(h, twice).collect()
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    from terrascore.functions.exact import exact_mean, exact_sum
+    values = [0.1, 0.2, 0.3, 1e9, -1e9, float("nan"), None]
+    one = spark.createDataFrame([(x,) for x in values], "v double")
+    two = spark.createDataFrame([(x,) for x in reversed(values)], "v double").repartition(5)
+    a, b = (f.agg(exact_sum(F.col("v")).alias("s"), exact_mean(F.col("v")).alias("m")).first() for f in (one, two))
+    assert a == b and a.s == 0.6 and a.m == 0.12
+
+
+def test_trends_keep_rows_without_a_date(spark):
+    from terrascore.plans.reports import report_trends
+    n = _series(spark, "ndvi", [("a", D1, 0.2), ("b", None, 0.4)])
+    e_t, e_r = _series(spark, "temperature", []), _series(spark, "rainfall", [])
+    fact = fact_suitability(harmonize(n, e_t, e_r, _soil(spark, [])), seed_thresholds(spark))
+    assert {(r.year, r.n_rows, r.avg_ndvi) for r in report_trends(fact).collect()} == {(2020, 1, 0.2), (None, 1, 0.4)}
+
+
+def test_checks_find_and_raise(spark):
+    import pytest
+    from terrascore.plans.quality import ChecksFailed, quality_checks, raise_on_failures
+    n = _series(spark, "ndvi", [("a", D1, 0.2), ("a", D1, 0.3), (None, D1, 0.4)])
+    e_t, e_r = _series(spark, "temperature", []), _series(spark, "rainfall", [])
+    fact = fact_suitability(harmonize(n, e_t, e_r, _soil(spark, [])), seed_thresholds(spark))
+    checks = quality_checks(fact, seed_thresholds(spark), dim_location(_soil(spark, [])))
+    found = {r["check"]: r["failing"] for r in checks.collect()}
+    assert found["fact_unique_field_date"] == 1 and found["fact_not_null_keys"] == 1 and found["fact_field_in_dim_location"] == 2
+    with pytest.raises(ChecksFailed, match="fact_unique_field_date"):
+        raise_on_failures(found)
+    raise_on_failures({k: 0 for k in found})

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from terrascore import catalog
 from terrascore.plans.testdata import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -33,14 +34,14 @@ def _digest(rows, cols):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(catalog.ORACLES))
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF)
+    df = catalog.QUERIES[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[key])
+    res = con.execute(catalog.ORACLES[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)

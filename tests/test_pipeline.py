@@ -1,6 +1,9 @@
+import pytest
+
 from terrascore import catalog
 from terrascore.plans import pipeline as PL
 from terrascore.plans import testdata as TD
+from terrascore.plans.quality import ChecksFailed
 from terrascore.sources.tables import seed_thresholds
 
 SF = "/root/testdata/sf0.001"
@@ -12,23 +15,24 @@ def _build(spark, **kw):
 
 
 def test_build_into_catalog_tables_is_idempotent(spark):
-    dbs = dict(raw_db="t_raw", intermediate_db="t_int", marts_db="t_marts")
+    dbs = dict(raw_db="t_raw", staging_db="t_stg", intermediate_db="t_int", marts_db="t_marts")
     first = _build(spark, cfg=dbs)
     n1 = spark.table("t_raw.ndvi_raw").count()
     a1 = sorted(map(tuple, spark.table("t_marts.assessment_dataset").collect()), key=repr)
     second = _build(spark, cfg=dbs)
     assert spark.table("t_raw.ndvi_raw").count() == n1 == first["ndvi_raw"] == second["ndvi_raw"]
     assert sorted(map(tuple, spark.table("t_marts.assessment_dataset").collect()), key=repr) == a1
-    assert spark.table("stg_ndvi").count() == n1 and spark.table("stg_soil").count() == first["soil_raw"]
+    assert spark.table("t_stg.stg_ndvi").count() == n1 and spark.table("t_stg.stg_soil").count() == first["soil_raw"]
     q = first["quality"]
     assert q["fact_unique_field_date"] == 0 and q["fact_scores_in_unit_range"] == 0
     assert q["thresholds_unique_feature_period"] == 0 and q["dim_location_unique_field"] == 0
 
 
 def test_plain_append_duplicates_on_rerun(spark):
-    dbs = dict(raw_db="t_raw2", intermediate_db="t_int2", marts_db="t_marts2", idempotent_loads=False)
+    dbs = dict(raw_db="t_raw2", staging_db="t_stg2", intermediate_db="t_int2", marts_db="t_marts2", idempotent_loads=False)
     first = _build(spark, cfg=dbs)
-    _build(spark, cfg=dbs)
+    with pytest.raises(ChecksFailed, match="fact_unique_field_date"):
+        _build(spark, cfg=dbs)
     assert spark.table("t_raw2.ndvi_raw").count() == 2 * first["ndvi_raw"]
     # the joins multiply duplicated keys (k copies in three series -> k^3 rows)
     assert spark.table("t_int2.int_harmonized_environmental_data").count() > first["ndvi_raw"]

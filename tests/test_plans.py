@@ -3,20 +3,20 @@ static-threshold row, filters pushed to the scans."""
 
 import pytest
 
-import __spark_entry__ as E
+from terrascore import catalog
 
 SF = "/root/testdata/sf0.001"
 SKIP = {"sink_append", "sink_append_duplicates", "sink_replace", "src_geojson", "src_geojson_default_id",
-        "src_polygons_table", "pipeline_build_all", "src_thresholds_csv"}
+        "src_polygons_table", "pipeline_build_all"}
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k not in SKIP))
+@pytest.mark.parametrize("key", sorted(k for k in catalog.QUERIES if k not in SKIP))
 def test_no_python_udf_no_cartesian(spark, key):
-    plan = _plan(E.queries()[key](spark, SF))
+    plan = _plan(catalog.QUERIES[key](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
         assert bad not in plan, f"{key}: {bad}"
     # nested-loop joins only as the broadcast one-row static-threshold cross join
@@ -25,5 +25,5 @@ def test_no_python_udf_no_cartesian(spark, key):
 
 
 def test_band_and_date_filters_reach_the_scan(spark):
-    plan = _plan(E.queries()["job_ndvi"](spark, SF))
+    plan = _plan(catalog.QUERIES["job_ndvi"](spark, SF))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,A)" in plan or "EqualTo(l_returnflag,A)" in plan

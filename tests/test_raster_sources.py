@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from terrascore.operators import raster as R
@@ -81,29 +83,46 @@ def test_geojson_ids(spark):
 def test_polygons_table_round_trip(spark):
     d = local_path(scratch_path(spark, "gj-test2"))
     os.makedirs(d, exist_ok=True)
-    _write_fc(f"{d}/one.geojson", [_feat({"field_id": "field_001"}, SQ)])
+    _write_fc(f"{d}/one.geojson", [_feat({"field_id": "plot_a"}, SQ)])
     t = GJ.polygons_table(GJ.read_geojson(spark, f"{d}/one.geojson")).first()
-    assert t.field_id == "field_001"
+    assert t.field_id == "plot_a"
     assert json.loads(t.geometry) == {"type": "Polygon", "coordinates": SQ}
 
 
 def test_sinks(spark):
     rows = spark.createDataFrame([("a", 0.5, "2020-01-01"), ("b", 0.2, "2020-02-01")], schemas.NDVI_RAW)
     p = scratch_path(spark, "sink-idem")
-    TB.write_append(rows, p, idempotent=True)
-    TB.write_append(rows.filter(F.col("field_id") == "a"), p, idempotent=True)
-    back = spark.read.schema(schemas.NDVI_RAW).parquet(p)
-    assert sorted(r.field_id for r in back.collect()) == ["a", "b"]     # Jan replaced, Feb kept
+    north, south = TB.load_name("north fields", "2020-01-01", "2020-12-31"), TB.load_name("south fields", "2020-01-01", "2020-12-31")
+    TB.write_append(rows, p, north)
+    TB.write_append(rows.withColumn("field_id", F.lit("s")), p, south)          # another set, the same months: both stay
+    TB.write_append(rows.filter("field_id = 'a'"), p, north)                    # a rerun without February drops it
+    back = sorted((r.field_id, str(r.date)) for r in spark.read.parquet(p).collect())
+    assert back == [("a", "2020-01-01"), ("s", "2020-01-01"), ("s", "2020-02-01")]
     p2 = scratch_path(spark, "sink-append")
-    TB.write_append(rows, p2, idempotent=False)
-    TB.write_append(rows, p2, idempotent=False)
-    assert spark.read.schema(schemas.NDVI_RAW).parquet(p2).count() == 4
+    TB.write_append(rows, p2)
+    TB.write_append(rows, p2)
+    assert spark.read.parquet(p2).count() == 4
     p3 = scratch_path(spark, "sink-replace")
     TB.write_replace(rows, p3)
     TB.write_replace(rows, p3)
     assert spark.read.parquet(p3).count() == 2
 
 
+def test_broken_polygon_file_fails(spark):
+    d = local_path(scratch_path(spark, "gj-broken"))
+    os.makedirs(d, exist_ok=True)
+    _write_fc(f"{d}/good.geojson", [_feat({"field_id": "g"}, SQ)])
+    with open(f"{d}/good.geojson") as good, open(f"{d}/broken.geojson", "w") as out:
+        out.write(good.read()[:60])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        GJ.read_geojson(spark, d).collect()
+
+
+def test_field_ids_stay_distinct_for_many_suppliers(spark):
+    keys = spark.range(20_000).select(TD.field_key("id").alias("f"))
+    assert keys.distinct().count() == 20_000
+
+
 def test_threshold_csv_keeps_doubles(spark):
     p = scratch_path(spark, "thr")
     TB.write_thresholds_csv(TB.seed_thresholds(spark), p)
@@ -117,8 +136,9 @@ def test_feature_collection_writer_splits_large_keys(spark):
     path = scratch_path(spark, "fc-split")
     GJ.write_feature_collections(GJ.features_json(feats, ["field_id"]), path, "grp", "region_id",
                                  max_features_per_file=30)
-    files = [f for f in os.listdir(local_path(path) + "/grp=1") if not f.startswith((".", "_"))]
-    assert len(files) == 4                                   # ceil(100 / 30) hash-split files
+    chunks = [c for c in os.listdir(local_path(path) + "/grp=1") if c.startswith("chunk=")]
+    files = [f for c in chunks for f in os.listdir(f"{local_path(path)}/grp=1/{c}") if not f.startswith((".", "_"))]
+    assert len(chunks) == len(files) == 4                    # ceil(100 / 30) hash-split files, one document each
     back = GJ.read_geojson(spark, path)
     assert back.count() == 100 and back.select("field_id").distinct().count() == 100
     assert back.select("region_id").distinct().count() == 100

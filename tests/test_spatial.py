@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrascore.functions.geometry import point_in_polygon
+from terrascore.operators import raster as R
 from terrascore.operators import spatial as SP
 from terrascore.plans import testdata as TD
 
@@ -21,7 +22,7 @@ HOLED = [[[-8.8, 30.4], [-8.3, 30.4], [-8.3, 30.9], [-8.8, 30.9], [-8.8, 30.4]],
 
 
 def test_centroid_of_square(spark):
-    c = SP.centroids(SP.regions(_features(spark, [("field_001", "Polygon", SQUARE)]))).first()
+    c = SP.centroids(SP.regions(_features(spark, [("plot_a", "Polygon", SQUARE)]))).first()
     assert round(c.lon, 9) == -8.75 and round(c.lat, 9) == 30.55
 
 
@@ -75,21 +76,27 @@ def test_no_pixels_no_row_and_coarse_clip_superset(spark):
     assert SP.clip(px, idx, exact=True).count() <= SP.clip(px, idx, exact=False).count()
 
 
-def test_per_location_equals_per_row(spark):
-    regions = SP.regions(TD.polygon_features(spark, SF))
-    idx = SP.SpatialIndex.build(regions, 0.1, max_rows=1_000_000)
-    comp = TD.pixels(spark, SF).filter(F.col("band") == "R").withColumn("month", F.trunc("image_date", "MM"))
-    a = SP.zonal_stats(comp, idx, "sum", per_location=True)
-    b = SP.zonal_stats(comp, idx, "sum", per_location=False)
-    r = lambda df: sorted((x.region_id, x.month, x.value) for x in df.collect())
-    assert r(a) == r(b) and len(r(a)) > 0
+def test_centres_that_move_are_tested_where_they_are(spark):
+    """A location whose centre differs between months: each row is tested at its own centre."""
+    regions = SP.regions(_features(spark, [("sq", "Polygon", [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]])]))
+    rows = [("2020-01-01", 0, 0, 0.5, 0.5, 1.0), ("2020-02-01", 0, 0, 5.0, 0.5, 2.0), ("2020-03-01", 0, 0, 0.6, 0.5, 3.0)]
+    px = spark.createDataFrame(rows, "month string, ix int, iy int, lon double, lat double, value double")
+    for max_rows in (1, 1_000_000):
+        idx = SP.SpatialIndex.build(regions, 0.25, max_rows=max_rows)
+        assert sorted((r.month, r.value) for r in SP.zonal_stats(px, idx, "sum").collect()) == [("2020-01-01", 1.0), ("2020-03-01", 3.0)]
+
+
+def test_bands_are_kept_apart(spark):
+    rows = [("2020-01-01", "a", 0, 0, 10.0), ("2020-01-01", "b", 0, 0, 2.0), ("2020-01-01", "b", 0, 0, 4.0)]
+    px = spark.createDataFrame(rows, "month string, band string, ix int, iy int, value double").withColumn("lon", F.lit(0.5)).withColumn("lat", F.lit(0.5))
+    assert {(r.band, r.value) for r in R.composite(px, "mean").collect()} == {("a", 10.0), ("b", 3.0)}
 
 
 def test_soil_rows_keep_polygons_without_pixels_or_geometry(spark):
     from terrascore import catalog
     from terrascore.plans.extract import extract_static
-    # at sf0.001 the static soil grid covers latitudes 30.0-30.25 only
-    south = [[[-8.8, 30.0], [-8.7, 30.0], [-8.7, 30.1], [-8.8, 30.1], [-8.8, 30.0]]]
+    # at sf0.001 the static soil grid covers the first blocks only
+    south = [[[-9.0, 30.0], [-8.9, 30.0], [-8.9, 30.1], [-9.0, 30.1], [-9.0, 30.0]]]
     feats = spark.createDataFrame(
         [(0, "sq", "Polygon", json.dumps(south)), (1, "far", "Polygon", json.dumps([[[10, 10], [11, 10], [11, 11], [10, 10]]])),
          (2, "nogeom", None, None), (3, "", "Polygon", json.dumps(SQUARE)), (4, None, "Polygon", json.dumps(SQUARE)),
@@ -99,7 +106,7 @@ def test_soil_rows_keep_polygons_without_pixels_or_geometry(spark):
     idx = SP.SpatialIndex.build(r, 0.1, max_rows=10_000)
     rows = {x.field_id: x for x in extract_static(TD.static_pixels(spark, SF), r, idx, catalog.TEST_CFG).collect()}
     assert set(rows) == {"sq", "far", "nogeom", "line"}          # empty / null ids dropped
-    assert rows["sq"].soil_ph is not None and round(rows["sq"].lon, 9) == -8.75 and round(rows["sq"].lat, 9) == 30.05
+    assert rows["sq"].soil_ph is not None and round(rows["sq"].lon, 9) == -8.95 and round(rows["sq"].lat, 9) == 30.05
     assert rows["far"].soil_ph is None and rows["far"].lat == pytest.approx(10 + 1 / 3)
     assert rows["nogeom"].lat is None and rows["nogeom"].soil_ph is None
     assert rows["line"].lat is None
@@ -110,8 +117,8 @@ def test_weighted_zonal(spark):
     idx = SP.SpatialIndex.build(regions, 0.1, max_rows=1_000_000)
     px = TD.pixels(spark, SF).filter(F.col("band") == "N").withColumn("month", F.trunc("image_date", "MM"))
     half = px.withColumn("w", F.lit(0.5))
-    plain_mean = {(r.region_id, r.month): r.value for r in SP.zonal_stats(px, idx, "mean", per_location=False).collect()}
-    w_mean = {(r.region_id, r.month): r.value for r in SP.zonal_stats(half, idx, "mean", weight="w", per_location=False).collect()}
+    plain_mean = {(r.region_id, r.month): r.value for r in SP.zonal_stats(px, idx, "mean").collect()}
+    w_mean = {(r.region_id, r.month): r.value for r in SP.zonal_stats(half, idx, "mean", weight="w").collect()}
     plain_sum = {(r.region_id, r.month): r.value for r in SP.zonal_stats(px, idx, "sum").collect()}
     w_sum = {(r.region_id, r.month): r.value for r in SP.zonal_stats(half, idx, "sum", weight="w").collect()}
     assert plain_mean.keys() == w_mean.keys() and len(plain_mean) > 0
@@ -119,15 +126,21 @@ def test_weighted_zonal(spark):
     assert all(w_sum[k] == pytest.approx(plain_sum[k] / 2) for k in plain_sum)
 
 
-def test_cell_grows_when_index_would_explode(spark):
-    regions = SP.regions(TD.polygon_features(spark, SF))
-    tiny = 0.001                                   # ~ 250^2 cells per polygon
-    assert SP.estimated_index_rows(regions, tiny) > 40_000
-    idx = SP.SpatialIndex.build(regions, tiny, max_rows=10_000)
-    assert idx.cell_deg > tiny
-    assert SP.estimated_index_rows(regions, idx.cell_deg) <= 40_000
-    cells = TD.pixels(spark, SF).select("ix", "iy", "lon", "lat").distinct()
-    brute = cells.crossJoin(regions.select("region_id", "edges")).filter(
-        point_in_polygon("lon", "lat", "edges")).select("region_id", "ix", "iy")
-    got = SP.pixels_in_regions(cells, idx).select("region_id", "ix", "iy")
-    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in brute.collect()}
+def test_many_polygons_make_many_cells(spark):
+    """More polygons than the broadcast bound: the cells stay small, the join is a shuffle join, the rows the same."""
+    regions = SP.regions(TD.polygon_features(spark, "/root/testdata/sf0.01"))
+    n = regions.count()
+    idx = SP.SpatialIndex.build(regions, 0.005, max_rows=n // 4)
+    assert not idx.broadcastable and idx.cell_deg == 0.005
+    assert idx.df.select("cx", "cy").distinct().count() > 2 * n
+    cells = TD.pixels(spark, "/root/testdata/sf0.01").select("ix", "iy", "lon", "lat").distinct()
+    plain = SP.SpatialIndex.build(regions, 0.02, max_rows=1_000_000)
+    got = [{tuple(r) for r in SP.pixels_in_regions(cells, i).select("region_id", "ix", "iy").collect()} for i in (idx, plain)]
+    assert got[0] == got[1] and len(got[0]) > n
+
+
+def test_soil_is_clipped_before_its_shuffle(spark):
+    from terrascore import catalog
+    plan = catalog.QUERIES["job_soil"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    semi = plan.index("LeftSemi")
+    assert "Aggregate [ix" in plan[:semi] and "Aggregate [ix" not in plan[semi:]

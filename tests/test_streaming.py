@@ -44,3 +44,23 @@ def test_refresh_prunes_month_partitions(spark):
     want = extract_series(spark, full.filter(F.col("image_date").between("1997-03-01", "1997-04-30")), idx, spec, cfg)
     r = lambda df: sorted((x.field_id, x.date, round(x.rainfall, 9)) for x in df.collect())
     assert r(got) == r(want)
+
+
+def test_a_file_that_lands_mid_stream_is_seen(spark):
+    """A batch lists the pixel folder when it runs, not when the stream was started."""
+    cfg, spec = catalog.TEST_CFG, TD.TEST_SERIES[2]
+    src, out = scratch_path(spark, "px-late"), scratch_path(spark, "rain-late")
+    idx = catalog.index(spark, SF)
+    march = TD.pixels(spark, SF).filter(F.col("image_date").between("1997-03-01", "1997-03-31"))
+    march.filter("image_date < '1997-03-10'").coalesce(1).write.parquet(src, mode="append")
+    query = start_series_stream(spark, src, idx, spec, cfg, out, available_now=False, interval="1 second")
+    try:
+        query.processAllAvailable()
+        march.filter("image_date >= '1997-03-10'").coalesce(1).write.parquet(src, mode="append")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = read_series(spark, out, "rainfall")
+    want = extract_series(spark, spark.read.parquet(src), idx, spec, cfg)
+    r = lambda df: sorted((x.field_id, x.date, x.rainfall) for x in df.collect())
+    assert r(got) == r(want) and r(got)
