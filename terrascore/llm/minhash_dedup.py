@@ -3,23 +3,25 @@
 A document's set are its distinct shingles of ``words`` words; documents are linked when
 100 * intersection >= percent * union, and form the classes of that relation's closure.
 
-1. Each text gets its set's size, a 128-bit key of the set, and a signature: the least
-   hash of the set under each of COORDINATES permutations. Documents with the
+1. Each text gets its set's size, a 128-bit key of the set, a signature (the least
+   hash of the set under each of COORDINATES permutations) and a finer sketch: the set dealt
+   over BINS bins by one hash, a byte of the least in each. Documents with the
    same key are one class from here on, whatever their number.
-2. Classes are posted under the coordinate-value pairs of the first POSTED ones. Two
-   linked classes agree in SHARED of these or more (all but one in ten million pairs at
-   the very threshold), so it is enough to post a class under its rarest pairs, all but
-   SHARED - 1 of those that others have too (the prefix); a class with fewer than
-   SHARED such pairs has no partner and is skipped.
+2. Classes are posted under their coordinate-value pairs. Two linked classes agree in
+   MATCHES coordinates or more (all but one in ten million pairs at the
+   very threshold), so it is enough to post a class under its rarest pairs, all but
+   MATCHES - 1 of those that others have too (the prefix); a class with fewer than
+   MATCHES such pairs has no partner and is skipped.
 3. Each class is held against the smallest doc_id of its posts, where they collide
-   SHARED times or more: a star for each group of near copies, linear in its size. The
+   MATCHES times or more: a star for each group of near copies, linear in its size. The
    links are confirmed and closed. Then the posts are merged, and each offers the
-   one post of another component with which it collides most, from LIKELY collisions on:
+   one post of another component whose sketch is the likest, from LIKELY on:
    at most one candidate a post. These are confirmed and closed as well.
-4. Last, all posts of different components under one pair are candidates where they collide
-   MATCHES times over the whole signature. Posts of one component make none (skip), so
-   a group of near copies costs what its unlinked rest costs. The candidates
-   are confirmed, and all links are closed.
+4. Last, all posts of different components under one pair are candidates where their
+   sketches agree in ALIKE of the bins in use or more (five standard deviations under the threshold).
+   Posts of one component make none (skip), so a group of near copies costs what its
+   unlinked rest costs; and a pair is put out under the first two pairs that both are
+   posted under, not under all. The candidates are confirmed, and all links are closed.
 
 Links are confirmed on the words of both whole texts. Nothing is capped. Words are
 ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case. A text with fewer words than a shingle has one
@@ -42,12 +44,13 @@ from ..session import ensure_checkpoint_dir
 from .common import int_column, join_counted, mix, runs, ship, shuffle_partitions, text_view
 from .lm_score import grams
 
-COORDINATES, MATCHES, LIKELY = 64, 33, 45
-POSTED, SHARED = 32, 12
+COORDINATES, MATCHES = 32, 12
+#: Bins of the sketch; per cent of them that must agree for a candidate, and for a likely one.
+BINS, ALIKE, LIKELY = 256, 68, 74
 #: Posts of one pair that one task holds against each other.
 BLOCK = 1024
 NULL_ID = -(1 << 63)
-_SEEDS = mix(np.arange(1, COORDINATES + 3, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+_SEEDS = mix(np.arange(1, COORDINATES + 4, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -67,7 +70,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndar
 
 
 def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Per row: id, n, key of the set, posts (coordinate and value as one number), and a byte of each coordinate."""
+    """Per row: id, n, key of the set, posts (coordinate and value as one number), two bytes of each coordinate and a byte of each bin (0: empty)."""
     for batch in batches:
         ids = int_column(batch, "id")
         for i, j, data, off in runs(batch):
@@ -75,27 +78,39 @@ def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
             n, has = np.diff(at), np.flatnonzero(np.diff(at))
             start = at[:-1][has]
             keys = np.zeros((j - i, 2), np.uint64)
-            posts, short = np.zeros((j - i, POSTED), np.int64), np.zeros((j - i, COORDINATES), np.uint8)
+            posts, sketch = np.zeros((j - i, COORDINATES), np.int64), np.zeros((j - i, BINS), np.uint8)
             if len(has):
                 for c in range(2):
                     keys[has, c] = np.add.reduceat(mix(h ^ _SEEDS[COORDINATES + c]), start)
                 for c in range(COORDINATES):
                     least = np.minimum.reduceat(mix(h ^ _SEEDS[c]), start)
-                    short[has, c] = least & np.uint64(255)
-                    if c < POSTED:
-                        posts[has, c] = (np.uint64(c) << np.uint64(32) | least >> np.uint64(32)).astype(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * POSTED, POSTED, dtype=np.int32)), pa.array(posts.reshape(-1)))
+                    posts[has, c] = (np.uint64(c) << np.uint64(32) | least >> np.uint64(32)).astype(np.int64)
+                row = np.repeat(np.arange(j - i), n)
+                x = mix(h ^ _SEEDS[COORDINATES + 2])
+                at_bin = row * BINS + (x % np.uint64(BINS)).astype(np.int64)
+                o = np.lexsort((x, at_bin))  # the least of each bin comes first
+                o = o[np.r_[True, at_bin[o][1:] != at_bin[o][:-1]]]
+                sketch.reshape(-1)[at_bin[o]] = (x[o] >> np.uint64(32)) % np.uint64(255) + np.uint64(1)
+            short = (posts & 0xFFFF).astype("<u2")
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * COORDINATES, COORDINATES, dtype=np.int32)), pa.array(posts.reshape(-1)))
             yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(n), pa.array([x.tobytes() for x in keys], pa.binary()), lists,
-                                              pa.array([x.tobytes() for x in short], pa.binary())], names=["id", "n", "key", "posts", "sig"])
+                                              pa.array([x.tobytes() + y.tobytes() for x, y in zip(short, sketch, strict=True)], pa.binary())],
+                                             names=["id", "n", "key", "posts", "sig"])
 
 
 def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) -> Iterator[pa.RecordBatch]:
     """Candidates among the posts of each pair and block (rows come sorted by both): a < b, in different components.
-    All that collide MATCHES times, or with ``best`` each post's one that collides most."""
+    All whose sketches agree in ALIKE per cent, or with ``best`` each post's likest one.
+
+    A pair stands under many coordinate-value pairs; it is put out under the first two
+    coordinates that both are posted under with equal values. Two, as values are compared by 16 bits
+    here: one chance agreement before the first true one does no harm."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def pairs(rows: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        _, block, rep, n, comp, rest = rows
+        post, block, rep, n, comp, mask, rest = rows
+        values, sketch = sig[:, :2 * COORDINATES].copy().view("<u2"), sig[:, 2 * COORDINATES:]
+        own = int(post[0] >> 32)
         found_a, found_b = [], []
         for s in range(0, len(rep), 128):
             q = slice(s, s + 128)
@@ -107,15 +122,24 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
             x, y = np.nonzero(ok)
             if not len(x):
                 continue
-            hits = np.concatenate([np.count_nonzero(sig[q][x[i:i + 65536]] == sig[y[i:i + 65536]], axis=1) for i in range(0, len(x), 65536)])
+            x += s
+            share = np.empty(len(x))
+            for i in range(0, len(x), 16384):
+                u, v = sketch[x[i:i + 16384]], sketch[y[i:i + 16384]]
+                used = u | v
+                share[i:i + 16384] = 100.0 * np.count_nonzero((u == v) & (used != 0), axis=1) / np.count_nonzero(used, axis=1)
             if best:
-                o = np.lexsort((-hits, x))
+                o = np.lexsort((-share, x))
                 o = o[np.r_[True, x[o][1:] != x[o][:-1]]]
-                o = o[hits[o] >= LIKELY]
+                o = o[share[o] >= LIKELY]
                 x, y = x[o], y[o]
             else:
-                x, y = x[hits >= MATCHES], y[hits >= MATCHES]
-            found_a.append(rep[q][x]), found_b.append(rep[y])
+                x, y = x[share >= ALIKE], y[share >= ALIKE]
+                if own:  # earlier coordinates that both are posted under, with the same value
+                    posted = (mask[x] & mask[y])[:, None] >> np.arange(own) & 1
+                    first = np.count_nonzero((values[x, :own] == values[y, :own]) & (posted == 1), axis=1) < 2
+                    x, y = x[first], y[first]
+            found_a.append(rep[x]), found_b.append(rep[y])
         if not found_a:
             return rep[:0], rep[:0]
         a, b = np.concatenate(found_a), np.concatenate(found_b)
@@ -145,8 +169,8 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
         yield from done(np.concatenate([r for r, _ in held], axis=1), np.concatenate([g for _, g in held]))
 
 
-def candidates(posts: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Candidate pairs (a, b) of posts: post, rep, n, comp, sig. A pair with more than BLOCK posts is held in blocks:
+def candidates(posts: DataFrame, held: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Candidate pairs (a, b) of posts: post, rep, n, comp, mask; held: rep and sig. A pair with more than BLOCK posts is held in blocks:
     its largest component's posts are dealt over them, and the rest's put in each."""
     parts = shuffle_partitions(posts.sparkSession)
     groups = posts.groupBy("post").agg(F.count(F.lit(1)).alias("g"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("post", "g")
@@ -158,7 +182,8 @@ def candidates(posts: DataFrame, percent: int, best: bool) -> DataFrame:
     rest = F.when(F.col("major").isNotNull() & (F.col("comp") != F.col("major")), F.lit(1)).otherwise(F.lit(0))
     to = (F.when(F.col("major").isNull(), F.array(F.lit(0))).when(F.col("comp") == F.col("major"), F.array(F.pmod(F.xxhash64("rep"), blocks).cast("int")))
           .otherwise(F.sequence(F.lit(0), blocks - 1)))
-    dealt = met.select("post", F.explode(to).alias("block"), "rep", "n", "comp", rest.alias("rest"), "sig")
+    dealt = met.select("post", F.explode(to).alias("block"), "rep", "n", "comp", "mask", rest.alias("rest"))
+    dealt = dealt.join(held.select("rep", "sig"), "rep").select("post", "block", "rep", "n", "comp", "mask", "rest", "sig")
     return (dealt.repartition(parts, "post", "block").sortWithinPartitions("post", "block")
             .mapInArrow(lambda it: merge_posts(it, percent, best), "a long, b long").distinct())
 
@@ -237,22 +262,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     least = next(n for n in range(1, 102) if 100 * n >= percent * (n + 1) or n == 101)
     posted = classes.where(F.col("n") >= least).select("rep", F.explode("posts").alias("post"))
     shared = posted.groupBy("post").agg(F.count(F.lit(1)).alias("f"), F.min("rep").alias("first")).where("f > 1")
-    of_rep = (join_counted(posted, shared, ["post"], "f", base.count() * POSTED, "rep").groupBy("rep")
-              .agg(F.array_sort(F.collect_list(F.struct("f", "post", "first"))).alias("posts")).where(F.size("posts") >= SHARED))
+    of_rep = (join_counted(posted, shared, ["post"], "f", base.count() * COORDINATES, "rep").groupBy("rep")
+              .agg(F.array_sort(F.collect_list(F.struct("f", "post", "first"))).alias("posts")).where(F.size("posts") >= MATCHES))
     firsts = F.col("posts.first")
-    stars = F.filter(F.array_distinct(firsts), lambda p: (p != F.col("rep")) & (F.size(F.filter(firsts, lambda x: x == p)) >= SHARED))
-    prefix = F.slice(F.col("posts.post"), F.lit(1), F.size("posts") - (SHARED - 1))
+    stars = F.filter(F.array_distinct(firsts), lambda p: (p != F.col("rep")) & (F.size(F.filter(firsts, lambda x: x == p)) >= MATCHES))
+    prefix = F.slice(F.col("posts.post"), F.lit(1), F.size("posts") - (MATCHES - 1))
     held = of_rep.select("rep", prefix.alias("prefix"), stars.alias("stars")).join(classes.select("rep", "n", "sig"), "rep").checkpoint()
 
     def posts_of(links: DataFrame) -> DataFrame:
         """The posts, with the component that the links so far give."""
         joined = components(links).withColumnRenamed("node", "rep")
-        return (held.join(joined, "rep", "left").select(F.explode("prefix").alias("post"), "rep", "n", F.coalesce("comp", "rep").alias("comp"), "sig").checkpoint())
+        mask = F.aggregate("prefix", F.lit(0).cast("long"), lambda m, p: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(p, 32).cast("int"))))
+        return (held.drop("sig").join(joined, "rep", "left")
+                .select(F.explode("prefix").alias("post"), "rep", "n", F.coalesce("comp", "rep").alias("comp"), mask.alias("mask")).checkpoint())
 
     pairs = held.select(F.explode("stars").alias("a"), F.col("rep").alias("b")).distinct()
     links = confirmed(rows, pairs, words, percent).checkpoint()
-    links = links.union(confirmed(rows, candidates(posts_of(links), percent, True), words, percent)).checkpoint()
-    links = links.union(confirmed(rows, candidates(posts_of(links), percent, False), words, percent))
+    links = links.union(confirmed(rows, candidates(posts_of(links), held, percent, True), words, percent)).checkpoint()
+    links = links.union(confirmed(rows, candidates(posts_of(links), held, percent, False), words, percent))
     final = components(links)
 
     of_class = (classes.select("key", "n", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")

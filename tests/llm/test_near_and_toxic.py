@@ -84,7 +84,8 @@ def test_posts_of_all_blocks_meet():
     rng = np.random.default_rng(1)
     n = 300
     post, comp = np.sort(rng.integers(0, 20, n)), rng.integers(0, 40, n)
-    rows = {"post": post, "block": np.zeros(n, np.int64), "rep": np.arange(n), "n": np.full(n, 10), "comp": comp, "rest": np.zeros(n, np.int64), "sig": pa.array([b"x" * 64] * n)}
+    rows = {"post": post, "block": np.zeros(n, np.int64), "rep": np.arange(n), "n": np.full(n, 10), "comp": comp, "mask": np.zeros(n, np.int64), "rest": np.zeros(n, np.int64),
+            "sig": pa.array([b"x" * (2 * minhash_dedup.COORDINATES + minhash_dedup.BINS)] * n)}
     table = pa.table(rows)
     got = {(a, b) for batch in minhash_dedup.merge_posts(iter(table.to_batches(max_chunksize=7)), 80, False)
            for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True)}
