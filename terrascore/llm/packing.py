@@ -6,7 +6,7 @@ first. Each piece is a sequence of its own; sequences of one length form a
 bucket, and a batch is drawn from one bucket, so nothing is filled up.
 
 The work is one pass over the documents without a shuffle. White space always
-ends a token, so a text's ids are those of its words in turn; each task encodes
+ends a token, so a text's ids are those of its words in turn; a worker encodes
 a distinct word once. A sequence's id is the number of the input partition and
 the piece's number in it, unique also where rows repeat a doc_id, and the same
 when a lost task runs again. A null text counts as empty: the end id alone.
@@ -14,8 +14,11 @@ when a lost task runs again. A null text counts as empty: the end id alone.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,50 +28,95 @@ from pyspark.sql import functions as F
 
 from .common import runs, ship
 
-#: Distinct words that a task remembers; then it forgets all and starts anew.
-WORDS_KEPT = 200_000
+#: Distinct words that a worker remembers; then it forgets all and starts anew.
+WORDS_KEPT = 500_000
+#: Words of these characters alone are split here; all others by the tokenizer's own rules.
+_PLAIN = re.compile(r"[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+
+
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for; ``new`` are those not yet encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer whose tokens never hold white space."""
+    """Ids of texts by a tokenizer whose tokens never hold white space.
+
+    New words are encoded by the tokenizer. Where its rules are the usual ones of a
+    lower-case byte-level BPE (``SPLIT_RULE``), a plain word is split here and its
+    parts go straight to the BPE model, each distinct part once."""
+
+    SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the task has its cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        first = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        steps = [x.get("type") for x in (rules.get("normalizer") or {}).get("normalizers", [])]
+        self.direct = (first.get("pattern") == {"Regex": self.SPLIT_RULE} and steps == ["NFC", "Replace", "Lowercase"]
+                       and all(x["content"].startswith("<|") for x in rules["added_tokens"]))
+        self.model = self.tokenizer.model
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level BPE shows as themselves
+        rest = [b for b in range(256) if b not in set(shown)]
+        self.letters = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(rest)}
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = Numbers()
+        self.parts: dict[str, list[int]] = {}
         self.ids, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def ids_of(self, word: str) -> list[int] | None:
+        """Ids of a plain word; None for others."""
+        if "<|" in word or not (word.isascii() or _PLAIN.fullmatch(word)):
+            return None
+        out: list[int] = []
+        for part in _SPLIT.findall(word.lower()):
+            ids = self.parts.get(part)
+            if ids is None:
+                ids = self.parts[part] = [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
+            out += ids
+        return out
+
     def learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > WORDS_KEPT and self.known:
-            self.forget()
-        got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        """Encode the words that got the next numbers."""
+        text = [w.decode() for w in words]
+        got = [self.ids_of(w) for w in text] if self.direct else [None] * len(text)
+        other = [i for i, g in enumerate(got) if g is None]
+        for i, e in zip(other, self.tokenizer.encode_batch_fast([text[i] for i in other], add_special_tokens=False), strict=True):
+            got[i] = e.ids
         size = np.fromiter(map(len, got), np.int64, len(got))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, np.fromiter((x for g in got for x in g), np.uint32, int(size.sum()))])
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))])
 
     def encode(self, rows: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows in turn, each with the end id; where each row ends."""
         words = [r.split() for r in rows]
-        distinct = set().union(*words) if words else set()
-        new = distinct - self.known.keys()
-        if new:
-            if len(self.known) + len(new) > WORDS_KEPT and self.known:
-                self.forget()
-                new = distinct
-            self.learn(list(new))
-        which = np.fromiter((i for w in words for i in map(self.known.__getitem__, w)), np.int64, sum(map(len, words)))
         count = np.fromiter(map(len, words), np.int64, len(words))
-        ends_at = np.cumsum(count) - 1
+        if len(self.known) > WORDS_KEPT:
+            self.forget()
+        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(count.sum()))
+        if self.known.new:
+            self.learn(self.known.new)
+            self.known.new = []
         size = self.size[which]
         total = np.r_[0, np.cumsum(size)]
-        row_end = total[ends_at + 1]  # without the end ids
+        row_end = total[np.cumsum(count)]  # without the end ids
         out = np.full(int(total[-1]) + len(rows), end, np.uint32)
         place = np.ones(len(out), bool)
         row_stop = row_end + np.arange(1, len(rows) + 1)
@@ -78,6 +126,10 @@ class WordEncoder:
         return out, row_stop
 
 
+#: One encoder a worker and tokenizer file: tasks that follow one another know each other's words.
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
 def binary_pieces(stop: np.ndarray, full: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pieces of rows that end at ``stop`` in one array: row, start in the array, length."""
     begin = np.r_[0, stop[:-1]] if len(stop) else stop
@@ -100,9 +152,9 @@ def binary_pieces(stop: np.ndarray, full: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def pack_batches(batches: Iterator[pa.RecordBatch], path: str, full: int, end: int) -> Iterator[pa.RecordBatch]:
-    encoder, made = None, (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+    made = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
     for batch in batches:
-        encoder = encoder or WordEncoder(path)
+        encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
         ids = batch.column(0)
         for i, j, data, off in runs(batch, limit=2 << 20):
             whole = data.tobytes()
