@@ -14,7 +14,7 @@ the sum of the logarithms.
    to the buckets, in the order in which they asked.
 3. A bucket joins the totals to its exploded n-grams and sums by document.
 
-The documents are dealt once; both 1 and 3 read that exchange. Null text counts as
+The documents are dealt once, compressed; both 1 and 3 read that exchange. Null text counts as
 empty: no words and a score of 0.
 """
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RUN_BYTES, lower_ascii, mix, pack, runs, shuffle_partitions, ship, text_view, unpack, word_hashes, word_spans
+from .common import RUN_BYTES, int_column, lower_ascii, mix, pack, runs, shuffle_partitions, ship, unpack, word_hashes, word_spans
 
 BACKOFF = 0.4
 
@@ -48,6 +48,28 @@ def grams(data: np.ndarray, off: np.ndarray, order: int) -> tuple[list[np.ndarra
     return out, place, before
 
 
+def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Put the rows of each run and bucket together: bucket, ids, and the texts with their sizes, compressed."""
+    for batch in batches:
+        buckets, ids = int_column(batch, "bucket"), batch.column(batch.schema.get_field_index("doc_id"))
+        for i, j, data, off in runs(batch):
+            order = np.argsort(buckets[i:j], kind="stable")
+            dealt = buckets[i:j][order]
+            edge = np.flatnonzero(np.r_[True, dealt[1:] != dealt[:-1], True])
+            values = [pack(np.diff(off)[rows], np.concatenate([data[off[r]:off[r + 1]] for r in rows]))
+                      for rows in (order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True))]
+            lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), ids.take(pa.array(order + i)))
+            yield pa.RecordBatch.from_arrays([pa.array(dealt[edge[:-1]]), lists, pa.array(values, pa.binary())], names=["bucket", "ids", "value"])
+
+
+def texts_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes and offsets of a bucket's texts."""
+    parts = [unpack(v) for v in table.column("value").to_pylist()]
+    if not parts:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    return np.concatenate([x for _, x in parts]), np.r_[0, np.cumsum(np.concatenate([n for n, _ in parts]))]
+
+
 def distinct(h: np.ndarray, place: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams in order, which one ends at each word that has one, and their counts."""
     return np.unique(h[place >= n - 1], return_inverse=True, return_counts=True)
@@ -56,7 +78,7 @@ def distinct(h: np.ndarray, place: np.ndarray, n: int) -> tuple[np.ndarray, np.n
 def send(table: pa.Table, order: int, parts: int) -> pa.Table:
     """A bucket's distinct n-grams and counts, by partition of the count tables."""
     bucket = table.column("bucket")[0].as_py()
-    hashes, place, _ = grams(*text_view(table.column("text")), order)
+    hashes, place, _ = grams(*texts_of(table), order)
     found = []
     for n in range(1, order + 1):
         h, _, count = distinct(hashes[n - 1], place, n)
@@ -99,7 +121,7 @@ def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def score(docs: pa.Table, replies: pa.Table, order: int, words: int, min_count: int) -> pa.Table:
     """Join the totals to the bucket's n-grams; one row a document."""
-    hashes, place, before = grams(*text_view(docs.column("text")), order)
+    hashes, place, before = grams(*texts_of(docs), order)
     pids = np.argsort(replies.column("pid").to_numpy())
     values = replies.column("value").to_pylist()
     parts = [unpack(values[p]) for p in pids]
@@ -119,7 +141,9 @@ def score(docs: pa.Table, replies: pa.Table, order: int, words: int, min_count:
         logs[at] = np.log(count[n - 1][at] / count[n - 2][at - 1])
     n_words = np.diff(before)
     sums = np.add.reduceat(np.r_[logs, 0.0], before[:-1]) * (n_words > 0)
-    return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(n_words, pa.int64()), "log_score": pa.array(sums, pa.float64())})
+    ids = docs.column("ids").combine_chunks()
+    ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
+    return pa.table({"doc_id": ids.flatten(), "n_words": pa.array(n_words, pa.int64()), "log_score": pa.array(sums, pa.float64())})
 
 
 def size_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +164,8 @@ def stupid_backoff(docs: DataFrame, order: int = 3, min_count: int = 2, bucket_b
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     total = rows.select("text").mapInArrow(size_of, "size long, words long").agg(F.sum("size").alias("size"), F.sum("words").alias("words")).first()
     buckets, words = max(1, (total["size"] or 0) // bucket_bytes), max(1, total["words"] or 0)
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
+    dealt = (rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)))
+             .mapInArrow(deal, f"bucket long, ids array<{kind}>, value binary"))
     asked = dealt.groupBy("bucket").applyInArrow(lambda t: send(t, order, parts), "pid int, bucket long, value binary")
     answered = asked.repartitionById(parts, F.col("pid")).mapInArrow(totals, "pid int, bucket long, value binary")
     return dealt.groupBy("bucket").cogroup(answered.groupBy("bucket")).applyInArrow(
