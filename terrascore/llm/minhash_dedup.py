@@ -16,7 +16,7 @@ A document's set are its distinct shingles of ``words`` words; documents are lin
    MATCHES times or more: a star for each group of near copies, linear in its size. The
    links are confirmed and closed. Then the posts are merged, and each offers the
    one post of another component whose sketch is the likest, from LIKELY on:
-   at most one candidate a post. These are confirmed and closed as well.
+   at most one candidate a post and block. These are confirmed and closed as well.
 4. Last, all posts of different components under one pair are candidates where their
    sketches agree in ALIKE of the bins in use or more (five standard deviations under the threshold).
    Posts of one component make none (skip), so a group of near copies costs what its
@@ -47,7 +47,7 @@ from .lm_score import grams
 COORDINATES, MATCHES = 32, 12
 #: Bins of the sketch; per cent of them that must agree for a candidate, and for a likely one.
 BINS, ALIKE, LIKELY = 256, 68, 74
-#: Posts of one pair that one task holds against each other.
+#: Posts of one pair that a task holds against as many others.
 BLOCK = 1024
 NULL_ID = -(1 << 63)
 _SEEDS = mix(np.arange(1, COORDINATES + 4, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
@@ -108,15 +108,14 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def pairs(rows: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        post, block, rep, n, comp, mask, rest = rows
+        post, _, rep, n, comp, mask, rest = rows
         values, sketch = sig[:, :2 * COORDINATES].copy().view("<u2"), sig[:, 2 * COORDINATES:]
         own = int(post[0] >> 32)
         found_a, found_b = [], []
         for s in range(0, len(rep), 128):
             q = slice(s, s + 128)
             ok = (comp[q, None] != comp) & (100 * n[q, None] >= percent * n) & (100 * n >= percent * n[q, None])
-            if block[0]:  # two posts of the rest meet in the first block
-                ok &= ~((rest[q, None] == 1) & (rest == 1))
+            ok &= (rest[q, None] == 0) | (rest[q, None] != rest)  # two posts of one side meet in another block, or have one component
             if not best:
                 ok &= np.arange(len(rep))[q, None] < np.arange(len(rep))
             x, y = np.nonzero(ok)
@@ -169,21 +168,43 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
         yield from done(np.concatenate([r for r, _ in held], axis=1), np.concatenate([g for _, g in held]))
 
 
-def candidates(posts: DataFrame, held: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Candidate pairs (a, b) of posts: post, rep, n, comp, mask; held: rep and sig. A pair with more than BLOCK posts is held in blocks:
-    its largest component's posts are dealt over them, and the rest's put in each."""
-    parts = shuffle_partitions(posts.sparkSession)
+def blocks_of(posts: DataFrame) -> DataFrame:
+    """The posts (post, rep, comp) that have partners, with block and rest (the side of a block that holds two parts, or 0).
+
+    A pair with more than BLOCK posts is dealt: those of its largest component (if that alone has more than BLOCK), and the
+    rest, each have a hashed part of about BLOCK posts. A block holds one part of the rest, two of them, or one of the rest
+    and one of the component, so two posts meet in one block, unless both are of that component, and no block has
+    more than about 2 x BLOCK rows."""
     groups = posts.groupBy("post").agg(F.count(F.lit(1)).alias("g"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("post", "g")
     big = groups.where(F.col("g") > BLOCK)
-    major = (posts.join(big, "post", "left_semi").groupBy("post", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("post")
-             .agg(F.max_by("comp", F.struct("k", "comp")).alias("major")))
+    major = (posts.join(big, "post", "left_semi").groupBy("post", "comp").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > BLOCK).groupBy("post")
+             .agg(F.max_by("comp", F.struct("k", "comp")).alias("major"), F.max("k").alias("k")))
     met = join_counted(posts, groups.join(major, "post", "left"), ["post"], "g", max(1, posts.count()), "rep")
-    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
-    rest = F.when(F.col("major").isNotNull() & (F.col("comp") != F.col("major")), F.lit(1)).otherwise(F.lit(0))
-    to = (F.when(F.col("major").isNull(), F.array(F.lit(0))).when(F.col("comp") == F.col("major"), F.array(F.pmod(F.xxhash64("rep"), blocks).cast("int")))
-          .otherwise(F.sequence(F.lit(0), blocks - 1)))
-    dealt = met.select("post", F.explode(to).alias("block"), "rep", "n", "comp", "mask", rest.alias("rest"))
-    dealt = dealt.join(held.select("rep", "sig"), "rep").select("post", "block", "rep", "n", "comp", "mask", "rest", "sig")
+    k = F.coalesce("k", F.lit(0))
+    of_rest, of_major = F.ceil((F.col("g") - k) / BLOCK).cast("long"), F.ceil(k / BLOCK).cast("long")
+    part = lambda parts: F.pmod(F.xxhash64("rep"), parts)
+    zero = F.lit(0).cast("long")
+
+    def at(block, rest):
+        return F.struct(block.alias("block"), rest.cast("int").alias("rest"))
+
+    def two(i, j):
+        return at(F.least(i, j) * of_rest + F.greatest(i, j), F.when(i == j, 0).when(i < j, 1).otherwise(2))
+
+    def mixed(i, j, side):
+        return at(of_rest * of_rest + i * of_major + j, F.lit(side))
+
+    among = F.transform(F.sequence(zero, of_rest - 1), lambda j: two(part(of_rest), j))
+    in_rest = F.when(k == 0, among).otherwise(F.concat(among, F.transform(F.sequence(zero, of_major - 1), lambda j: mixed(part(of_rest), j, 1))))
+    in_major = F.transform(F.sequence(zero, of_rest - 1), lambda i: mixed(i, part(of_major), 2))
+    to = F.when(F.col("g") <= BLOCK, F.array(at(zero, F.lit(0)))).when(F.col("comp") == F.col("major"), in_major).otherwise(in_rest)
+    return met.withColumn("to", F.explode(to)).select(*posts.columns, "to.block", "to.rest")
+
+
+def candidates(posts: DataFrame, held: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Candidate pairs (a, b) of posts: post, rep, n, comp, mask; held: rep and sig."""
+    parts = shuffle_partitions(posts.sparkSession)
+    dealt = blocks_of(posts).join(held.select("rep", "sig"), "rep").select("post", "block", "rep", "n", "comp", "mask", "rest", "sig")
     return (dealt.repartition(parts, "post", "block").sortWithinPartitions("post", "block")
             .mapInArrow(lambda it: merge_posts(it, percent, best), "a long, b long").distinct())
 

@@ -92,6 +92,21 @@ def test_posts_of_all_blocks_meet():
     assert got == {(a, b) for a in range(n) for b in range(a + 1, n) if post[a] == post[b] and comp[a] != comp[b]}
 
 
+@pytest.mark.parametrize("largest", [1, 10, 150])
+def test_no_block_holds_a_whole_family(spark, monkeypatch, largest):
+    """Posts of a hot pair in different components meet once, and in bounded blocks."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 16)
+    comp = {i: 0 if i < largest else i for i in range(200)}
+    rows = [(7, i, c) for i, c in comp.items()] + [(8, i, i) for i in range(5)]
+    blocks = {}
+    for r in minhash_dedup.blocks_of(spark.createDataFrame(rows, "post long, rep long, comp long")).collect():
+        blocks.setdefault((r.post, r.block), []).append((r.rep, r.rest))
+    assert max(map(len, blocks.values())) <= 3 * 16  # 2 x BLOCK and what hashing adds in parts as small as these
+    met = sorted((p, *sorted((a, b))) for (p, _), held in blocks.items() for i, (a, x) in enumerate(held) for b, y in held[:i]
+                 if (not x or x != y) and (p == 8 or comp[a] != comp[b]))
+    assert met == sorted({(7, a, b) for a in comp for b in range(a + 1, 200) if b >= largest} | {(8, a, b) for a in range(5) for b in range(a + 1, 5)})
+
+
 def brute_print(text, hashes, k=6):
     """The chosen runs of words, as tuples of places, given the words' hashes."""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
