@@ -15,7 +15,10 @@ anchor at the same place, and one suffix in about 32 stands for all of them.
    share leaves a run once.
 3. The sorted runs are exchanged front-coded: of each suffix only what follows
    the prefix it shares with the one before. The hash of the anchor's k-mer
-   names the partition, so frequent first letters make no hot partition.
+   names the partition, so frequent first letters make no hot partition. The
+   windows of a k-mer with more than HOT_ANCHORS anchors go one by one, each by the hash of its
+   own bytes: those that cross the edges of a common passage differ in
+   every document and so are spread, and equal ones still meet.
 4. Each partition combines its runs with a loser tree. It holds the common
    prefix of each run's head with the last suffix put out; heads with different
    ones are ordered by these alone, and equal ones are compared from there on.
@@ -39,11 +42,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_batch, int_column, mix, pack, prefix_hash, powers, runs, shuffle_partitions, ship, text_view, unpack
+from ..session import ensure_checkpoint_dir
+from .common import BYTE_HASH, binary_batch, int_column, mix, pack, prefix_hash, powers, runs, shuffle_partitions, ship, text_view, unpack
 
 #: k-mers of one window; a power of two, so that minima are found by doubling.
 WINDOW_KMERS = 64
 SECTION = 1 << 20
+#: Anchors of one k-mer that one task merges; and hot anchors whose windows are laid out at a time.
+HOT_ANCHORS, PIECE = 1 << 15, 1 << 12
 _ONE = np.uint64(1)
 
 
@@ -230,7 +236,7 @@ class LoserTree:
 
 def anchor_hashes(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Each run's distinct anchor hashes, with the place of those that stand once in
-    it (kind 0), and the places of the others (kind 1)."""
+    it or else their number (kind 0), and the places of the others (kind 1)."""
     names = ["pid", "kind", "value"]
     for batch in batches:
         ids = int_column(batch, "doc_id")
@@ -250,14 +256,15 @@ def anchor_hashes(batches: Iterator[pa.RecordBatch], length: int, parts: int) ->
             for p in np.flatnonzero(np.diff(bounds)):
                 s = first[bounds[p]:bounds[p + 1]]
                 once = s[~again[s]]
-                values.append(pack(h[np.r_[once, s[again[s]]]] >> np.uint64(24), doc[row[once]], place[once]))
+                more = s[again[s]]
+                values.append(pack(h[np.r_[once, more]] >> np.uint64(24), doc[row[once]], place[once], count[which[more]].astype(np.int32)))
                 pids.append(p)
                 kinds.append(0)
             yield binary_batch(names, pa.array(pids, pa.int32()), pa.array(kinds, pa.int32()), pa.array(values, pa.binary()))
 
 
-def shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places (doc_id, place) of the anchors whose hash stands more than once."""
+def shared_anchors(batches: Iterator[pa.RecordBatch], bound: int = HOT_ANCHORS) -> Iterator[pa.RecordBatch]:
+    """Places (doc_id, place) of the anchors whose hash stands more than once, and the hashes (null, hash) that more than ``bound`` have."""
     got: list[list[np.ndarray]] = []
 
     def out(doc, place):
@@ -271,9 +278,13 @@ def shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             else:
                 got.append(unpack(value))
     if got:
-        _, which, count = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True, return_counts=True)
+        hashes, which, count = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True, return_counts=True)
         many, at = count[which] > 1, 0
-        for h, doc, place in got:
+        anchors_of = np.bincount(which, np.concatenate([np.r_[np.ones(len(doc)), more] for _, doc, _, more in got]))
+        hot = hashes[anchors_of > bound].astype(np.int64)
+        if len(hot):
+            yield from out(pa.nulls(len(hot), pa.int64()), hot)
+        for h, doc, place, _ in got:
             keep = many[at:at + len(doc)]
             at += len(h)
             yield from out(doc[keep], place[keep])
@@ -288,13 +299,32 @@ def given_anchors(data: np.ndarray, off: np.ndarray, places: pa.ListArray, lengt
     fits = (pos - most >= off[row]) & (pos - least + length <= off[row + 1])  # places of another row with this doc_id need not
     row, pos, most, least = row[fits], pos[fits], most[fits], least[fits]
     h = np.zeros(len(pos), np.uint64)
-    for c in range(length - WINDOW_KMERS + 1):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + data[pos + c] + _ONE
+    up, _ = powers(length)
+    for c in range(length - WINDOW_KMERS + 1):  # as anchors() has it
+        h += BYTE_HASH[data[pos + c]] * up[c]
     return row, pos, most, least, mix(h)
 
 
-def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Front-coded sorted runs (kind 0), and the spans settled inside a run (kind 1)."""
+def spread_windows(data: np.ndarray, pos: np.ndarray, mask: np.ndarray, doc: np.ndarray, tag: np.ndarray, off: np.ndarray, length: int, parts: int) -> Iterator[tuple[int, bytes]]:
+    """The windows of hot anchors, with all their bytes, for the partition that these name. off: where each anchor's row starts."""
+    up, _ = powers(length)
+    for i in range(0, len(pos), PIECE):
+        who, start = window_rows(mask[i:i + PIECE], pos[i:i + PIECE])
+        who += i
+        rows = data[start[:, None] + np.arange(length)]
+        h = np.zeros(len(rows), np.uint64)
+        for c in range(length):
+            h += BYTE_HASH[rows[:, c]] * up[c]
+        pid = ((mix(h) >> np.uint64(24)) % np.uint64(parts)).astype(np.int64)
+        o = np.lexsort((strings(rows), pid))  # like windows pack well together
+        bounds = np.searchsorted(pid[o], np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(bounds)):
+            s = o[bounds[p]:bounds[p + 1]]
+            yield int(p), pack(rows[s], doc[who[s]], tag[who[s]], start[s] - off[who[s]])
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, parts: int, hot: np.ndarray = np.zeros(0, np.uint64)) -> Iterator[pa.RecordBatch]:
+    """Front-coded sorted runs (kind 0), the spans settled inside a run (kind 1), and the windows of the ``hot`` k-mers (kind 2)."""
     names = ["pid", "kind", "value"]
     for batch in batches:
         ids, tags = int_column(batch, "__key"), int_column(batch, "__tag").astype(np.int32)
@@ -317,6 +347,11 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> I
                 yield binary_batch(names, pa.array([int(h[0] % np.uint64(parts))], pa.int32()), pa.array([1], pa.int32()),
                                    [pack(doc[r], tag[r], a - off[r], b - off[r])])
             mask &= ~gone
+            if len(hot):
+                s = np.flatnonzero(np.isin(h >> np.uint64(24), hot) & (mask != 0))
+                for p, value in spread_windows(data, pos[s], mask[s], doc[row[s]], tag[row[s]], off[row[s]], length, parts):
+                    yield binary_batch(names, pa.array([p], pa.int32()), pa.array([2], pa.int32()), [value])
+                mask[s] = 0
             pid = (h >> np.uint64(24)) % np.uint64(parts)
             order = np.argsort(pid, kind="stable")
             order = order[mask[order] != 0]
@@ -352,10 +387,30 @@ def decode(run: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
     return right, left
 
 
+def equal_windows(found: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, tag and start of the windows that also start earlier; found: the windows' bytes, doc_id, tag, start."""
+    rows, doc, tag, pos = (np.concatenate(x) for x in zip(*found, strict=True))
+    o = np.lexsort((pos, doc, strings(rows)))  # earlier first
+    rows, doc, tag, pos = rows[o], doc[o], tag[o], pos[o]
+    new = np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)]
+    head = np.flatnonzero(new)[np.cumsum(new) - 1]
+    gone = (doc != doc[head]) | (pos != pos[head])
+    return doc[gone], tag[gone], pos[gone]
+
+
+def united(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Unite the windows of each text: doc_id, tag, start, end."""
+    # rows of one document: its doc_id and tag
+    pair = np.unique(np.stack([doc, tag.astype(np.int64)]), axis=1, return_inverse=True)
+    key, a, b = spans(pair[1].reshape(-1), start, length)
+    return pair[0][0][key], pair[0][1][key].astype(np.int32), a, b
+
+
 def merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Merge all runs of a partition; spans to remove: doc_id, tag, start, end."""
     names, k = ["doc_id", "tag", "a", "b"], length - WINDOW_KMERS + 1
     got: list[list[np.ndarray]] = []
+    windows: list[list[np.ndarray]] = []
 
     def out(doc, tag, a, b):
         for i in range(0, len(doc), 50_000):
@@ -366,7 +421,12 @@ def merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
             if kind == 1:
                 yield from out(*unpack(value))
             else:
-                got.append(unpack(value))
+                (got if kind == 0 else windows).append(unpack(value))
+    if windows:
+        doc, tag, start = equal_windows(windows)
+        windows.clear()
+        if len(doc):
+            yield from out(*united(doc, tag, start, length))
     if not got:
         return
     # k-mers that stand once need no merge
@@ -399,10 +459,7 @@ def merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
     gone = repeats(lcp, left, mask, doc, pos, length)
     who, start = window_rows(gone, pos)
     if len(who):
-        # rows of one document: its doc_id and tag
-        pair = np.unique(np.stack([doc[who], tag[who].astype(np.int64)]), axis=1, return_inverse=True)
-        key, a, b = spans(pair[1].reshape(-1), start, length)
-        yield from out(pair[0][0][key], pair[0][1][key].astype(np.int32), a, b)
+        yield from out(*united(doc[who], tag[who], start, length))
 
 
 #: What ``remove_repeats`` returns of each text: column and type.
@@ -448,15 +505,18 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: str = "bytes") -
         raise ValueError(f"length must lie between {WINDOW_KMERS + 1} and 255")
     spark = docs.sparkSession
     ship(spark)
-    parts = shuffle_partitions(spark)
+    ensure_checkpoint_dir(spark)
+    parts, bound = shuffle_partitions(spark), HOT_ANCHORS
     docs = docs.drop("n_bytes", "n_removed", "n_spans", KEPT[kept_as][0])
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
     rows = docs.withColumn("__key", key).withColumn("__tag", F.hash("text"))
 
     hashes = docs.select(key.alias("doc_id"), "text").mapInArrow(lambda it: anchor_hashes(it, length, parts), "pid int, kind int, value binary")
-    places = hashes.repartitionById(parts, F.col("pid")).mapInArrow(shared_anchors, "doc_id long, place long")
-    by_doc = places.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("place").alias("__places"))
-    front = rows.join(by_doc, F.col("__key") == F.col("__id")).mapInArrow(lambda it: sorted_runs(it, length, parts), "pid int, kind int, value binary")
+    places = hashes.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: shared_anchors(it, bound), "doc_id long, place long")
+    by_doc = places.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("place").alias("__places")).checkpoint()
+    # at most one k-mer in HOT_ANCHORS anchors
+    hot = np.array([h for r in by_doc.where("__id IS NULL").collect() for h in r["__places"]], np.uint64)
+    front = rows.join(by_doc, F.col("__key") == F.col("__id")).mapInArrow(lambda it: sorted_runs(it, length, parts, hot), "pid int, kind int, value binary")
     spans_found = front.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: merge_runs(it, length), "doc_id long, tag int, a long, b long")
     found = spans_found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("tag", "a", "b")).alias("__spans"))
     joined = rows.join(found, F.col("__key") == F.col("__id"), "left")

@@ -92,6 +92,34 @@ def test_suffix_dedup_inside_and_across_runs(monkeypatch):
     assert got == [r[-1] for r in sorted(brute_repeats(enumerate(texts)))]
 
 
+def test_suffix_dedup_spreads_a_common_phrase(spark, monkeypatch):
+    """Windows over a phrase shorter than they are differ in each document; no partition gets all of them, and equal ones meet."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrase, passage = word(60), word(300)
+    texts = [word(90) + (phrase if i % 2 else passage) + word(90) for i in range(400)]
+    texts += [t[40:200] for t in texts[:40]]
+    data = pa.record_batch({"doc_id": pa.array(range(len(texts))), "text": texts})
+    parts, skew = 16, {}
+    for bound in (10**9, 50):
+        places, hot = defaultdict(list), []
+        front = list(suffix_dedup.anchor_hashes(iter([data]), 100, 1))
+        for b in suffix_dedup.shared_anchors(iter(front), bound):
+            for d, x in zip(b["doc_id"].to_pylist(), b["place"].to_pylist(), strict=True):
+                hot.append(x) if d is None else places[d].append(x)
+        joined = pa.record_batch({"__key": data["doc_id"], "__tag": pa.array([0] * len(texts), pa.int32()), "text": data["text"],
+                                  "__places": pa.array([places[i] for i in range(len(texts))], pa.list_(pa.int64()))})
+        load = np.zeros(parts)
+        for b in suffix_dedup.sorted_runs(iter([joined]), 100, parts, np.array(hot, np.uint64)):
+            for p, kind, value in zip(*(b[c].to_pylist() for c in ("pid", "kind", "value")), strict=True):
+                load[p] += 0 if kind == 1 else sum(x.nbytes for x in suffix_dedup.unpack(value))
+        skew[bound] = load.max() / np.median(load)
+    assert skew[50] < 2 < skew[10**9]
+    monkeypatch.setattr(suffix_dedup, "HOT_ANCHORS", 50)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert rows_of(suffix_dedup.remove_repeats(frame, 100, "sha256"), *COLUMNS) == brute_repeats(enumerate(texts))
+
+
 def test_loser_tree_merges_with_common_prefixes():
     rng = random.Random(3)
     some = [bytes(rng.choice(b"ab") for _ in range(12)) for _ in range(30)]
