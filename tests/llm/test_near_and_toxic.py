@@ -153,6 +153,24 @@ def test_fingerprints_follow_over_ranges(spark, monkeypatch):
         assert got[d] == hashlib.sha256((t[:n - n // 2] + texts[ids[(i + 1) % len(ids)]][:n // 2]).encode()).hexdigest()
 
 
+def test_short_and_unspaced_texts_are_nearer_to_their_edits(spark):
+    rng = np.random.default_rng(6)
+    letters = lambda n, low=97, high=123: "".join(map(chr, rng.integers(low, high, n)))
+    texts = [" ".join(letters(rng.integers(4, 9)) for _ in range(n)) for n in range(1, 30)]
+    texts += [letters(n, 0x4E00, 0x9000) for n in (2, 3, 5, 9, 31, 32, 60, 400)] + ["".join(map(chr, rng.integers(0x1F300, 0x1F600, 70)))]
+    texts += [letters(300) + " " + " ".join(letters(5) for _ in range(50))]
+    got = fingerprints.edited_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()
+    assert [(texts[r.doc_id], r.near_edited, r.near_next) for r in got if not r.near_edited > r.near_next] == []
+
+
+def test_likeness_is_in_order(spark):
+    cases = [([1, 2, 3, 4], [1, 2, 3, 4], 1.0), ([1, 2, 3, 4], [3, 4, 1, 2], 0.5), ([1, 2, 3], [4, 5], 0.0), ([], [], 1.0), ([], [1], 0.0),
+             ([1, 2, 3, 4, 5, 6], [1, 5, 2, 3, 6, 4], 8 / 12), ([9, 1, 2, 3], [1, 2, 3, 9], 0.75)]
+    frame = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a array<long>, b array<long>")
+    got = dict(frame.select("i", fingerprints.likeness(F.col("a"), F.col("b"))).collect())
+    assert got == {i: pytest.approx(x) for i, (_, _, x) in enumerate(cases)}
+
+
 def test_fingerprints_stay_native(small):
     plan = fingerprints.edited_fingerprints(small[0])._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
