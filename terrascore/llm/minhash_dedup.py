@@ -8,7 +8,7 @@ A document's set are its distinct shingles of ``words`` words; documents are lin
    over BINS bins by one hash, a byte of the least in each. Documents with the
    same key are one class from here on, whatever their number.
 2. Classes are posted under their coordinate-value pairs. Two linked classes agree in
-   MATCHES coordinates or more (all but one in ten million pairs at the
+   MATCHES coordinates or more (all but one in thirty million pairs at the
    very threshold), so it is enough to post a class under its rarest pairs, all but
    MATCHES - 1 of those that others have too (the prefix); a class with fewer than
    MATCHES such pairs has no partner and is skipped.
@@ -18,7 +18,8 @@ A document's set are its distinct shingles of ``words`` words; documents are lin
    one post of another component whose sketch is the likest, from LIKELY on:
    at most one candidate a post and block. These are confirmed and closed as well.
 4. Last, all posts of different components under one pair are candidates where their
-   sketches agree in ALIKE of the bins in use or more (five standard deviations under the threshold).
+   sketches agree in ALIKE of the bins in use or more (six standard deviations under the threshold of 80: a pair
+   at the very threshold is missed with a chance of about 1.2e-8).
    Posts of one component make none (skip), so a group of near copies costs what its
    unlinked rest costs; and a pair is put out under the first two pairs that both are
    posted under, not under all. The candidates are confirmed, and all links are closed.
@@ -46,7 +47,7 @@ from .lm_score import grams
 
 COORDINATES, MATCHES = 32, 12
 #: Bins of the sketch; per cent of them that must agree for a candidate, and for a likely one.
-BINS, ALIKE, LIKELY = 256, 68, 74
+BINS, ALIKE, LIKELY = 256, 65, 74
 #: Posts of one pair that a task holds against as many others.
 BLOCK = 1024
 NULL_ID = -(1 << 63)

@@ -1,6 +1,7 @@
 """MinHash near-dedup, fingerprints, toxicity and the pipeline."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -107,6 +108,13 @@ def test_no_block_holds_a_whole_family(spark, monkeypatch, largest):
     assert met == sorted({(7, a, b) for a in comp for b in range(a + 1, 200) if b >= largest} | {(8, a, b) for a in range(5) for b in range(a + 1, 5)})
 
 
+def test_links_at_the_threshold_are_missed_as_rarely_as_stated():
+    """The chance that a pair at 80 % falls short of the coordinates or of the sketch's bins."""
+    below = lambda n, least: sum(math.comb(n, i) * 0.8**i * 0.2**(n - i) for i in range(least))
+    bins = math.ceil(minhash_dedup.BINS * minhash_dedup.ALIKE / 100)
+    assert below(minhash_dedup.COORDINATES, minhash_dedup.MATCHES) + below(minhash_dedup.BINS, bins) < 1e-7
+
+
 def brute_print(text, hashes, k=6):
     """The chosen runs of words, as tuples of places, given the words' hashes."""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
