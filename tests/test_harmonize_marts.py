@@ -123,6 +123,17 @@ def test_sums_do_not_depend_on_the_order_of_rows(spark):
     assert a == b and a.s == 0.6 and a.m == 0.12
 
 
+def test_sums_keep_values_that_decimals_cannot_hold(spark):
+    from terrascore.functions.exact import exact_mean, exact_sum
+    groups = {"small": [2e-13, 4e-13], "large": [1e30, 3e30], "many": [9e24] * 40, "infinite": [1.0, float("inf")], "zero": [0.0, 0.0], "mixed": [1e-13, 0.5]}
+    frame = spark.createDataFrame([(g, x) for g, values in groups.items() for x in values], "g string, v double")
+    got = {r.g: (r.s, r.m) for r in frame.groupBy("g").agg(exact_sum(F.col("v")).alias("s"), exact_mean(F.col("v")).alias("m")).collect()}
+    assert got["infinite"] == (float("inf"), float("inf")) and got["zero"] == (0.0, 0.0) and got["mixed"] == (0.5, 0.25)
+    for g in ("small", "large", "many"):
+        want = sum(groups[g])
+        assert abs(got[g][0] / want - 1) < 1e-12 and abs(got[g][1] * len(groups[g]) / want - 1) < 1e-12
+
+
 def test_trends_keep_rows_without_a_date(spark):
     from terrascore.plans.reports import report_trends
     n = _series(spark, "ndvi", [("a", D1, 0.2), ("b", None, 0.4)])
