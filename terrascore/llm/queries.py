@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, fingerprints, line_dedup, lm_score, minhash_dedup, packing, sentencepiece, sharding, suffix_dedup, toxicity
+from . import divergence, exact_dedup, fingerprints, line_dedup, lm_score, minhash_dedup, packing, sentencepiece, sharding, suffix_dedup, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,29 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b F
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 """
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir), min_docs=30, top=50)
+
+
+SQL["op11_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+grp AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS c FROM w JOIN k USING (lang, term) GROUP BY ALL),
+full_n AS (SELECT grp.lang, grp.source, k.term, coalesce(c, 0) AS c FROM grp JOIN k ON k.lang = grp.lang LEFT JOIN n ON n.lang = grp.lang AND n.source = grp.source AND n.term = k.term),
+p AS (SELECT *, 1 + ((c + 5)::HUGEINT * 1000000000) // (sum(c) OVER g + 5 * count(*) OVER g)::HUGEINT AS p FROM full_n WINDOW g AS (PARTITION BY lang, source)),
+q AS (SELECT lang, term, 1 + ((c + 5)::HUGEINT * 1000000000) // (sum(c) OVER g + 5 * count(*) OVER g)::HUGEINT AS q
+      FROM (SELECT lang, term, sum(c) AS c FROM full_n GROUP BY ALL) WINDOW g AS (PARTITION BY lang)),
+pair AS (SELECT a.lang, a.source, b.source AS item, coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y ON x.term = y.term AND x.lang = y.lang
+                WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+         FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source),
+term AS (SELECT p.lang, p.source, p.term AS item, p.p - q.q AS value FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.c > 0 AND p.p > q.q),
+r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+      UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM term)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
