@@ -201,12 +201,12 @@ HOT = 1000
 
 def join_counted(left: DataFrame, right: DataFrame, keys: list[str], size: str, total: int, spread: str) -> DataFrame:
     """Inner join with a table of one row for each key, whose column ``size`` says how many of the ``total``
-    rows on the left have it. The rows of hot keys meet it by broadcast, and are dealt evenly by the column ``spread``."""
+    rows on the left have it. The rows of hot keys meet it by broadcast; in the shuffle of the others they are dealt evenly, by a hash of the column
+    ``spread``: each side has the hash it is dealt by as a join key more, computed from its rows, so that no side's is folded away."""
     others = [c for c in right.columns if c not in keys]
     value = F.struct(*others)
     hot = right.where(F.col(size) * HOT >= total).select(*keys, value.alias("__hot"))
-    salt = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(F.lit(1) + F.pmod(F.xxhash64(spread), F.lit(1 << 16))).cast("int")
-    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt)
-    cold = right.select(*keys, value.alias("__cold"), F.lit(0).alias("__salt"))
-    both = dealt.join(cold, [*keys, "__salt"], "left").withColumn("__value", F.coalesce("__hot", "__cold")).where(F.col("__value").isNotNull())
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("__deal", F.when(F.col("__hot").isNull(), F.xxhash64(*keys)).otherwise(F.xxhash64(spread)))
+    cold = right.select(*keys, value.alias("__cold"), F.xxhash64(*keys).alias("__deal"))
+    both = dealt.join(cold, [*keys, "__deal"], "left").withColumn("__value", F.coalesce("__hot", "__cold")).where(F.col("__value").isNotNull())
     return both.select(*left.columns, *[F.col(f"__value.{c}").alias(c) for c in others])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, exact_dedup, fingerprints, line_dedup, lm_score, minhash_dedup, packing, sentencepiece, sharding, suffix_dedup, toxicity
+from . import divergence, exact_dedup, fingerprints, line_dedup, lm_score, minhash_dedup, packing, prefix_trie, sentencepiece, sharding, suffix_dedup, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,31 @@ r AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTI
       UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM term)
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 50
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(documents(spark, sf_dir, "conversations"))
+
+
+# crc32 by its definition: each byte goes into the state, which then is shifted out by eight steps of one bit.
+SQL["op12_prefix_trie"] = r"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+cs AS (SELECT c, c - c % 5 AS b, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(c::VARCHAR, ''), lambda ch: [ord(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                 lambda s, v: xor(xor(s, v) >> 1, 3988292384 * (xor(s, v) & 1)))) % 9 AS h FROM (SELECT DISTINCT c FROM t)),
+rebuilt AS (SELECT cs.c, t.i AS k, r, x FROM cs JOIN t ON t.c = cs.b WHERE t.i <= cs.h
+            UNION ALL SELECT cs.c, 1000000000 + t.i, r, x FROM cs JOIN t ON t.c = cs.c WHERE t.i > cs.h),
+path AS (SELECT cs.c, coalesce(list({'r': rebuilt.r, 'x': rebuilt.x} ORDER BY k) FILTER (k IS NOT NULL), []) AS p FROM cs LEFT JOIN rebuilt ON rebuilt.c = cs.c GROUP BY cs.c),
+member AS (SELECT c, unnest(range(len(p) + 1)) AS d, p FROM path),
+node AS (SELECT p[1:d] AS q, d, min(c) AS conv_id, count(*) AS n, (count(*) - 1) * max(CASE WHEN d > 0 THEN strlen(p[d].x) ELSE 0 END) AS w,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(p) = d), '')) AS ends FROM member GROUP BY ALL),
+child AS (SELECT q[1:d - 1] AS q, d - 1 AS d, count(*) AS k FROM node WHERE d > 0 GROUP BY ALL),
+below AS (SELECT q[1:a] AS q, a AS d, sum(w) AS saved, count(*) FILTER (k IS NULL) AS leaves
+          FROM (SELECT node.q, node.d, w, k, unnest(range(node.d + 1)) AS a FROM node LEFT JOIN child ON child.q = node.q AND child.d = node.d) GROUP BY ALL)
+SELECT node.conv_id, node.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(child.k, 0) AS n_children, below.leaves AS n_leaves,
+       below.saved::BIGINT AS saved_tokens, node.ends AS ends_sha256
+FROM node JOIN below ON below.q = node.q AND below.d = node.d LEFT JOIN child ON child.q = node.q AND child.d = node.d
+LEFT JOIN node parent ON parent.d = node.d - 1 AND parent.q = node.q[1:node.d - 1]
+"""
