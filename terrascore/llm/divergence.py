@@ -39,7 +39,7 @@ SECTION = 1 << 20
 #: Counters of one task that hold more terms than this are sent and begun anew.
 HELD_TERMS = 300_000
 #: Counts other than zero that a block of classes holds, about, and counts that it lays out at a time.
-BLOCK_ENTRIES, LAID_OUT = 1 << 20, 1 << 22
+BLOCK_ENTRIES, LAID_OUT = 1 << 15, 1 << 22
 #: Groups (lang, source) up to which their sizes are broadcast.
 MAX_BROADCAST_GROUPS = 500_000
 SCALE = 1_000_000_000
