@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, exact_dedup, fingerprints, line_dedup, lm_score, minhash_dedup, packing, prefix_trie, sentencepiece, sharding, suffix_dedup, toxicity
+from . import divergence, exact_dedup, fingerprints, line_dedup, lm_score, minhash_dedup, ngram_join, packing, prefix_trie, sentencepiece, sharding, suffix_dedup, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,25 @@ SELECT node.conv_id, node.d::BIGINT AS depth, parent.conv_id AS parent_conv_id,
 FROM node JOIN below ON below.q = node.q AND below.d = node.d LEFT JOIN child ON child.q = node.q AND child.d = node.d
 LEFT JOIN node parent ON parent.d = node.d - 1 AND parent.q = node.q[1:node.d - 1]
 """
+
+
+@query
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(documents(spark, sf_dir), words=3, percent=90)
+
+
+SQL["op13_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS a
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 3 THEN [array_to_string(a, ' ')]
+                                 ELSE list_transform(range(1, len(a) - 1), lambda i: a[i] || ' ' || a[i + 1] || ' ' || a[i + 2]) END) AS x FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.x = y.x AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * k >= 90 * (na.n + nb.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""
