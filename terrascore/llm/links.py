@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT, int_column, join_counted, mix, pack, shuffle_partitions, unpack
+from .common import HOT, int_column, mix, pack, shuffle_partitions, unpack
 
 #: Bits of a key filter at most (it is broadcast), and for each key; bytes that are merged together.
 MAX_BITS, BITS_A_KEY, SEGMENT = 1 << 29, 16, 1 << 20
@@ -65,12 +65,12 @@ def may_hold(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ok
 
 
-def join_values(pairs: DataFrame, values: DataFrame, key: str, spread: str) -> DataFrame:
+def join_values(pairs: DataFrame, values: DataFrame, key: str, spread: str, of: DataFrame | None = None) -> DataFrame:
     """``pairs`` with the columns of ``values`` (one row for each ``key``, of any size). The pairs of a hot
-    key are dealt over as many tasks as a shuffle has, each of which gets the value once."""
-    salts = shuffle_partitions(pairs.sparkSession)
-    counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") * HOT >= max(1, pairs.count())).select(key, F.lit(True).alias("__hot"))  # HOT rows at most
+    key are dealt over as many tasks as a shuffle has, each of which gets the value once. of: a table with the keys of ``pairs``, where that is cheaper to read."""
+    salts, of = shuffle_partitions(pairs.sparkSession), pairs if of is None else of
+    counts = of.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts.where(F.col("__n") * HOT >= max(1, of.count())).select(key, F.lit(True).alias("__hot"))  # HOT rows at most
     left = pairs.join(F.broadcast(hot), key, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(-1).cast("long")))
     right = values.join(F.broadcast(hot), key, "left").withColumn("__salt", F.explode(
         F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(-1).cast("long"))))).drop("__hot")
@@ -79,18 +79,15 @@ def join_values(pairs: DataFrame, values: DataFrame, key: str, spread: str) -> D
 
 def components(links: DataFrame) -> DataFrame:
     """The smallest node (comp) that each node of the links (a, b) reaches; links are read both ways. A node's label is pulled
-    down by its neighbours' and by its label's own until nothing changes; nodes with many neighbours or under one label are dealt evenly."""
+    down by its neighbours' and by its label's own until nothing changes. The rows of a node with many neighbours, or under one label, are
+    two numbers each and meet in inner joins, of which adaptive execution splits the hot partitions."""
     both = links.select("a", "b").union(links.select("b", "a")).distinct().checkpoint()
-    total = max(1, both.count())
-    degree = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"), F.count(F.lit(1)).alias("degree"))
-    labels = degree.select("node", F.least("node", "b").alias("comp"), "degree").checkpoint()
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("comp")).checkpoint()
     while True:
-        near = labels.select(F.col("node").alias("b"), F.col("comp").alias("heard"), "degree")
-        heard = join_counted(both, near, ["b"], "degree", total, "a").groupBy(F.col("a").alias("node")).agg(F.min("heard").alias("heard"))
-        low = labels.join(heard, "node").select("node", F.col("comp").alias("was"), F.least("comp", "heard").alias("mid"), "degree").checkpoint()
-        under = low.groupBy("mid").agg(F.count(F.lit(1)).alias("under"))
-        of_label = low.select(F.col("node").alias("mid"), F.least("was", "mid").alias("next")).join(under, "mid")
-        new = join_counted(low, of_label, ["mid"], "under", max(1, low.count()), "node").select("node", "was", F.least("mid", "next").alias("comp"), "degree").checkpoint()
-        labels = new.select("node", "comp", "degree")
+        heard = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("heard"))
+        low = labels.join(heard, "node").select("node", F.col("comp").alias("was"), F.least("comp", "heard").alias("mid"))
+        of_label = labels.select(F.col("node").alias("mid"), F.col("comp").alias("next"))
+        new = low.join(of_label, "mid").select("node", "was", F.least("mid", "next").alias("comp")).checkpoint()
+        labels = new.select("node", "comp")
         if not new.where(F.col("was") != F.col("comp")).limit(1).count():
-            return labels.select("node", "comp")
+            return labels

@@ -236,9 +236,9 @@ def linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 
 def decided(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of the pairs (a, b); sets: node, bits, set."""
+    """The linked ones of the pairs (a, b), which are a table; sets: node, bits, set."""
     of = lambda c: sets.select(F.col("node").alias(c), F.col("bits").alias(f"bits_{c}"), F.col("set").alias(f"set_{c}"))
-    met = join_values(join_values(pairs, of("b"), "b", "a"), of("a"), "a", "b")
+    met = join_values(pairs.join(of("b"), "b"), of("a"), "a", "b", pairs)  # the first of a pair may be many others' first as well
     return met.select("a", "b", "bits_a", "set_a", "bits_b", "set_b").mapInArrow(lambda it: linked(it, percent), "a long, b long")
 
 
@@ -271,9 +271,14 @@ def jaccard_classes(docs: DataFrame, words: int = 3, percent: int = 90) -> DataF
     laid = (blocks_of(tiles).join(sets.select(F.col("node").alias("rep"), "n", "bits"), "rep").select("post", "block", "rep", "n", "comp", "rest", "bits")
             .repartition(parts, "post", "block").sortWithinPartitions("post", "block"))
     others = laid.mapInArrow(lambda it: tile_pairs(it, percent), "a long, b long").distinct().checkpoint()
-    final = components(links.union(decided(others, sets, percent)))
-
-    placed = classes.join(final, "node", "left").select("key", "n", "least", "copies", F.coalesce("comp", "node").alias("comp"))
+    ends = decided(others, sets, percent)  # between components, which alone are left to be united
+    for end in ("a", "b"):
+        ends = ends.join(so_far.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("comp", end)).drop("comp")
+    ends = ends.distinct().checkpoint()
+
+    placed = classes.join(so_far, "node", "left").select("key", "n", "least", "copies", F.coalesce("comp", "node").alias("comp"))
+    if ends.limit(1).count():
+        placed = placed.join(components(ends).select(F.col("node").alias("comp"), F.col("comp").alias("now")), "comp", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now")
     least = placed.groupBy("comp").agg(F.min("least").alias("component"), F.count(F.lit(1)).alias("classes"))
     of_class = join_counted(placed, least, ["comp"], "classes", max(1, classes.count()), "key")
     filled = base.where("n > 0")
