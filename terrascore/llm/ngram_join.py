@@ -12,7 +12,8 @@ A document's set are its distinct shingles of ``words`` words, as 64-bit hashes
 3. In each tile its first class is held against all others: a star, linear in the tile. These links are closed.
 4. Tiles whose classes are then still in several components are laid out with the classes' bitmaps (BITS bits, set by the hashes).
    A bit that only one side has stands for a shingle that only it has, so bit counts bound the overlap from above; the pairs of
-   different components that the bound lets pass are candidates. A tile of more than a block of classes is dealt over pairs of parts.
+   different components that the bound lets pass are candidates. First each class offers the one with the highest bound, and these links are closed;
+   then all that are left are candidates. A tile of more than a block of classes is dealt over pairs of parts.
 5. Candidates (of 3 as well) are decided by bit counts and then by intersecting the sorted arrays. A class with many candidates is dealt
    over all tasks. All links are closed.
 
@@ -171,35 +172,46 @@ def tile_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([last_post]), pa.array([last_rep]), pa.array([first])], names=["post", "rep", "first"])
 
 
-def may_link(n: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Whether the bit counts let the sets x and y (rows of n and bits) have the overlap they need."""
+def most_common(n: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """An upper bound, from bit counts, of what the sets x and y (rows of n and bits) have in common."""
     only_x = np.bitwise_count(bits[x] & ~bits[y]).sum(axis=1, dtype=np.int64)
     only_y = np.bitwise_count(bits[y] & ~bits[x]).sum(axis=1, dtype=np.int64)
-    most = np.minimum(n[x] - only_x, n[y] - only_y)
-    return (100 + percent) * most >= percent * (n[x] + n[y])
+    return np.minimum(n[x] - only_x, n[y] - only_y)
 
 
-def tile_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Candidates (a < b) of different components in each tile and block; rows come sorted by both: post, block, rep, n, comp, rest, bits."""
+def tile_pairs(batches: Iterator[pa.RecordBatch], percent: int, best: bool) -> Iterator[pa.RecordBatch]:
+    """Candidates (a < b) of different components in each tile and block, with ``best`` the one of the highest bound for each row;
+    rows come sorted by both: post, block, rep, n, comp, rest, bits."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def done(rows: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         post, block, rep, n, comp, rest = rows
         new = np.r_[True, (post[1:] != post[:-1]) | (block[1:] != block[:-1])]
         end = np.r_[np.flatnonzero(new)[1:], len(post)][np.cumsum(new) - 1]
-        x, found = np.arange(len(post)), []
-        step = 1
+        share, other = np.zeros(len(post)), np.zeros(len(post), np.int64)  # each row's best: bound of the likeness, place
+        x, step, found = np.arange(len(post)), 1, []
         while len(x := x[x + step < end[x]]):  # all pairs of a tile at a distance of ``step`` rows
-            y = x + step
-            ok = (comp[x] != comp[y]) & ((rest[x] == 0) | (rest[x] != rest[y]))
-            u, v = x[ok], y[ok]
+            ok = (comp[x] != comp[x + step]) & ((rest[x] == 0) | (rest[x] != rest[x + step]))
+            u = x[ok]
             for i in range(0, len(u), 1 << 15):
-                p, q = u[i:i + (1 << 15)], v[i:i + (1 << 15)]
-                ok = may_link(n, bits, p, q, percent)
-                found.append(np.stack([np.minimum(rep[p[ok]], rep[q[ok]]), np.maximum(rep[p[ok]], rep[q[ok]])]))
+                p = u[i:i + (1 << 15)]
+                q = p + step
+                most = most_common(n, bits, p, q)
+                ok = (100 + percent) * most >= percent * (n[p] + n[q])
+                p, q, most = p[ok], q[ok], most[ok]
+                if best:
+                    likeness = most / (n[p] + n[q] - most)
+                    for one, two in ((p, q), (q, p)):  # no row stands twice in either
+                        more = likeness > share[one]
+                        share[one[more]], other[one[more]] = likeness[more], two[more]
+                else:
+                    found.append(np.stack([rep[p], rep[q]]))
             step += 1
+        if best:
+            p = np.flatnonzero(share)
+            found.append(np.stack([rep[p], rep[other[p]]]))
         if found:
-            both = np.unique(np.concatenate(found, axis=1), axis=1)
+            both = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
             for i in range(0, both.shape[1], 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(both[0, i:i + 50_000]), pa.array(both[1, i:i + 50_000])], names=["a", "b"])
 
@@ -226,7 +238,7 @@ def linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         for bits_a, set_a, bits_b, set_b in zip(*columns, strict=True):
             s, t = (np.frombuffer(x.as_buffer(), "<u8") for x in (set_a, set_b))
             n, bits = np.array([len(s), len(t)]), np.stack([np.frombuffer(x.as_buffer(), "<u8") for x in (bits_a, bits_b)])
-            if may_link(n, bits, np.array([0]), np.array([1]), percent)[0]:
+            if (100 + percent) * most_common(n, bits, np.array([0]), np.array([1]))[0] >= percent * n.sum():
                 at = np.searchsorted(t, s)
                 both = int(np.count_nonzero(t[np.minimum(at, len(t) - 1)] == s))
                 keep.append(100 * both >= percent * (len(s) + len(t) - both))
@@ -266,19 +278,19 @@ def jaccard_classes(docs: DataFrame, words: int = 3, percent: int = 90) -> DataF
 
     stars = members.where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct().checkpoint()
     links = decided(stars, sets, percent).checkpoint()
-    so_far = components(links)
-    tiles = members.select("post", "rep").join(so_far.withColumnRenamed("node", "rep"), "rep", "left").select("post", "rep", F.coalesce("comp", "rep").alias("comp")).checkpoint()
-    laid = (blocks_of(tiles).join(sets.select(F.col("node").alias("rep"), "n", "bits"), "rep").select("post", "block", "rep", "n", "comp", "rest", "bits")
-            .repartition(parts, "post", "block").sortWithinPartitions("post", "block"))
-    others = laid.mapInArrow(lambda it: tile_pairs(it, percent), "a long, b long").distinct().checkpoint()
-    ends = decided(others, sets, percent)  # between components, which alone are left to be united
-    for end in ("a", "b"):
-        ends = ends.join(so_far.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("comp", end)).drop("comp")
-    ends = ends.distinct().checkpoint()
-
-    placed = classes.join(so_far, "node", "left").select("key", "n", "least", "copies", F.coalesce("comp", "node").alias("comp"))
-    if ends.limit(1).count():
-        placed = placed.join(components(ends).select(F.col("node").alias("comp"), F.col("comp").alias("now")), "comp", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now")
+    for best in (True, False):
+        joined = components(links)
+        tiles = members.select("post", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("post", "rep", F.coalesce("comp", "rep").alias("comp")).checkpoint()
+        laid = (blocks_of(tiles).join(sets.select(F.col("node").alias("rep"), "n", "bits"), "rep").select("post", "block", "rep", "n", "comp", "rest", "bits")
+                .repartition(parts, "post", "block").sortWithinPartitions("post", "block"))
+        others = laid.mapInArrow(lambda it, best=best: tile_pairs(it, percent, best), "a long, b long").distinct().checkpoint()
+        if not others.limit(1).count():
+            break
+        links = links.union(decided(others, sets, percent)).checkpoint()
+    else:
+        joined = components(links)
+
+    placed = classes.join(joined, "node", "left").select("key", "n", "least", "copies", F.coalesce("comp", "node").alias("comp"))
     least = placed.groupBy("comp").agg(F.min("least").alias("component"), F.count(F.lit(1)).alias("classes"))
     of_class = join_counted(placed, least, ["comp"], "classes", max(1, classes.count()), "key")
     filled = base.where("n > 0")
