@@ -30,15 +30,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .common import int_column, join_counted, mix, runs, shuffle_partitions, ship, text_view, unpack
 from .links import components, join_values, key_filter, may_hold
-from .minhash_dedup import blocks_of, shingle_sets
+from .minhash_dedup import shingle_sets
 
 BITS = 2048
+#: Classes of a tile that one task holds against as many others.
+BLOCK = 1024
 NULL_ID = -(1 << 63)
 _KEYS = mix(np.array([1, 2], np.uint64) * np.uint64(0x9E6C63D0676A9A99))
 _PART, _SUM, _BIT = (mix(np.arange(3, 6, dtype=np.uint64) * np.uint64(0x9E6C63D0676A9A99)))
@@ -254,6 +256,17 @@ def decided(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "bits_a", "set_a", "bits_b", "set_b").mapInArrow(lambda it: linked(it, percent), "a long, b long")
 
 
+def dealt_tiles(tiles: DataFrame) -> DataFrame:
+    """The rows (post, rep, comp) of the tiles that hold several components, with block and rest. A tile of more than BLOCK rows
+    has parts of about BLOCK; a block holds two parts (rest 1 and 2: held against each other) or one (rest 0), so each pair meets once."""
+    tile = Window.partitionBy("post")
+    met = (tiles.select("post", "rep", "comp", F.count(F.lit(1)).over(tile).alias("g"), F.min("comp").over(tile).alias("lo"), F.max("comp").over(tile).alias("hi"))
+           .where("lo < hi").withColumn("parts", F.ceil(F.col("g") / BLOCK)).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))))
+    to = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda j: F.struct(
+        (F.least("part", j) * F.col("parts") + F.greatest("part", j)).alias("block"), F.when(F.col("part") == j, 0).when(F.col("part") < j, 1).otherwise(2).alias("rest")))
+    return met.withColumn("to", F.explode(to)).select("post", "rep", "comp", "to.block", "to.rest")
+
+
 def jaccard_classes(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
     if not 1 <= percent <= 100:
@@ -280,8 +293,8 @@ def jaccard_classes(docs: DataFrame, words: int = 3, percent: int = 90) -> DataF
     links = decided(stars, sets, percent).checkpoint()
     for best in (True, False):
         joined = components(links)
-        tiles = members.select("post", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("post", "rep", F.coalesce("comp", "rep").alias("comp")).checkpoint()
-        laid = (blocks_of(tiles).join(sets.select(F.col("node").alias("rep"), "n", "bits"), "rep").select("post", "block", "rep", "n", "comp", "rest", "bits")
+        tiles = members.select("post", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("post", "rep", F.coalesce("comp", "rep").alias("comp"))
+        laid = (dealt_tiles(tiles).join(sets.select(F.col("node").alias("rep"), "n", "bits"), "rep").select("post", "block", "rep", "n", "comp", "rest", "bits")
                 .repartition(parts, "post", "block").sortWithinPartitions("post", "block"))
         others = laid.mapInArrow(lambda it, best=best: tile_pairs(it, percent, best), "a long, b long").distinct().checkpoint()
         if not others.limit(1).count():
