@@ -544,6 +544,34 @@ def q_sink_append(spark, sf):
     return spark.read.parquet(path).select("field_id", "ndvi", F.col("date").cast("string").alias("date"))
 
 
+@register("sink_append_overlap", O.sql("SELECT * FROM job_ndvi", "job_ndvi", doubles=("ndvi",)))
+def q_sink_append_overlap(spark, sf):
+    """Loads over a first, an overlapping later and an enclosed shorter period: the rows of one run over all of it."""
+    path = scratch_path(spark, "ndvi_raw_overlap")
+    idx, px = index(spark, sf), TD.pixels(spark, sf)
+    for start, end in ((TEST_CFG.start_date, "1998-12-31"), ("1997-01-01", TEST_CFG.end_date), ("1996-02-01", "1996-07-01")):
+        cfg = TEST_CFG.with_(start_date=start, end_date=end)
+        TB.write_append(X.extract_series(spark, px, idx, _SPEC["ndvi"], cfg), path, TB.load_name("suppliers", start, end))
+    return spark.read.parquet(path).select("field_id", "ndvi", F.col("date").cast("string").alias("date"))
+
+
+@register("sink_ledger", O.sql(
+    "SELECT polygon_set, month, CAST(count(j.date) AS BIGINT) AS n_rows, n_runs FROM ("
+    "SELECT 'suppliers' AS polygon_set, strftime(month, '%Y-%m-%d') AS month, "
+    "CAST(1 + CASE WHEN month >= DATE '1996-02-01' AND month < DATE '1996-07-01' THEN 1 ELSE 0 END AS BIGINT) AS n_runs FROM run_grid) g "
+    "LEFT JOIN job_rainfall j ON j.date = g.month GROUP BY polygon_set, month, n_runs", "run_grid", "job_rainfall"))
+def q_sink_ledger(spark, sf):
+    """Who owns each month after two loads, from the ledger: the rows of its last run, and how many runs wrote it."""
+    path = scratch_path(spark, "rainfall_raw_ledger")
+    idx, px = index(spark, sf), TD.pixels(spark, sf)
+    for start, end in ((TEST_CFG.start_date, TEST_CFG.end_date), ("1996-02-01", "1996-07-01")):
+        cfg = TEST_CFG.with_(start_date=start, end_date=end)
+        TB.write_append(X.extract_series(spark, px, idx, _SPEC["rainfall"], cfg), path, TB.load_name("suppliers", start, end))
+    ledger = TB.read_ledger(spark, path)
+    runs = ledger.groupBy("polygon_set", "month").agg(F.count_distinct("run").alias("n_runs"))
+    return TB.month_owners(ledger).join(runs, ["polygon_set", "month"]).select("polygon_set", "month", F.col("rows").alias("n_rows"), "n_runs")
+
+
 @register("sink_append_duplicates", O.sql(
     "SELECT * FROM job_ndvi UNION ALL SELECT * FROM job_ndvi", "job_ndvi", doubles=("ndvi",)))
 def q_sink_append_dup(spark, sf):

@@ -113,8 +113,8 @@ class PipelineConfig:
     # beyond either bound the index is a shuffle join on the cell.
     max_broadcast_rows: int = 1_000_000
     max_broadcast_bytes: int = 256 << 20
-    # What a load replaces when it runs again: the rows of the same polygon set
-    # and period, and nothing else. Without it each run appends, as the
+    # A load replaces the months of its period, of its polygon set, and nothing
+    # else, whatever periods earlier loads had. Without it each run appends, as the
     # original loader does (reruns duplicate rows).
     idempotent_loads: bool = True
     polygon_set: str = "default"

@@ -4,8 +4,8 @@ The original loader appends a batch of months per run. Here new pixel files
 arriving in a pixel-table folder drive the load: each micro-batch finds the
 months it touches, recomputes those months from the whole pixel table (a
 month's composite needs every image of the month, not only the new ones),
-and overwrites exactly those month partitions of its load in the raw series
-table.
+and overwrites exactly those months of its polygon set in the raw series
+table (a month that has no rows any more goes), with an entry in the table's ledger.
 
 * the stream's progress lives in a checkpoint under the shared
   ``spark.checkpoint.dir``; a replayed batch rewrites the same partitions
@@ -46,7 +46,7 @@ def refresh_months(spark: SparkSession, touched: DataFrame, pixels: DataFrame, i
         scoped = pixels.filter((F.col("image_date") >= lo) & (F.col("image_date") < hi)
                                & F.trunc(F.col("image_date"), "MM").isin(months))
     rows = extract_series(spark, scoped, index, spec, cfg)
-    replace_months(rows, target, load_name(cfg.polygon_set, cfg.start_date, cfg.end_date))
+    replace_months(rows, target, load_name(cfg.polygon_set, cfg.start_date, cfg.end_date), [m.isoformat() for m in months])
 
 
 def start_series_stream(spark: SparkSession, pixel_dir: str, index: SpatialIndex, spec: SourceSpec,

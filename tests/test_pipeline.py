@@ -36,3 +36,14 @@ def test_plain_append_duplicates_on_rerun(spark):
     assert spark.table("t_raw2.ndvi_raw").count() == 2 * first["ndvi_raw"]
     # the joins multiply duplicated keys (k copies in three series -> k^3 rows)
     assert spark.table("t_int2.int_harmonized_environmental_data").count() > first["ndvi_raw"]
+
+
+def test_a_longer_period_replaces_the_months_it_shares(spark):
+    """A build, and another over a period that begins later and ends a month later: the checks pass, and the series are those of one build."""
+    dbs = lambda n: dict(raw_db=f"{n}_raw", staging_db=f"{n}_stg", intermediate_db=f"{n}_int", marts_db=f"{n}_marts")
+    _build(spark, cfg=dbs("t_a") | dict(start_date="1995-01-01", end_date="1997-01-01"))
+    _build(spark, cfg=dbs("t_a") | dict(start_date="1996-01-01", end_date="1997-02-01"))
+    _build(spark, cfg=dbs("t_b") | dict(start_date="1995-01-01", end_date="1997-02-01"))
+    for name in ("ndvi", "temperature", "rainfall"):
+        a, b = (sorted((r.field_id, str(r.date), r[name]) for r in spark.table(f"{n}_raw.{name}_raw").collect()) for n in ("t_a", "t_b"))
+        assert a == b and a

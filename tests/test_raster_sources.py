@@ -108,6 +108,40 @@ def test_sinks(spark):
     assert spark.read.parquet(p3).count() == 2
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+@pytest.mark.parametrize("catalog", [False, True])
+def test_overlapping_loads_give_the_rows_of_one_run(spark, mode, catalog):
+    """Longer, shorter and overlapping loads, months that become empty, both overwrite modes, folder and catalog table."""
+    months = [f"{y}-{m:02d}-01" for y in (2020, 2021) for m in range(1, 13)]
+    rows = lambda start, end, value, skip=(): spark.createDataFrame(
+        [(f, value, m) for f in "ab" for m in months if start <= m < end and m not in skip], schemas.NDVI_RAW)
+    name = f"default.overlap_{mode}" if catalog else scratch_path(spark, "sink-overlap")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        for start, end, value, skip in (("2020-01-01", "2020-12-31", 1.0, ()), ("2020-06-01", "2021-04-01", 2.0, ()), ("2020-02-01", "2020-04-01", 3.0, ("2020-03-01",)),
+                                        ("2020-02-01", "2020-04-01", 3.0, ("2020-03-01",))):
+            TB.write_append(rows(start, end, value, skip), name, TB.load_name("one", start, end))
+        TB.write_append(rows("2020-01-01", "2020-03-01", 9.0), name, TB.load_name("two", "2020-01-01", "2020-03-01"))
+        TB.write_append(rows("2020-01-01", "2020-01-01", 0.0), name, TB.load_name("none", "2020-01-01", "2020-03-01"))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    want = {("one", m): v for m in months[:15] for v in [3.0 if m == "2020-02-01" else 1.0 if m < "2020-06-01" else 2.0] if m != "2020-03-01"}
+    want |= {("two", m): 9.0 for m in months[:2]}
+    got = TB.read_table(spark, name).collect()
+    assert len(got) == 2 * len(want) and {(r.polygon_set, str(r.date)): r.ndvi for r in got} == want
+    owners = {(r.polygon_set, r.month): r.rows for r in TB.month_owners(TB.read_ledger(spark, name)).collect()}
+    assert owners == {k: 2 for k in want} | {("one", "2020-03-01"): 0, ("none", "2020-01-01"): 0, ("none", "2020-02-01"): 0}
+    assert TB.read_ledger(spark, name).select("run").distinct().count() == 6
+
+
+def test_a_row_outside_of_the_load_fails(spark):
+    rows = spark.createDataFrame([("a", 0.5, "2020-05-01")], schemas.NDVI_RAW)
+    with pytest.raises(Exception, match="does not own"):
+        TB.write_append(rows, scratch_path(spark, "sink-strange"), TB.load_name("s", "2020-01-01", "2020-05-01"))
+    assert TB.load_name("s", "2020-01-15", "2020-04-01").months() == ["2020-02-01", "2020-03-01"]
+
+
 def test_broken_polygon_file_fails(spark):
     d = local_path(scratch_path(spark, "gj-broken"))
     os.makedirs(d, exist_ok=True)
