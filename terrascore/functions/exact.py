@@ -1,11 +1,12 @@
 """Sums and means that don't depend on the order of rows.
 
 Adding doubles in another order changes the last bits, so two runs of one job
-(or a task that runs again) could disagree where a score jumps. Here the terms
-are added as decimals with 12 places, exactly, and the result is turned into a
-double once. NaN counts as no data.
+(or a task that runs again) could disagree where a score jumps. Here each term is
+taken to 12 places and split into three whole numbers (units, millionths, and millionths of
+these), which are added as longs: exact, in any order, and compiled by whole-stage code generation. A group's three
+sums become one decimal, and this a double, once. NaN counts as no data.
 
-Where the decimals can't hold a group's values (the largest magnitude is
+Where that can't hold a group's values (the largest magnitude is
 LARGE or more, or under SMALL, so that 12 places leave less than nine digits), or their
 sum, all of the group is added as doubles: no value drops out or
 becomes 0, but the last bits may depend on the order of rows.
@@ -16,12 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(38,12)"
-SMALL, LARGE = 1e-3, 1e25
-
-
-def exact(value: Column) -> Column:
-    return value.try_cast(EXACT)
+SMALL, LARGE = 1e-3, 1e15
+_MILLION = 1_000_000
 
 
 def known(value: Column) -> Column:
@@ -30,11 +27,22 @@ def known(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def _whole_parts(number: Column) -> tuple[Column, Column, Column]:
+    """Units, millionths and millionths of these, as longs; 0 where LARGE or more, which the caller leaves to doubles."""
+    small = F.when(F.abs(number) < LARGE, number).otherwise(0.0)
+    units = F.floor(small)
+    rest = F.round((small - units) * 1e12).cast("long")
+    return units, F.floor(rest / _MILLION), rest % _MILLION
+
+
 def exact_sum(value: Column) -> Column:
     number = known(value)
     largest = F.max(F.abs(number))
     fits = (largest == 0) | ((largest >= SMALL) & (largest < LARGE))
-    return F.coalesce(F.when(fits, F.try_sum(exact(value)).cast("double")), F.sum(number))
+    units, millionths, rest = (F.try_sum(F.when(number.isNotNull(), part)) for part in _whole_parts(number))
+    whole = (units.cast("decimal(32,12)") + (millionths.cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(32,12)")
+             + (rest.cast("decimal(20,0)") * F.lit("0.000000000001").cast("decimal(12,12)")).cast("decimal(32,12)"))
+    return F.coalesce(F.when(fits, whole.cast("double")), F.sum(number))
 
 
 def exact_mean(value: Column) -> Column:

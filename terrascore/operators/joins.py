@@ -16,19 +16,21 @@ def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFr
 
     The ``USING`` form yields one coalesced column per key, so the next join
     matches on ``coalesce(f1.k, f2.k)``. Duplicate keys multiply rows (no
-    dedupe). Rows with a null key match nothing, so they stay out of the joins
-    (all of them would land on one reducer, which a full outer join can't split)
-    and are united with the result; on stored tables the null counts of the
-    row groups prune that second read."""
-    whole = F.lit(True)
-    for k in keys:
-        whole = whole & F.col(k).isNotNull()
-    out = frames[0].filter(whole)
+    dedupe). Rows with a null key match nothing, and would all land on one
+    reducer, which a full outer join can't split: they get a hash of their row as a
+    further join key (0 for all others), so each frame is read once and they are dealt evenly."""
+    key = "_deal"
+
+    def dealt(f: DataFrame) -> DataFrame:
+        loose = F.lit(False)
+        for k in keys:
+            loose = loose | F.col(k).isNull()
+        return f.withColumn(key, F.when(loose, F.xxhash64(*f.columns)).otherwise(F.lit(0).cast("long")))
+
+    out = dealt(frames[0])
     for f in frames[1:]:
-        out = out.join(f.filter(whole), list(keys), "full_outer")
-    for f in frames:
-        out = out.unionByName(f.filter(~whole), allowMissingColumns=True)
-    return out
+        out = out.join(dealt(f), [*keys, key], "full_outer")
+    return out.drop(key)
 
 
 MAX_THRESHOLDS = 10_000

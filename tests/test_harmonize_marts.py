@@ -91,14 +91,15 @@ def test_dim_date_sorted_and_unique(spark):
     assert d[0].year == 2020 and d[0].month == 1
 
 
-def test_null_keys_stay_out_of_the_joins(spark):
-    """Many null keys neither multiply nor meet in a join."""
+def test_null_keys_are_dealt_evenly(spark):
+    """Many null keys neither multiply nor meet in one task, and each frame is read once."""
     n = _series(spark, "ndvi", [("a", D1, 0.5), *[(None, D1, 0.1)] * 40, *[("n", None, 0.2)] * 40])
     t = _series(spark, "temperature", [("a", D1, 20.0), *[(None, D1, 9.0)] * 40])
     md = series_by_month(n, t, _series(spark, "rainfall", [(None, None, 1.0)]))
     assert md.count() == 1 + 40 + 40 + 40 + 1
-    plan = md._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("isnotnull(field_id") >= 3
+    plan = md._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Union" not in plan and plan.count("hashpartitioning(field_id") >= 3
+    assert all("_deal" in line for line in plan.splitlines() if "hashpartitioning(field_id" in line)
 
 
 def test_several_threshold_rows_fail_alike(spark):
