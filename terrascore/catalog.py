@@ -273,6 +273,7 @@ def q_assessment(spark, sf):
 # ---- rasters, spatial join, zonal statistics, extraction jobs --------------
 
 from .config import PipelineConfig  # noqa: E402
+from .operators import coverage as CV  # noqa: E402
 from .operators import raster as R  # noqa: E402
 from .operators import spatial as SP  # noqa: E402
 from .plans import extract as X  # noqa: E402
@@ -420,6 +421,25 @@ def q_zonal_sum(spark, sf):
     return SP.zonal_stats(R.composite(_near_window(spark, sf, idx), "sum"), idx, "sum", keys=("month", "band"))
 
 
+def coverage(spark, sf, cfg: PipelineConfig = TEST_CFG):
+    return CV.CoverageIndex.build(regions(spark, sf), cfg.cell_deg, TD.PIXEL_DEG, cfg.max_broadcast_rows, cfg.max_broadcast_bytes)
+
+
+@register("ras_covered_fraction", O.sql("SELECT * FROM covered", "covered", doubles=("coverage",)))
+def q_covered_fraction(spark, sf):
+    places = TD.pixels(spark, sf).select("ix", "iy", "lon", "lat").distinct()
+    return CV.pixels_covered(places, coverage(spark, sf)).select("region_id", "field_id", "ix", "iy", "coverage")
+
+
+@register("ras_zonal_covered_mean", O.sql(
+    f"SELECT i.region_id, i.field_id, c.month, c.band, {O.xsum_or_double('c.value * i.coverage')} / {O.xsum_or_double('i.coverage')} AS value FROM comp_mean c "
+    "JOIN covered i ON c.ix = i.ix AND c.iy = i.iy GROUP BY i.region_id, i.field_id, c.month, c.band", "comp_mean", "covered", doubles=("value",)))
+def q_zonal_covered_mean(spark, sf):
+    idx = coverage(spark, sf)
+    comp = R.composite(CV.clip_covered(_window(spark, sf), idx), "mean")
+    return CV.zonal_covered(comp, idx, "mean", keys=("month", "band")).drop("covered_pixels")
+
+
 @register("ras_zonal_soil", O.sql("SELECT * FROM zonal_soil", "zonal_soil", doubles=_SOIL_NAMES))
 def q_zonal_soil(spark, sf):
     stack = R.stack_bands(TD.static_pixels(spark, sf), TEST_CFG.soil_bands)

@@ -77,11 +77,14 @@ class SourceSpec:
     scale_factor: float = 1.0
     offset: float = 0.0
     weight: str | None = None      # pixel column with the share of a pixel that counts
+    pixel_deg: float | None = None  # edge of a pixel: it counts by the share of its square that the polygon covers
 
     def __post_init__(self):
         for kind in (self.temporal, self.zonal):
             if kind not in ("mean", "sum"):
                 raise ValueError(f"unknown reducer {kind!r}; use 'mean' or 'sum'")
+        if self.weight and self.pixel_deg:
+            raise ValueError("a source has a weight column or a pixel size, not both")
 
 
 # The three monthly sources and the soil bands of the modelled pipeline.

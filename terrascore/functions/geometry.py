@@ -52,6 +52,21 @@ def geometry_edges(parts) -> Column:
     return F.flatten(F.transform(_c(parts), lambda p: F.flatten(F.transform(p, ring_edges))))
 
 
+def oriented_edges(parts) -> Column:
+    """All edges, turned so that exteriors run counterclockwise and holes clockwise, however they were written."""
+
+    kind = T.ArrayType(schemas.EDGE)
+
+    def turned(edges: Column, k: Column) -> Column:
+        ox, oy = F.get(edges, 0)["x1"], F.get(edges, 0)["y1"]
+        area = F.aggregate(edges, F.lit(0.0), lambda acc, e: acc + (e["x1"] - ox) * (e["y2"] - oy) - (e["x2"] - ox) * (e["y1"] - oy))
+        back = F.transform(edges, lambda e: F.struct(e["x2"].alias("x1"), e["y2"].alias("y1"), e["x1"].alias("x2"), e["y1"].alias("y2")))
+        return F.when((area >= 0) == (k == 0), edges.cast(kind)).otherwise(back.cast(kind))
+
+    rings = F.transform(_c(parts), lambda part: F.transform(part, lambda ring: ring_edges(ring).cast(kind)))
+    return F.flatten(F.transform(rings, lambda part: F.flatten(F.transform(part, turned))))
+
+
 def geometry_points(parts) -> Column:
     return F.flatten(F.flatten(_c(parts)))
 

@@ -85,6 +85,7 @@ class SpatialIndex:
     cell_deg: float
     broadcastable: bool
     cells_broadcastable: bool
+    regions: DataFrame | None = None
 
     # Bytes of an index row without edges (keys, ids, box), of an edge (a struct of four doubles in an array) and of a cell.
     ROW_BYTES, EDGE_BYTES, CELL_BYTES = 160, 64, 48
@@ -98,7 +99,7 @@ class SpatialIndex:
                         F.count_distinct("cx", "cy").alias("cells")).collect()[0]
         size = stats["rows"] * cls.ROW_BYTES + stats["edges"] * cls.EDGE_BYTES
         return cls(idx, float(cell_deg), stats["rows"] <= max_rows and size <= max_bytes,
-                   stats["cells"] * cls.CELL_BYTES <= max_bytes)
+                   stats["cells"] * cls.CELL_BYTES <= max_bytes, region_df)
 
     def side(self) -> DataFrame:
         return F.broadcast(self.df) if self.broadcastable else self.df

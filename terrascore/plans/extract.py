@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import PipelineConfig, SourceSpec
 from ..operators import raster as R
+from ..operators.coverage import CoverageIndex, clip_covered, zonal_covered
 from ..operators.spatial import SpatialIndex, centroids, clip, zonal_stats, zonal_stats_multi
 from ..functions.dates import format_iso
 
@@ -32,13 +33,15 @@ def series_rows(zonal: DataFrame, name: str) -> DataFrame:
 
 
 def monthly_composite(spark: SparkSession, pixels: DataFrame, spec: SourceSpec, cfg: PipelineConfig,
-                      index: SpatialIndex | None = None) -> DataFrame:
+                      index: SpatialIndex | CoverageIndex | None = None) -> DataFrame:
     """Per-pixel monthly composite of one band over the run period, with the
     band math applied after the temporal reduction (as the source does)."""
     p = R.date_range(R.band_select(pixels, spec.band), cfg.start_date, cfg.end_date)
     grid = R.month_grid(spark, cfg.start_date, cfg.end_date)
     p = R.month_window(p, grid)
-    if index is not None:
+    if isinstance(index, CoverageIndex):
+        p = clip_covered(p, index)
+    elif index is not None:
         p = clip(p, index, exact=False)
     comp = R.composite(p, spec.temporal, weight=spec.weight)
     return R.band_math(comp, spec.scale_factor, spec.offset)
@@ -47,7 +50,12 @@ def monthly_composite(spark: SparkSession, pixels: DataFrame, spec: SourceSpec,
 def extract_series(spark: SparkSession, pixels: DataFrame, index: SpatialIndex, spec: SourceSpec,
                    cfg: PipelineConfig) -> DataFrame:
     """Raw series rows ``field_id, <spec.name>, date`` for every polygon and
-    month of the run (months without images simply produce nothing)."""
+    month of the run (months without images simply produce nothing). A source with
+    ``pixel_deg`` counts each pixel by its covered share, others by its centre."""
+    if spec.pixel_deg:
+        covered = CoverageIndex.build(index.regions, cfg.cell_deg, spec.pixel_deg, cfg.max_broadcast_rows, cfg.max_broadcast_bytes)
+        comp = monthly_composite(spark, pixels, spec, cfg, covered)
+        return series_rows(zonal_covered(comp, covered, spec.zonal, keys=("month",), out=spec.name), spec.name)
     comp = monthly_composite(spark, pixels, spec, cfg, index)
     z = zonal_stats(comp, index, spec.zonal, keys=("month",), out=spec.name, weight=spec.weight)
     return series_rows(z, spec.name)
