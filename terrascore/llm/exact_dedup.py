@@ -60,7 +60,12 @@ def exact_duplicates(docs: DataFrame, content_hash: Callable[[Column], Column] =
 
 
 def keep_one(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``; of rows alike in all but other columns, the greatest."""
+    """The rows that stay, with the columns of ``docs``, whatever their names and types; of rows alike in text length and doc_id any one.
+
+    Each row is carried whole in one column beside the keys, and is never compared."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    best = F.max(F.struct(F.col("__n"), F.bitwise_not(F.col("doc_id").cast("long")).alias("id"), row.alias("row")))
-    return (keyed(docs, content_hash).groupBy("__hash", "__sha", "__norm").agg(best.alias("best")).select("best.row.*"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    keyed_rows = docs.select(row.alias("row")).select("row", normalised(F.col("row.text")).alias("norm"),
+                                                      F.struct(F.char_length(text).alias("n"), F.bitwise_not(F.col("row.doc_id").cast("long")).alias("id")).alias("rank"))
+    hashed = keyed_rows.select("*", content_hash(F.col("norm")).alias("hash"))
+    return hashed.groupBy("hash", "norm").agg(F.max_by("row", "rank").alias("row")).select("row.*")

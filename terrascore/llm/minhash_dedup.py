@@ -8,18 +8,18 @@ A document's set are its distinct shingles of ``words`` words; documents are lin
    over BINS bins by one hash, a byte of the least in each. Documents with the
    same key are one class from here on, whatever their number.
 2. Classes are posted under their coordinate-value pairs. Two linked classes agree in
-   MATCHES coordinates or more (all but one in thirty million pairs at the
-   very threshold), so it is enough to post a class under its rarest pairs, all but
-   MATCHES - 1 of those that others have too (the prefix); a class with fewer than
-   MATCHES such pairs has no partner and is skipped.
+   ``matches`` coordinates or more (all but one in thirty million pairs at the
+   very threshold; the number follows from ``percent``: 12 at 80), so it is enough to post a class under its rarest pairs, all but
+   ``matches`` - 1 of those that others have too (the prefix); a class with fewer than
+   ``matches`` such pairs has no partner and is skipped.
 3. Each class is held against the smallest doc_id of its posts, where they collide
-   MATCHES times or more: a star for each group of near copies, linear in its size. The
+   ``matches`` times or more: a star for each group of near copies, linear in its size. The
    links are confirmed and closed. Then the posts are merged, and each offers the
-   one post of another component whose sketch is the likest, from LIKELY on:
+   one post of another component whose sketch is the likest, if it is likely:
    at most one candidate a post and block. These are confirmed and closed as well.
 4. Last, all posts of different components under one pair are candidates where their
-   sketches agree in ALIKE of the bins in use or more (six standard deviations under the threshold of 80: a pair
-   at the very threshold is missed with a chance of about 1.2e-8).
+   sketches agree in a least share of the bins in use or more (it follows from ``percent``, a pair
+   at the very threshold is missed with a chance of 2e-8 at most).
    Posts of one component make none (skip), so a group of near copies costs what its
    unlinked rest costs; and a pair is put out under the first two pairs that both are
    posted under, not under all. The candidates are confirmed, and all links are closed.
@@ -32,6 +32,7 @@ null doc_id is the smallest one; rows that share a doc_id are one document with
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -45,9 +46,11 @@ from ..session import ensure_checkpoint_dir
 from .common import int_column, join_counted, mix, runs, ship, shuffle_partitions, text_view
 from .lm_score import grams
 
-COORDINATES, MATCHES = 32, 12
-#: Bins of the sketch; per cent of them that must agree for a candidate, and for a likely one.
-BINS, ALIKE, LIKELY = 256, 65, 74
+COORDINATES = 32
+#: Bins of the sketch.
+BINS = 256
+#: Per cent of the bins by which a likely partner is over the least share.
+LIKELIER = 9
 #: Posts of one pair that a task holds against as many others.
 BLOCK = 1024
 NULL_ID = -(1 << 63)
@@ -55,6 +58,26 @@ _SEEDS = mix(np.arange(1, COORDINATES + 4, dtype=np.uint64) * np.uint64(0xA0761D
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+def least_agreeing(draws: int, percent: int, missed: float) -> int:
+    """The most of ``draws`` agreements to ask for, so that a pair of ``percent`` per cent has fewer with a chance of ``missed`` at most."""
+    p, below = percent / 100, 0.0
+    for k in range(draws + 1):
+        below += math.comb(draws, k) * p ** k * (1 - p) ** (draws - k)
+        if below > missed:
+            return k
+    return draws
+
+
+def least_matches(percent: int) -> int:
+    """Coordinates in which a linked pair agrees (missed by one in thirty million at the very threshold)."""
+    return max(1, least_agreeing(COORDINATES, percent, 3e-8))
+
+
+def least_alike(percent: int) -> int:
+    """Per cent of the bins in use in which a linked pair agrees (missed with a chance of 2e-8 at the very threshold)."""
+    return 100 * least_agreeing(BINS, percent, 2e-8) // BINS
+
+
 def shingle_sets(data: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each row, sorted, and the number of them before each row."""
     hashes, place, before = grams(data, off, words)
@@ -101,12 +124,13 @@ def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
 
 def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) -> Iterator[pa.RecordBatch]:
     """Candidates among the posts of each pair and block (rows come sorted by both): a < b, in different components.
-    All whose sketches agree in ALIKE per cent, or with ``best`` each post's likest one.
+    All whose sketches agree in the least share of bins, or with ``best`` each post's likest one.
 
     A pair stands under many coordinate-value pairs; it is put out under the first two
     coordinates that both are posted under with equal values. Two, as values are compared by 16 bits
     here: one chance agreement before the first true one does no harm."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    alike = least_alike(percent)
 
     def pairs(rows: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         post, _, rep, n, comp, mask, rest = rows
@@ -131,10 +155,10 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
             if best:
                 o = np.lexsort((-share, x))
                 o = o[np.r_[True, x[o][1:] != x[o][:-1]]]
-                o = o[share[o] >= LIKELY]
+                o = o[share[o] >= min(100, alike + LIKELIER)]
                 x, y = x[o], y[o]
             else:
-                x, y = x[share >= ALIKE], y[share >= ALIKE]
+                x, y = x[share >= alike], y[share >= alike]
                 if own:  # earlier coordinates that both are posted under, with the same value
                     posted = (mask[x] & mask[y])[:, None] >> np.arange(own) & 1
                     first = np.count_nonzero((values[x, :own] == values[y, :own]) & (posted == 1), axis=1) < 2
@@ -280,15 +304,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     base = rows.mapInArrow(lambda it: signatures(it, words), "id long, n long, key binary, posts array<long>, sig binary").checkpoint()
     classes = base.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep"), F.first("posts").alias("posts"), F.first("sig").alias("sig"))
 
+    matches = least_matches(percent)
     # a smaller set can only be linked with its equals
     least = next(n for n in range(1, 102) if 100 * n >= percent * (n + 1) or n == 101)
     posted = classes.where(F.col("n") >= least).select("rep", F.explode("posts").alias("post"))
     shared = posted.groupBy("post").agg(F.count(F.lit(1)).alias("f"), F.min("rep").alias("first")).where("f > 1")
     of_rep = (join_counted(posted, shared, ["post"], "f", base.count() * COORDINATES, "rep").groupBy("rep")
-              .agg(F.array_sort(F.collect_list(F.struct("f", "post", "first"))).alias("posts")).where(F.size("posts") >= MATCHES))
+              .agg(F.array_sort(F.collect_list(F.struct("f", "post", "first"))).alias("posts")).where(F.size("posts") >= matches))
     firsts = F.col("posts.first")
-    stars = F.filter(F.array_distinct(firsts), lambda p: (p != F.col("rep")) & (F.size(F.filter(firsts, lambda x: x == p)) >= MATCHES))
-    prefix = F.slice(F.col("posts.post"), F.lit(1), F.size("posts") - (MATCHES - 1))
+    stars = F.filter(F.array_distinct(firsts), lambda p: (p != F.col("rep")) & (F.size(F.filter(firsts, lambda x: x == p)) >= matches))
+    prefix = F.slice(F.col("posts.post"), F.lit(1), F.size("posts") - (matches - 1))
     held = of_rep.select("rep", prefix.alias("prefix"), stars.alias("stars")).join(classes.select("rep", "n", "sig"), "rep").checkpoint()
 
     def posts_of(links: DataFrame) -> DataFrame:

@@ -111,8 +111,8 @@ def test_no_block_holds_a_whole_family(spark, monkeypatch, largest):
 def test_links_at_the_threshold_are_missed_as_rarely_as_stated():
     """The chance that a pair at 80 % falls short of the coordinates or of the sketch's bins."""
     below = lambda n, least: sum(math.comb(n, i) * 0.8**i * 0.2**(n - i) for i in range(least))
-    bins = math.ceil(minhash_dedup.BINS * minhash_dedup.ALIKE / 100)
-    assert below(minhash_dedup.COORDINATES, minhash_dedup.MATCHES) + below(minhash_dedup.BINS, bins) < 1e-7
+    bins = math.ceil(minhash_dedup.BINS * minhash_dedup.least_alike(80) / 100)
+    assert below(minhash_dedup.COORDINATES, minhash_dedup.least_matches(80)) + below(minhash_dedup.BINS, bins) < 1e-7
 
 
 def brute_print(text, hashes, k=6):
