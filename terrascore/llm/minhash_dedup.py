@@ -33,17 +33,18 @@ null doc_id is the smallest one; rows that share a doc_id are one document with
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import int_column, join_counted, mix, runs, ship, shuffle_partitions, text_view
+from .common import int_column, join_counted, mix, runs, ship, shuffle_partitions, text_view, unpack
+from .links import components, join_values, key_filter, may_hold
 from .lm_score import grams
 
 COORDINATES = 32
@@ -53,9 +54,10 @@ BINS = 256
 LIKELIER = 9
 #: Posts of one pair that a task holds against as many others.
 BLOCK = 1024
+#: Bytes of text that a task cuts into shingles at a time.
+RUN = 2 << 20
 NULL_ID = -(1 << 63)
 _SEEDS = mix(np.arange(1, COORDINATES + 4, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def least_agreeing(draws: int, percent: int, missed: float) -> int:
@@ -97,7 +99,7 @@ def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
     """Per row: id, n, key of the set, posts (coordinate and value as one number), two bytes of each coordinate and a byte of each bin (0: empty)."""
     for batch in batches:
         ids = int_column(batch, "id")
-        for i, j, data, off in runs(batch):
+        for i, j, data, off in runs(batch, limit=RUN):
             h, at = shingle_sets(data, off, words)
             n, has = np.diff(at), np.flatnonzero(np.diff(at))
             start = at[:-1][has]
@@ -234,63 +236,52 @@ def candidates(posts: DataFrame, held: DataFrame, percent: int, best: bool) -> D
             .mapInArrow(lambda it: merge_posts(it, percent, best), "a long, b long").distinct())
 
 
-def word_set(text: bytes, words: int) -> frozenset:
-    found = _WORD.findall(text.lower())  # bytes.lower() changes A-Z only
-    if len(found) < words:
-        return frozenset([tuple(found)] if found else [])
-    return frozenset(zip(*(found[i:] for i in range(words)), strict=False))
-
-
-def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    squeeze = zstandard.ZstdCompressor(level=1).compress
+def packed_texts(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
+    """id and compressed text of the rows whose id may be wanted."""
+    squeeze, found = zstandard.ZstdCompressor(level=1).compress, unpack(wanted.value)[0]
     for batch in batches:
-        for i, j, data, off in runs(batch):
+        keep = batch.filter(pa.array(may_hold(found, int_column(batch, "id"))))
+        for i, j, data, off in runs(keep, limit=RUN):
             whole = data.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([squeeze(whole[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary())],
+            yield pa.RecordBatch.from_arrays([keep.column(0).slice(i, j - i), pa.array([squeeze(whole[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary())],
                                              names=["id", "z"])
 
 
 def confirm(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    unpack = zstandard.ZstdDecompressor().decompress
+    """The pairs (a, b, and both texts) whose whole sets of shingles (64-bit hashes) are linked."""
+    unpack_text = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        sets: dict[bytes, frozenset] = {}
-
-        def of(z: bytes, sets=sets) -> frozenset:
-            if z not in sets:
-                if len(sets) > 200:
-                    sets.clear()
-                sets[z] = word_set(unpack(z), words)
-            return sets[z]
-
-        keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            s, t = of(x), of(y)
-            both = len(s & t)
-            keep.append(both > 0 and 100 * both >= percent * (len(s) + len(t) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def confirmed(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole texts are linked; rows: id, text."""
-    texts = rows.select("id", "text").mapInArrow(packed_texts, "id long, z binary")
-    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("z").alias("za")), "a")
-    two = one.join(texts.select(F.col("id").alias("b"), F.col("z").alias("zb")), "b").select("a", "b", "za", "zb")
-    return two.mapInArrow(lambda it: confirm(it, words, percent), "a long, b long").distinct()
-
-
-def components(links: DataFrame) -> DataFrame:
-    """The smallest node (comp) that each node of the links (a, b) reaches; a node's label is pulled down
-    by its neighbours' and by its label's own until nothing changes."""
-    both = links.select("a", "b").union(links.select("b", "a")).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("comp")).checkpoint()
-    while True:
-        heard = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("heard"))
-        low = labels.join(heard, "node").select("node", F.col("comp").alias("was"), F.least("comp", "heard").alias("mid"))
-        of_label = labels.select(F.col("node").alias("mid"), F.col("comp").alias("next"))
-        new = low.join(of_label, "mid").select("node", "was", F.least("mid", "next").alias("comp")).checkpoint()
-        if not new.where(F.col("was") != F.col("comp")).limit(1).count():
-            return new.select("node", "comp")
-        labels = new.select("node", "comp")
+        x, y = (batch.column(c).to_pylist() for c in (2, 3))
+        i = 0
+        while i < len(x):
+            place: dict[bytes, int] = {}  # the distinct texts of a run, each of which is cut into shingles once
+            texts, size, j = [], 0, i
+            while j < len(x) and (j == i or size < RUN):
+                for z in (x[j], y[j]):
+                    if z not in place:
+                        place[z] = len(texts)
+                        texts.append(unpack_text(z))
+                        size += len(texts[-1])
+                j += 1
+            h, at = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), np.r_[0, np.cumsum([len(t) for t in texts])], words)
+            keep = []
+            for u, v in zip(x[i:j], y[i:j], strict=True):
+                s, t = (h[at[r]:at[r + 1]] for r in (place[u], place[v]))
+                if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)) or not len(s):
+                    keep.append(False)
+                    continue
+                both = int(np.count_nonzero(t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s))
+                keep.append(100 * both >= percent * (len(s) + len(t) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            i = j
+
+
+def confirmed(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b), a table, whose whole texts are linked; texts: id, z. Only texts of the pairs are sent,
+    those of a hub once to each task."""
+    of = lambda c: texts.join(pairs.select(F.col(c).alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias(c), F.col("z").alias(f"z{c}"))
+    met = join_values(pairs.join(of("b"), "b"), of("a"), "a", "b", pairs)
+    return met.select("a", "b", "za", "zb").mapInArrow(lambda it: confirm(it, words, percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -323,10 +314,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         return (held.drop("sig").join(joined, "rep", "left")
                 .select(F.explode("prefix").alias("post"), "rep", "n", F.coalesce("comp", "rep").alias("comp"), mask.alias("mask")).checkpoint())
 
-    pairs = held.select(F.explode("stars").alias("a"), F.col("rep").alias("b")).distinct()
-    links = confirmed(rows, pairs, words, percent).checkpoint()
-    links = links.union(confirmed(rows, candidates(posts_of(links), held, percent, True), words, percent)).checkpoint()
-    links = links.union(confirmed(rows, candidates(posts_of(links), held, percent, False), words, percent))
+    wanted = key_filter(held.select(F.col("rep").alias("key")))
+    texts = rows.mapInArrow(lambda it: packed_texts(it, wanted), "id long, z binary").checkpoint()
+    pairs = held.select(F.explode("stars").alias("a"), F.col("rep").alias("b")).distinct().checkpoint()
+    links = confirmed(texts, pairs, words, percent).checkpoint()
+    for best in (True, False):
+        pairs = candidates(posts_of(links), held, percent, best).checkpoint()
+        links = links.union(confirmed(texts, pairs, words, percent)).checkpoint()
     final = components(links)
 
     of_class = (classes.select("key", "n", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
