@@ -4,8 +4,9 @@ A document's set are its distinct shingles of ``words`` words; documents are lin
 100 * intersection >= percent * union, and form the classes of that relation's closure.
 
 1. Each text gets its set's size, a 128-bit key of the set, a signature (the least
-   hash of the set under each of COORDINATES permutations) and a finer sketch: the set dealt
-   over BINS bins by one hash, a byte of the least in each. Documents with the
+   hash of the set under each of COORDINATES permutations) and something finer to compare by: a bitmap of
+   BITS bits set by the hashes, or, for sets over SPARSE shingles, a sketch (the set dealt
+   over BINS bins by one hash, a byte of the least in each). Sets that may be linked with each other across SPARSE have both. Documents with the
    same key are one class from here on, whatever their number.
 2. Classes are posted under their coordinate-value pairs. Two linked classes agree in
    ``matches`` coordinates or more (all but one in thirty million pairs at the
@@ -15,16 +16,16 @@ A document's set are its distinct shingles of ``words`` words; documents are lin
 3. Each class is held against the smallest doc_id of its posts, where they collide
    ``matches`` times or more: a star for each group of near copies, linear in its size. The
    links are confirmed and closed. Then the posts are merged, and each offers the
-   one post of another component whose sketch is the likest, if it is likely:
+   likest post of another component, if it is likely:
    at most one candidate a post and block. These are confirmed and closed as well.
-4. Last, all posts of different components under one pair are candidates where their
-   sketches agree in a least share of the bins in use or more (it follows from ``percent``, a pair
-   at the very threshold is missed with a chance of 2e-8 at most).
+4. Last, all posts of different components under one pair are candidates that may be linked: a bit that only one side has stands for a shingle
+   that only it has, so bitmaps bound the overlap from above and lose no link; sketches must agree in a least share of the bins in use (it
+   follows from ``percent``, a pair at the very threshold is missed with a chance of 2e-8 at most).
    Posts of one component make none (skip), so a group of near copies costs what its
    unlinked rest costs; and a pair is put out under the first two pairs that both are
    posted under, not under all. The candidates are confirmed, and all links are closed.
 
-Links are confirmed on the words of both whole texts. Nothing is capped. Words are
+Links are confirmed on the full sets of both whole texts, as 64-bit hashes of the shingles. Nothing is capped. Words are
 ``[^\\x20\\x09-\\x0D]+``, A-Z in lower case. A text with fewer words than a shingle has one
 shingle of them all; one without words has an empty set and is linked with nothing. A
 null doc_id is the smallest one; rows that share a doc_id are one document with several texts.
@@ -43,13 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import int_column, join_counted, mix, runs, ship, shuffle_partitions, text_view, unpack
-from .links import components, join_values, key_filter, may_hold
+from .common import int_column, join_counted, mix, release, runs, ship, shuffle_partitions, text_view, unpack
+from .links import components, join_values, key_filter, may_hold, most_common
 from .lm_score import grams
 
 COORDINATES = 32
 #: Bins of the sketch.
 BINS = 256
+#: Bits of a set's bitmap, and the largest size that is compared by bitmaps: beyond, they get too full to tell sets apart.
+BITS, SPARSE = 2048, 512
 #: Per cent of the bins by which a likely partner is over the least share.
 LIKELIER = 9
 #: Posts of one pair that a task holds against as many others.
@@ -57,7 +60,7 @@ BLOCK = 1024
 #: Bytes of text that a task cuts into shingles at a time.
 RUN = 2 << 20
 NULL_ID = -(1 << 63)
-_SEEDS = mix(np.arange(1, COORDINATES + 4, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+_SEEDS = mix(np.arange(1, COORDINATES + 5, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
 def least_agreeing(draws: int, percent: int, missed: float) -> int:
@@ -95,8 +98,18 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndar
     return h[new], np.r_[0, np.cumsum(np.bincount(row[new], minlength=len(count)))]
 
 
-def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Per row: id, n, key of the set, posts (coordinate and value as one number), two bytes of each coordinate and a byte of each bin (0: empty)."""
+def has_bitmap(n: np.ndarray, percent: int) -> np.ndarray:
+    """Sets of SPARSE shingles or fewer, and those that are linked with them perhaps."""
+    return percent * n <= 100 * SPARSE
+
+
+def has_sketch(n: np.ndarray) -> np.ndarray:
+    return n > SPARSE
+
+
+def signatures(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Per row: id, n, key of the set, posts (coordinate and value as one number), and sig: two bytes of each coordinate, the
+    bitmap of the set where it has one, and a byte of each bin (0: empty) where it has a sketch."""
     for batch in batches:
         ids = int_column(batch, "id")
         for i, j, data, off in runs(batch, limit=RUN):
@@ -105,6 +118,7 @@ def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
             start = at[:-1][has]
             keys = np.zeros((j - i, 2), np.uint64)
             posts, sketch = np.zeros((j - i, COORDINATES), np.int64), np.zeros((j - i, BINS), np.uint8)
+            bits = np.zeros((j - i, BITS), bool)
             if len(has):
                 for c in range(2):
                     keys[has, c] = np.add.reduceat(mix(h ^ _SEEDS[COORDINATES + c]), start)
@@ -112,31 +126,69 @@ def signatures(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
                     least = np.minimum.reduceat(mix(h ^ _SEEDS[c]), start)
                     posts[has, c] = (np.uint64(c) << np.uint64(32) | least >> np.uint64(32)).astype(np.int64)
                 row = np.repeat(np.arange(j - i), n)
-                x = mix(h ^ _SEEDS[COORDINATES + 2])
-                at_bin = row * BINS + (x % np.uint64(BINS)).astype(np.int64)
+                bits[row, (mix(h ^ _SEEDS[COORDINATES + 3]) % np.uint64(BITS)).astype(np.int64)] = True
+                long = has_sketch(n)[row]
+                x = mix(h[long] ^ _SEEDS[COORDINATES + 2])
+                at_bin = row[long] * BINS + (x % np.uint64(BINS)).astype(np.int64)
                 o = np.lexsort((x, at_bin))  # the least of each bin comes first
-                o = o[np.r_[True, at_bin[o][1:] != at_bin[o][:-1]]]
+                o = o[np.r_[True, at_bin[o][1:] != at_bin[o][:-1]][:len(o)]]
                 sketch.reshape(-1)[at_bin[o]] = (x[o] >> np.uint64(32)) % np.uint64(255) + np.uint64(1)
+            maps = np.packbits(bits, axis=1)
             short = (posts & 0xFFFF).astype("<u2")
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * COORDINATES, COORDINATES, dtype=np.int32)), pa.array(posts.reshape(-1)))
             yield pa.RecordBatch.from_arrays([pa.array(ids[i:j]), pa.array(n), pa.array([x.tobytes() for x in keys], pa.binary()), lists,
-                                              pa.array([x.tobytes() + y.tobytes() for x, y in zip(short, sketch, strict=True)], pa.binary())],
+                                              pa.array([x.tobytes() + (y.tobytes() if u else b"") + (z.tobytes() if v else b"")
+                                                        for x, y, z, u, v in zip(short, maps, sketch, has_bitmap(n, percent), has_sketch(n), strict=True)], pa.binary())],
                                              names=["id", "n", "key", "posts", "sig"])
+    release()
 
 
 def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) -> Iterator[pa.RecordBatch]:
     """Candidates among the posts of each pair and block (rows come sorted by both): a < b, in different components.
-    All whose sketches agree in the least share of bins, or with ``best`` each post's likest one.
+    All that their bitmaps let pass (a bound from above: no link is lost), or, of larger sets, whose sketches agree in the least share of bins;
+    with ``best`` each post's likest one.
 
     A pair stands under many coordinate-value pairs; it is put out under the first two
     coordinates that both are posted under with equal values. Two, as values are compared by 16 bits
     here: one chance agreement before the first true one does no harm."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     alike = least_alike(percent)
+    at_least = min(100, alike + LIKELIER) if best else alike
+    ends = np.cumsum([2 * COORDINATES, BITS >> 3, BINS])
+
+    def likeness(n: np.ndarray, sig: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Per cent, as near as bitmaps or sketches tell; 0 for pairs that can't be linked."""
+        out = np.zeros(len(x))
+        by_bits = has_bitmap(np.maximum(n[x], n[y]), percent)
+        for i in range(0, len(x), 16384):
+            part = np.arange(i, min(i + 16384, len(x)))
+            p = part[by_bits[part]]
+            if len(p):
+                u, v = x[p], y[p]
+                most = most_common(n, sig[:, ends[0]:ends[1]].view("<u8"), u, v)
+                share = 100.0 * most / (n[u] + n[v] - most)
+                out[p] = np.where((100 + percent) * most >= percent * (n[u] + n[v]), share, 0)
+            p = part[~by_bits[part]]
+            if len(p):
+                u, v = sig[x[p], ends[1]:], sig[y[p], ends[1]:]
+                used = u | v
+                share = 100.0 * np.count_nonzero((u == v) & (used != 0), axis=1) / np.count_nonzero(used, axis=1)
+                out[p] = np.where(share >= at_least, share, 0)
+        return out
+
+    def dense(sigs: pa.Array, n: np.ndarray) -> np.ndarray:
+        """The signatures as rows of one width, with zeros for the parts that a row has not."""
+        data, off = text_view(sigs)
+        out = np.zeros((len(n), ends[2]), np.uint8)
+        maps, sketches = has_bitmap(n, percent), has_sketch(n)
+        for wanted, places in ((maps & ~sketches, np.arange(ends[1])), (~maps, np.r_[:ends[0], ends[1]:ends[2]]), (maps & sketches, np.arange(ends[2]))):
+            r = np.flatnonzero(wanted)
+            out[r[:, None], places] = data[off[r][:, None] + np.arange(len(places))]
+        return out
 
     def pairs(rows: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         post, _, rep, n, comp, mask, rest = rows
-        values, sketch = sig[:, :2 * COORDINATES].copy().view("<u2"), sig[:, 2 * COORDINATES:]
+        values = sig[:, :ends[0]].copy().view("<u2")
         own = int(post[0] >> 32)
         found_a, found_b = [], []
         for s in range(0, len(rep), 128):
@@ -149,22 +201,16 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
             if not len(x):
                 continue
             x += s
-            share = np.empty(len(x))
-            for i in range(0, len(x), 16384):
-                u, v = sketch[x[i:i + 16384]], sketch[y[i:i + 16384]]
-                used = u | v
-                share[i:i + 16384] = 100.0 * np.count_nonzero((u == v) & (used != 0), axis=1) / np.count_nonzero(used, axis=1)
+            share = likeness(n, sig, x, y)
+            x, y, share = x[share > 0], y[share > 0], share[share > 0]
             if best:
                 o = np.lexsort((-share, x))
-                o = o[np.r_[True, x[o][1:] != x[o][:-1]]]
-                o = o[share[o] >= min(100, alike + LIKELIER)]
+                o = o[np.r_[True, x[o][1:] != x[o][:-1]][:len(o)]]
                 x, y = x[o], y[o]
-            else:
-                x, y = x[share >= alike], y[share >= alike]
-                if own:  # earlier coordinates that both are posted under, with the same value
-                    posted = (mask[x] & mask[y])[:, None] >> np.arange(own) & 1
-                    first = np.count_nonzero((values[x, :own] == values[y, :own]) & (posted == 1), axis=1) < 2
-                    x, y = x[first], y[first]
+            elif own:  # earlier coordinates that both are posted under, with the same value
+                posted = (mask[x] & mask[y])[:, None] >> np.arange(own) & 1
+                first = np.count_nonzero((values[x, :own] == values[y, :own]) & (posted == 1), axis=1) < 2
+                x, y = x[first], y[first]
             found_a.append(rep[x]), found_b.append(rep[y])
         if not found_a:
             return rep[:0], rep[:0]
@@ -183,7 +229,7 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
         if not len(batch):
             continue
         rows = np.stack([np.asarray(c.to_numpy(zero_copy_only=False), np.int64) for c in batch.columns[:-1]])
-        sig = text_view(batch.column(batch.num_columns - 1).cast(pa.binary()))[0].reshape(len(batch), -1)
+        sig = dense(batch.column(batch.num_columns - 1).cast(pa.binary()), rows[3])
         held.append((rows, sig))
         last = rows[:2, -1]
         if (held[0][0][:2, 0] != last).any():  # all but the last, perhaps unfinished, group
@@ -292,7 +338,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     ship(spark)
     ensure_checkpoint_dir(spark)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("text").cast("string").alias("text"))
-    base = rows.mapInArrow(lambda it: signatures(it, words), "id long, n long, key binary, posts array<long>, sig binary").checkpoint()
+    base = rows.mapInArrow(lambda it: signatures(it, words, percent), "id long, n long, key binary, posts array<long>, sig binary").checkpoint()
     classes = base.where("n > 0").groupBy("key", "n").agg(F.min("id").alias("rep"), F.first("posts").alias("posts"), F.first("sig").alias("sig"))
 
     matches = least_matches(percent)

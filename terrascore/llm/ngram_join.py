@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .common import int_column, join_counted, mix, runs, shuffle_partitions, ship, text_view, unpack
-from .links import components, join_values, key_filter, may_hold
+from .links import components, join_values, key_filter, may_hold, most_common
 from .minhash_dedup import shingle_sets
 
 BITS = 2048
@@ -174,13 +174,6 @@ def tile_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([last_post]), pa.array([last_rep]), pa.array([first])], names=["post", "rep", "first"])
 
 
-def most_common(n: np.ndarray, bits: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """An upper bound, from bit counts, of what the sets x and y (rows of n and bits) have in common."""
-    only_x = np.bitwise_count(bits[x] & ~bits[y]).sum(axis=1, dtype=np.int64)
-    only_y = np.bitwise_count(bits[y] & ~bits[x]).sum(axis=1, dtype=np.int64)
-    return np.minimum(n[x] - only_x, n[y] - only_y)
-
-
 def tile_pairs(batches: Iterator[pa.RecordBatch], percent: int, best: bool) -> Iterator[pa.RecordBatch]:
     """Candidates (a < b) of different components in each tile and block, with ``best`` the one of the highest bound for each row;
     rows come sorted by both: post, block, rep, n, comp, rest, bits."""
