@@ -32,8 +32,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import runs, ship
+from .common import release, runs, ship
 
 #: Labelled rows to learn from, about; entries of the lexicon at most.
 SAMPLE, LEXICON = 24_000, 600
@@ -118,8 +119,8 @@ _KINDS[2, [ord("!"), ord("?")]] = 1
 _KINDS[3, 48:58] = 1
 
 
-def featurise(batches: Iterator[pa.RecordBatch], lexicons: dict[int, dict[str, float]]) -> Iterator[pa.RecordBatch]:
-    """Replace the text of each row by its features (``_features``); the other columns stay.
+def featurise(batches: Iterator[pa.RecordBatch], lexicons: dict[int, dict[str, float]], keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Replace the text of each row by its features (``_features``), or add them with ``keep``; the other columns stay.
     The lexicon is that of the row's ``_fold``, or the one of ALL where rows have none."""
     readers = {k: Reader(v) for k, v in lexicons.items()}
     for batch in batches:
@@ -134,8 +135,10 @@ def featurise(batches: Iterator[pa.RecordBatch], lexicons: dict[int, dict[str, f
             whole = data.tobytes()
             rows += [features(whole[a:b].decode(), readers[w], *c) for w, a, b, *c in zip(which[i:j], off[:-1].tolist(), off[1:].tolist(), *counts, strict=True)]
         column = pa.array(rows, pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), column],
-                                         names=[*(x for i, x in enumerate(batch.schema.names) if i != at), "_features"])
+        yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if keep or i != at), column],
+                                         names=[*(x for i, x in enumerate(batch.schema.names) if keep or i != at), "_features"])
+    readers.clear()
+    release()
 
 
 def count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,19 +219,27 @@ class Model:
         self.steps = IsotonicRegression(featuresCol="p", labelCol="label").fit(scored)
         fit.unpersist()
 
+    def score_rows(self, docs: DataFrame, keep: bool) -> DataFrame:
+        """The rows of ``docs``, each whole in the column ``row`` (without the text unless ``keep``), and their ``score``.
+        A text that is kept goes to the workers and back once."""
+        names = [c for c in docs.columns if keep or c != "text"]
+        if self.trees is None:
+            return docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.lit(float(self.share)).alias("score"))
+        # numbered, so that no column clashes with the model's own
+        place = {c: "_text" if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)}
+        rows = docs.select(*[F.col(f"`{c}`").alias(place[c]) for c in names if c != "text"], F.col("text").cast("string").alias("_text"))
+        schema = StructType([*(f for f in rows.schema.fields if keep or f.name != "_text"), StructField("_features", ArrayType(DoubleType()))])
+        lexicons, kind = {ALL: self.lexicon}, docs.schema["text"].dataType
+        made = rows.mapInArrow(lambda it: featurise(it, lexicons, keep), schema).withColumn("features", array_to_vector("_features"))
+        row = F.struct(*[F.col(place[c]).cast(kind).alias(c) if c == "text" else F.col(place[c]).alias(c) for c in names])
+        scored = self.steps.transform(self.trees.transform(made).select(row.alias("row"), vector_to_array("probability")[1].alias("p")))
+        score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.999 * F.col("prediction") + 0.001 * F.col("p")))
+        return scored.select("row", score.alias("score"))
+
     def score(self, docs: DataFrame, out: str = "score") -> DataFrame:
         """The columns of ``docs`` but the text, and the score as column ``out``."""
         others = [c for c in docs.columns if c not in ("text", out)]
-        if self.trees is None:
-            return docs.select(*[F.col(f"`{c}`") for c in others], F.lit(float(self.share)).alias(out))
-        lexicons, kinds = {ALL: self.lexicon}, {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-        names = [f"_{i}" for i in range(len(others))]  # so that no column clashes with the model's own
-        rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)], F.col("text").cast("string").alias("_text"))
-        made = rows.mapInArrow(lambda it: featurise(it, lexicons), ", ".join(f"{n} {kinds[c]}" for c, n in zip(others, names, strict=True)) + ", _features array<double>")
-        scored = self.trees.transform(made.withColumn("features", array_to_vector("_features")))
-        scored = self.steps.transform(scored.select(*names, vector_to_array("probability")[1].alias("p")))
-        score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.999 * F.col("prediction") + 0.001 * F.col("p")))
-        return scored.select(*[F.col(n).alias(c) for c, n in zip(others, names, strict=True)], score.alias(out))
+        return self.score_rows(docs.select(*[F.col(f"`{c}`") for c in [*others, "text"]]), False).select(*[F.col(f"row.`{c}`") for c in others], F.col("score").alias(out))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -239,6 +250,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows whose score stays under THRESHOLD, with the columns of ``docs``."""
-    scored = Model(docs, labels).score(docs.withColumn("__text", F.col("text")), "__score")
-    row = [F.col("__text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return scored.where(F.col("__score") < THRESHOLD).select(*row)
+    return Model(docs, labels).score_rows(docs, True).where(F.col("score") < THRESHOLD).select("row.*")
