@@ -15,7 +15,8 @@ A document's set are its distinct shingles of ``words`` words; documents are lin
    ``matches`` such pairs has no partner and is skipped.
 3. Each class is held against the smallest doc_id of its posts, where they collide
    ``matches`` times or more: a star for each group of near copies, linear in its size. The
-   links are confirmed and closed. Then the posts are merged, and each offers the
+   links are confirmed and closed. Then the posts are merged: those that collide ``matches`` times or more with a post of another component
+   stay, found by the coordinates alone, and only they are sent with bitmaps and sketches from here on. Each offers the
    likest post of another component, if it is likely:
    at most one candidate a post and block. These are confirmed and closed as well.
 4. Last, all posts of different components under one pair are candidates that may be linked: a bit that only one side has stands for a shingle
@@ -143,6 +144,57 @@ def signatures(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> I
     release()
 
 
+def whole_blocks(batches: Iterator[pa.RecordBatch], dense) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows (post, block, ...) and signatures of a few whole blocks at a time; rows come sorted by post and block."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = np.stack([np.asarray(c.to_numpy(zero_copy_only=False), np.int64) for c in batch.columns[:-1]])
+        held.append((rows, dense(batch.column(batch.num_columns - 1).cast(pa.binary()), rows[3])))
+        last = rows[:2, -1]
+        if (held[0][0][:2, 0] != last).any():  # all but the last, perhaps unfinished, group
+            rows, sig = np.concatenate([r for r, _ in held], axis=1), np.concatenate([g for _, g in held])
+            cut = int(np.flatnonzero((rows[:2] != last[:, None]).any(axis=0))[-1]) + 1
+            yield rows[:, :cut], sig[:cut]
+            held = [(rows[:, cut:], sig[cut:])]
+    if held:
+        yield np.concatenate([r for r, _ in held], axis=1), np.concatenate([g for _, g in held])
+
+
+def edges(rows: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each block of two rows or more."""
+    edge = np.flatnonzero(np.r_[True, (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1]), True]).tolist()
+    return [(x, y) for x, y in zip(edge[:-1], edge[1:], strict=True) if y - x > 1]
+
+
+def may_meet(rows: np.ndarray, q: slice, percent: int) -> np.ndarray:
+    """Which rows of a block each of the rows q is held against: of another component, with a set of a size that allows a link."""
+    _, _, _, n, comp, _, rest = rows
+    ok = (comp[q, None] != comp) & (100 * n[q, None] >= percent * n) & (100 * n >= percent * n[q, None])
+    return ok & ((rest[q, None] == 0) | (rest[q, None] != rest))  # two posts of one side meet in another block, or have one component
+
+
+def colliding(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The posts that collide with one of another component under ``matches`` coordinates or more (by 16 bits of each
+    value: none is missed). A pair that does so does it under each coordinate-value pair that both are posted under."""
+    matches = least_matches(percent)
+    for rows, sig in whole_blocks(batches, lambda sigs, n: text_view(sigs)[0].reshape(len(n), -1)):
+        values, found = np.ascontiguousarray(sig).view("<u2"), np.zeros(rows.shape[1], bool)
+        for x, y in edges(rows):
+            block, own = rows[:, x:y], values[x:y]
+            for s in range(0, y - x, 128):
+                q = slice(s, s + 128)
+                ok = may_meet(block, q, percent)
+                if ok.any():
+                    count = np.zeros(ok.shape, np.uint8)
+                    for c in range(COORDINATES):
+                        count += own[q, c, None] == own[:, c]
+                    found[x:y][q] = (ok & (count >= matches)).any(axis=1)
+        if found.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows[:, found]], names=["post", "block", "rep", "n", "comp", "mask", "rest"])
+
+
 def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) -> Iterator[pa.RecordBatch]:
     """Candidates among the posts of each pair and block (rows come sorted by both): a < b, in different components.
     All that their bitmaps let pass (a bound from above: no link is lost), or, of larger sets, whose sketches agree in the least share of bins;
@@ -151,7 +203,6 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
     A pair stands under many coordinate-value pairs; it is put out under the first two
     coordinates that both are posted under with equal values. Two, as values are compared by 16 bits
     here: one chance agreement before the first true one does no harm."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
     alike = least_alike(percent)
     at_least = min(100, alike + LIKELIER) if best else alike
     ends = np.cumsum([2 * COORDINATES, BITS >> 3, BINS])
@@ -187,14 +238,13 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
         return out
 
     def pairs(rows: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        post, _, rep, n, comp, mask, rest = rows
+        post, _, rep, n, _, mask, _ = rows
         values = sig[:, :ends[0]].copy().view("<u2")
         own = int(post[0] >> 32)
         found_a, found_b = [], []
         for s in range(0, len(rep), 128):
             q = slice(s, s + 128)
-            ok = (comp[q, None] != comp) & (100 * n[q, None] >= percent * n) & (100 * n >= percent * n[q, None])
-            ok &= (rest[q, None] == 0) | (rest[q, None] != rest)  # two posts of one side meet in another block, or have one component
+            ok = may_meet(rows, q, percent)
             if not best:
                 ok &= np.arange(len(rep))[q, None] < np.arange(len(rep))
             x, y = np.nonzero(ok)
@@ -217,29 +267,13 @@ def merge_posts(batches: Iterator[pa.RecordBatch], percent: int, best: bool) ->
         a, b = np.concatenate(found_a), np.concatenate(found_b)
         return np.minimum(a, b), np.maximum(a, b)
 
-    def done(rows: np.ndarray, sig: np.ndarray) -> Iterator[pa.RecordBatch]:
-        edge = np.flatnonzero(np.r_[True, (rows[0, 1:] != rows[0, :-1]) | (rows[1, 1:] != rows[1, :-1]), True])
-        out = [pairs(rows[:, x:y], sig[x:y]) for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if y - x > 1]
+    for rows, sig in whole_blocks(batches, dense):
+        out = [pairs(rows[:, x:y], sig[x:y]) for x, y in edges(rows)]
         if out:
             both = np.unique(np.stack([np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])]), axis=1)
             for x in range(0, both.shape[1], 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(both[0, x:x + 50_000]), pa.array(both[1, x:x + 50_000])], names=["a", "b"])
 
-    for batch in batches:
-        if not len(batch):
-            continue
-        rows = np.stack([np.asarray(c.to_numpy(zero_copy_only=False), np.int64) for c in batch.columns[:-1]])
-        sig = dense(batch.column(batch.num_columns - 1).cast(pa.binary()), rows[3])
-        held.append((rows, sig))
-        last = rows[:2, -1]
-        if (held[0][0][:2, 0] != last).any():  # all but the last, perhaps unfinished, group
-            rows, sig = np.concatenate([r for r, _ in held], axis=1), np.concatenate([g for _, g in held])
-            cut = int(np.flatnonzero((rows[:2] != last[:, None]).any(axis=0))[-1]) + 1
-            yield from done(rows[:, :cut], sig[:cut])
-            held = [(rows[:, cut:], sig[cut:])]
-    if held:
-        yield from done(np.concatenate([r for r, _ in held], axis=1), np.concatenate([g for _, g in held]))
-
 
 def blocks_of(posts: DataFrame) -> DataFrame:
     """The posts (post, rep, comp) that have partners, with block and rest (the side of a block that holds two parts, or 0).
@@ -274,12 +308,22 @@ def blocks_of(posts: DataFrame) -> DataFrame:
     return met.withColumn("to", F.explode(to)).select(*posts.columns, "to.block", "to.rest")
 
 
-def candidates(posts: DataFrame, held: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Candidate pairs (a, b) of posts: post, rep, n, comp, mask; held: rep and sig."""
-    parts = shuffle_partitions(posts.sparkSession)
-    dealt = blocks_of(posts).join(held.select("rep", "sig"), "rep").select("post", "block", "rep", "n", "comp", "mask", "rest", "sig")
-    return (dealt.repartition(parts, "post", "block").sortWithinPartitions("post", "block")
-            .mapInArrow(lambda it: merge_posts(it, percent, best), "a long, b long").distinct())
+def laid_out(dealt: DataFrame, held: DataFrame, sig) -> DataFrame:
+    """The dealt posts with their signature, or a part of it, block by block; held: rep and sig."""
+    return (dealt.join(held.select("rep", sig.alias("sig")), "rep").select("post", "block", "rep", "n", "comp", "mask", "rest", "sig")
+            .repartition(shuffle_partitions(dealt.sparkSession), "post", "block").sortWithinPartitions("post", "block"))
+
+
+def in_collision(posts: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """The posts (post, rep, n, comp, mask) that have a partner by their collisions, with block and rest: only these need more than the coordinates."""
+    short = F.substring("sig", 1, 2 * COORDINATES)
+    return (laid_out(blocks_of(posts), held, short)
+            .mapInArrow(lambda it: colliding(it, percent), "post long, block long, rep long, n long, comp long, mask long, rest long"))
+
+
+def candidates(dealt: DataFrame, held: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Candidate pairs (a, b) of posts that are dealt to blocks."""
+    return laid_out(dealt, held, F.col("sig")).mapInArrow(lambda it: merge_posts(it, percent, best), "a long, b long").distinct()
 
 
 def packed_texts(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -353,19 +397,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     prefix = F.slice(F.col("posts.post"), F.lit(1), F.size("posts") - (matches - 1))
     held = of_rep.select("rep", prefix.alias("prefix"), stars.alias("stars")).join(classes.select("rep", "n", "sig"), "rep").checkpoint()
 
-    def posts_of(links: DataFrame) -> DataFrame:
+    def placed(posts: DataFrame, links: DataFrame) -> DataFrame:
         """The posts, with the component that the links so far give."""
-        joined = components(links).withColumnRenamed("node", "rep")
-        mask = F.aggregate("prefix", F.lit(0).cast("long"), lambda m, p: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(p, 32).cast("int"))))
-        return (held.drop("sig").join(joined, "rep", "left")
-                .select(F.explode("prefix").alias("post"), "rep", "n", F.coalesce("comp", "rep").alias("comp"), mask.alias("mask")).checkpoint())
+        return posts.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").select("post", "rep", "n", F.coalesce("comp", "rep").alias("comp"), "mask").checkpoint()
 
+    mask = F.aggregate("prefix", F.lit(0).cast("long"), lambda m, p: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(p, 32).cast("int"))))
+    posts = held.select(F.explode("prefix").alias("post"), "rep", "n", mask.alias("mask"))
     wanted = key_filter(held.select(F.col("rep").alias("key")))
     texts = rows.mapInArrow(lambda it: packed_texts(it, wanted), "id long, z binary").checkpoint()
     pairs = held.select(F.explode("stars").alias("a"), F.col("rep").alias("b")).distinct().checkpoint()
     links = confirmed(texts, pairs, words, percent).checkpoint()
+    dealt = in_collision(placed(posts, links), held, percent).checkpoint()
     for best in (True, False):
-        pairs = candidates(posts_of(links), held, percent, best).checkpoint()
+        if not best:  # components have grown: posts without a partner in another one are left behind
+            dealt = blocks_of(placed(dealt.select("post", "rep", "n", "mask").distinct(), links))
+        pairs = candidates(dealt, held, percent, best).checkpoint()
         links = links.union(confirmed(texts, pairs, words, percent)).checkpoint()
     final = components(links)
 
@@ -381,5 +427,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose doc_id is their component's."""
-    found = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    name = next(n for n in (f"_kept{i}" for i in range(len(docs.columns) + 1)) if n not in {c.lower() for c in docs.columns})
+    found = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
