@@ -26,10 +26,13 @@ anchor at the same place, and one suffix in about 32 stands for all of them.
    long enough; the left sides are sorted likewise. Both together decide each
    window exactly, on the bytes.
 
-The texts are dealt by doc_id once; steps 2 and the removal both read that exchange.
+The texts are dealt by doc_id and text hash once; steps 2 and the removal both read that exchange.
 
 Null text counts as empty and a null doc_id as the smallest one. Rows with the
-same doc_id are one place in the order: what only they share stays in all.
+same doc_id are one place in the order: what stands at the same place in them stays in all.
+Places and spans belong to a doc_id and the 64-bit hash of the text, so rows that share a doc_id don't
+meet each other's, and repeated rows are sorted once a run. An empty table gives an empty one, and other
+columns of any name or type are carried along. A very long text makes a run of its own, in memory as one.
 """
 
 from __future__ import annotations
@@ -41,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 from .common import BYTE_HASH, binary_batch, int_column, mix, pack, prefix_hash, powers, runs, shuffle_partitions, ship, text_view, unpack
@@ -50,6 +54,8 @@ WINDOW_KMERS = 64
 SECTION = 1 << 20
 #: Anchors of one k-mer that one task merges; and hot anchors whose windows are laid out at a time.
 HOT_ANCHORS, PIECE = 1 << 15, 1 << 12
+#: Hot k-mers that the tasks are told of, those with the most anchors first (8 MB); the windows of any others are merged, with the same result.
+HOT_KMERS = 1 << 20
 _ONE = np.uint64(1)
 
 
@@ -234,21 +240,31 @@ class LoserTree:
             self.top = top
 
 
+def first_rows(doc: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """Whether each row is the first with its doc_id and text."""
+    o, out = np.lexsort((tag, doc)), np.ones(len(doc), bool)
+    out[o[1:][(doc[o[1:]] == doc[o[:-1]]) & (tag[o[1:]] == tag[o[:-1]])]] = False
+    return out
+
+
 def anchor_hashes(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Each run's distinct anchor hashes, with the place of those that stand once in
-    it or else their number (kind 0), and the places of the others (kind 1)."""
+    it or else their number (kind 0), and the places of the others (kind 1). Without a column __tag, a doc_id is one text."""
     names = ["pid", "kind", "value"]
     for batch in batches:
         ids = int_column(batch, "doc_id")
+        tags = int_column(batch, "__tag") if "__tag" in batch.schema.names else np.zeros(len(ids), np.int64)
         for i, j, data, off in runs(batch):
             pos, most, least, h = anchors(data, off, length)
             if not len(pos):
                 continue
-            doc, row = ids[i:j], np.searchsorted(off, pos, "right") - 1
+            doc, tag, row = ids[i:j], tags[i:j], np.searchsorted(off, pos, "right") - 1
+            new = first_rows(doc, tag)[row]
+            pos, most, least, h, row = pos[new], most[new], least[new], h[new], row[new]
             place = (pos - off[row]) << 16 | most << 8 | least
             _, first, which, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
             again = count[which] > 1
-            values, pids, kinds = [pack(doc[row[again]], place[again])], [int(h[0] % np.uint64(parts))], [1]
+            values, pids, kinds = [pack(doc[row[again]], tag[row[again]], place[again])], [int(h[0] % np.uint64(parts))], [1]
             first = np.sort(first)  # text order, in which places pack well
             pid = ((h[first] >> np.uint64(24)) % np.uint64(parts)).astype(np.int64)
             first = first[np.argsort(pid, kind="stable")]
@@ -257,19 +273,19 @@ def anchor_hashes(batches: Iterator[pa.RecordBatch], length: int, parts: int) ->
                 s = first[bounds[p]:bounds[p + 1]]
                 once = s[~again[s]]
                 more = s[again[s]]
-                values.append(pack(h[np.r_[once, more]] >> np.uint64(24), doc[row[once]], place[once], count[which[more]].astype(np.int32)))
+                values.append(pack(h[np.r_[once, more]] >> np.uint64(24), doc[row[once]], tag[row[once]], place[once], count[which[more]].astype(np.int32)))
                 pids.append(p)
                 kinds.append(0)
             yield binary_batch(names, pa.array(pids, pa.int32()), pa.array(kinds, pa.int32()), pa.array(values, pa.binary()))
 
 
 def shared_anchors(batches: Iterator[pa.RecordBatch], bound: int = HOT_ANCHORS) -> Iterator[pa.RecordBatch]:
-    """Places (doc_id, place) of the anchors whose hash stands more than once, and the hashes (null, hash) that more than ``bound`` have."""
+    """Places (doc_id, tag, place) of the anchors whose hash stands more than once, and the hashes (null, number, hash) that more than ``bound`` have."""
     got: list[list[np.ndarray]] = []
 
-    def out(doc, place):
+    def out(doc, tag, place):
         for i in range(0, len(doc), 50_000):
-            yield binary_batch(["doc_id", "place"], doc[i:i + 50_000], place[i:i + 50_000])
+            yield binary_batch(["doc_id", "tag", "place"], doc[i:i + 50_000], tag[i:i + 50_000], place[i:i + 50_000])
 
     for batch in batches:
         for kind, value in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -280,14 +296,14 @@ def shared_anchors(batches: Iterator[pa.RecordBatch], bound: int = HOT_ANCHORS)
     if got:
         hashes, which, count = np.unique(np.concatenate([x[0] for x in got]), return_inverse=True, return_counts=True)
         many, at = count[which] > 1, 0
-        anchors_of = np.bincount(which, np.concatenate([np.r_[np.ones(len(doc)), more] for _, doc, _, more in got]))
-        hot = hashes[anchors_of > bound].astype(np.int64)
-        if len(hot):
-            yield from out(pa.nulls(len(hot), pa.int64()), hot)
-        for h, doc, place, _ in got:
+        anchors_of = np.bincount(which, np.concatenate([np.r_[np.ones(len(doc)), more] for _, doc, _, _, more in got]))
+        hot = anchors_of > bound
+        if hot.any():
+            yield from out(pa.nulls(int(hot.sum()), pa.int64()), anchors_of[hot].astype(np.int64), hashes[hot].astype(np.int64))
+        for h, doc, tag, place, _ in got:
             keep = many[at:at + len(doc)]
             at += len(h)
-            yield from out(doc[keep], place[keep])
+            yield from out(doc[keep], tag[keep], place[keep])
 
 
 def given_anchors(data: np.ndarray, off: np.ndarray, places: pa.ListArray, length: int) -> tuple[np.ndarray, ...]:
@@ -296,7 +312,7 @@ def given_anchors(data: np.ndarray, off: np.ndarray, places: pa.ListArray, lengt
     row = np.repeat(np.arange(len(places)), np.diff(np.asarray(places.offsets)))
     most, least = code >> 8 & 255, code & 255
     pos = (code >> 16) + off[row]
-    fits = (pos - most >= off[row]) & (pos - least + length <= off[row + 1])  # places of another row with this doc_id need not
+    fits = (pos - most >= off[row]) & (pos - least + length <= off[row + 1])  # places of another text with this doc_id and hash need not
     row, pos, most, least = row[fits], pos[fits], most[fits], least[fits]
     h = np.zeros(len(pos), np.uint64)
     up, _ = powers(length)
@@ -327,11 +343,13 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, parts: int, hot:
     """Front-coded sorted runs (kind 0), the spans settled inside a run (kind 1), and the windows of the ``hot`` k-mers (kind 2)."""
     names = ["pid", "kind", "value"]
     for batch in batches:
-        ids, tags = int_column(batch, "__key"), int_column(batch, "__tag").astype(np.int32)
+        ids, tags = int_column(batch, "__key"), int_column(batch, "__tag")
         places = batch.column(batch.schema.get_field_index("__places"))
         for i, j, data, off in runs(batch):
             doc, tag = ids[i:j], tags[i:j]
             row, pos, most, least, h = given_anchors(data, off, places.slice(i, j - i), length)
+            new = first_rows(doc, tag)[row]
+            row, pos, most, least, h = row[new], pos[new], most[new], least[new], h[new]
             if not len(pos):
                 continue
             right = gather(data, pos, length - least, length)
@@ -401,9 +419,9 @@ def equal_windows(found: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray
 def united(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Unite the windows of each text: doc_id, tag, start, end."""
     # rows of one document: its doc_id and tag
-    pair = np.unique(np.stack([doc, tag.astype(np.int64)]), axis=1, return_inverse=True)
+    pair = np.unique(np.stack([doc, tag]), axis=1, return_inverse=True)
     key, a, b = spans(pair[1].reshape(-1), start, length)
-    return pair[0][0][key], pair[0][1][key].astype(np.int32), a, b
+    return pair[0][0][key], pair[0][1][key], a, b
 
 
 def merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -414,7 +432,7 @@ def merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
 
     def out(doc, tag, a, b):
         for i in range(0, len(doc), 50_000):
-            yield binary_batch(names, doc[i:i + 50_000], pa.array(tag[i:i + 50_000], pa.int32()), a[i:i + 50_000], b[i:i + 50_000])
+            yield binary_batch(names, doc[i:i + 50_000], tag[i:i + 50_000], a[i:i + 50_000], b[i:i + 50_000])
 
     for batch in batches:
         for kind, value in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -466,16 +484,15 @@ def merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Re
 KEPT = {"bytes": ("kept", "binary"), "text": ("kept_text", "string"), "sha256": ("kept_sha256", "string")}
 
 
-def cut(batches: Iterator[pa.RecordBatch], names: list[str], kept_as: str) -> Iterator[pa.RecordBatch]:
+def cut(batches: Iterator[pa.RecordBatch], kept_as: str) -> Iterator[pa.RecordBatch]:
     """Remove the spans of each row from its text."""
     for batch in batches:
         data, off = text_view(batch.column(batch.schema.get_field_index("text")))
         whole = data.tobytes()
-        lists, tags = batch.column(batch.schema.get_field_index("__spans")).to_pylist(), batch.column(batch.schema.get_field_index("__tag")).to_pylist()
         kept, size, gone, count = [], [], [], []
-        for i, found in enumerate(lists):
+        for i, found in enumerate(batch.column(batch.schema.get_field_index("__spans")).to_pylist()):
             row, parts, at, removed, n, end = whole[off[i]:off[i + 1]], [], 0, 0, 0, -1
-            for a, b in sorted((x["a"], x["b"]) for x in found or () if x["tag"] == tags[i]):
+            for a, b in sorted((x["a"], x["b"]) for x in found or ()):
                 n += a > end
                 end = max(end, b)
                 if b > at:
@@ -494,8 +511,8 @@ def cut(batches: Iterator[pa.RecordBatch], names: list[str], kept_as: str) -> It
             extra.append(pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()))
         else:
             extra.append(pa.array(kept, pa.binary()))
-        yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(x)) for x in names), *extra],
-                                         names=[*names, "n_bytes", "n_removed", "n_spans", KEPT[kept_as][0]])
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("__rest")), *extra],
+                                         names=["__rest", "n_bytes", "n_removed", "n_spans", KEPT[kept_as][0]])
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, kept_as: str = "bytes") -> DataFrame:
@@ -507,21 +524,21 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: str = "bytes") -
     ship(spark)
     ensure_checkpoint_dir(spark)
     parts, bound = shuffle_partitions(spark), HOT_ANCHORS
-    docs = docs.drop("n_bytes", "n_removed", "n_spans", KEPT[kept_as][0])
+    name, kind = KEPT[kept_as]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_bytes", "n_removed", "n_spans", name)]
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
-    rows = docs.withColumn("__key", key).withColumn("__tag", F.hash("text"))
-
-    hashes = docs.select(key.alias("doc_id"), "text").mapInArrow(lambda it: anchor_hashes(it, length, parts), "pid int, kind int, value binary")
-    places = hashes.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: shared_anchors(it, bound), "doc_id long, place long")
-    by_doc = places.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("place").alias("__places")).checkpoint()
-    # at most one k-mer in HOT_ANCHORS anchors
-    hot = np.array([h for r in by_doc.where("__id IS NULL").collect() for h in r["__places"]], np.uint64)
-    front = rows.join(by_doc, F.col("__key") == F.col("__id")).mapInArrow(lambda it: sorted_runs(it, length, parts, hot), "pid int, kind int, value binary")
-    spans_found = front.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: merge_runs(it, length), "doc_id long, tag int, a long, b long")
-    found = spans_found.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("tag", "a", "b")).alias("__spans"))
-    joined = rows.join(found, F.col("__key") == F.col("__id"), "left")
-
-    names = [c for c in docs.columns if c != "text"]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", n_bytes long, n_removed long, n_spans long, " + " ".join(KEPT[kept_as])
-    return joined.mapInArrow(lambda it: cut(it, names, kept_as), schema)
+    rows = docs.select(F.struct(*others).alias("__rest"), "text", key.alias("__key"), F.xxhash64("text").alias("__tag"))
+
+    hashes = rows.select(F.col("__key").alias("doc_id"), "__tag", "text").mapInArrow(lambda it: anchor_hashes(it, length, parts), "pid int, kind int, value binary")
+    places = hashes.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: shared_anchors(it, bound), "doc_id long, tag long, place long")
+    by_doc = places.groupBy(F.col("doc_id").alias("__id"), F.col("tag").alias("__of")).agg(F.collect_set("place").alias("__places")).checkpoint()
+    hottest = by_doc.where("__id IS NULL").select("__of", F.explode("__places").alias("h")).orderBy(F.desc("__of"), "h").limit(HOT_KMERS)
+    hot = spark.sparkContext.broadcast(np.array([r["h"] for r in hottest.collect()], np.int64).astype(np.uint64))
+    same = (F.col("__key") == F.col("__id")) & (F.col("__tag") == F.col("__of"))
+    front = rows.join(by_doc, same).mapInArrow(lambda it: sorted_runs(it, length, parts, hot.value), "pid int, kind int, value binary")
+    spans_found = front.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: merge_runs(it, length), "doc_id long, tag long, a long, b long")
+    found = spans_found.groupBy(F.col("doc_id").alias("__id"), F.col("tag").alias("__of")).agg(F.collect_set(F.struct("a", "b")).alias("__spans"))
+    schema = T.StructType([rows.schema["__rest"], *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
+                           T.StructField(name, T.BinaryType() if kind == "binary" else T.StringType())])
+    out = rows.join(found, same, "left").mapInArrow(lambda it: cut(it, kept_as), schema)
+    return out.select("__rest.*", "n_bytes", "n_removed", "n_spans", name)

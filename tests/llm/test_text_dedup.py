@@ -56,6 +56,30 @@ def test_suffix_dedup_of_odd_rows(odd_docs, no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
 
 
+def test_suffix_dedup_of_rows_that_share_a_doc_id(spark):
+    """Time and memory grow with the rows, whether these are alike or not; other columns may have any name."""
+    rng = random.Random(11)
+    own = ["".join(rng.choice("abcdefgh ") for _ in range(600)) for _ in range(3000)]
+    own[7:3000:500] = [t[:200] + own[3][300:] for t in own[7:3000:500]]
+    rows = [(None, t) for t in own] + [(5, own[0] + "x")] * 3000 + [(6, own[1][100:400])]
+    names = ["__id", "__key", "__tag", "__of", "__places", "__spans", "__rest", "__text"]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    got = suffix_dedup.remove_repeats(frame.select("*", *[F.lit(1).alias(n) for n in names]), 100, "sha256").cache()
+    assert rows_of(got, *COLUMNS) == brute_repeats(rows)
+    assert {"m", *names} < set(got.columns) and got.where("m['k'] = 1 AND __spans = 1").count() == len(rows)
+
+
+def test_suffix_dedup_merges_hot_kmers_it_is_not_told_of(spark, monkeypatch):
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrases = [word(70) for _ in range(5)]
+    texts = [word(60) + phrases[i % 5] + word(60) + phrases[i % 3] for i in range(300)]
+    monkeypatch.setattr(suffix_dedup, "HOT_ANCHORS", 20)
+    monkeypatch.setattr(suffix_dedup, "HOT_KMERS", 2)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert rows_of(suffix_dedup.remove_repeats(frame, 100, "sha256"), *COLUMNS) == brute_repeats(enumerate(texts))
+
+
 def test_suffix_dedup_keeps_valid_text(spark):
     base = "".join(map(chr, range(0xE0, 0xF7))) * 2 + "".join(f"{i:03d}" for i in range(60))
     frame = spark.createDataFrame([(1, base), (2, "x" + base[:110] + "y"), (3, "é" + base)], "doc_id long, text string")
