@@ -418,10 +418,11 @@ def equal_windows(found: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray
 
 def united(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Unite the windows of each text: doc_id, tag, start, end."""
-    # rows of one document: its doc_id and tag
-    pair = np.unique(np.stack([doc, tag]), axis=1, return_inverse=True)
-    key, a, b = spans(pair[1].reshape(-1), start, length)
-    return pair[0][0][key], pair[0][1][key], a, b
+    o, which = np.lexsort((tag, doc)), np.empty(len(doc), np.int64)
+    new = np.r_[True, (doc[o[1:]] != doc[o[:-1]]) | (tag[o[1:]] != tag[o[:-1]])]
+    which[o] = np.cumsum(new) - 1
+    key, a, b = spans(which, start, length)
+    return doc[o[new]][key], tag[o[new]][key], a, b
 
 
 def merge_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
