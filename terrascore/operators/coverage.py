@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..session import ensure_checkpoint_dir
 from .raster import reducer
 from .spatial import REGION_KEYS, _with_cell, cell_of
 
@@ -39,7 +40,8 @@ class CoverageIndex:
 
     @classmethod
     def build(cls, region_df: DataFrame, cell_deg: float, pixel_deg: float, max_rows: int, max_bytes: int = 256 << 20) -> "CoverageIndex":
-        df = coverage_cells(region_df, cell_deg, pixel_deg)
+        ensure_checkpoint_dir(region_df.sparkSession)
+        df = coverage_cells(region_df, cell_deg, pixel_deg).checkpoint()
         stats = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
         size = stats["rows"] * cls.ROW_BYTES + stats["edges"] * cls.EDGE_BYTES
         return cls(df, float(cell_deg), float(pixel_deg), stats["rows"] <= max_rows and size <= max_bytes)
@@ -91,7 +93,8 @@ def pixels_covered(pixels: DataFrame, index: CoverageIndex, name: str = "coverag
     side = F.broadcast(side) if index.broadcastable else side
     met = p.join(side, (p["_cx"] == side["_icx"]) & (p["_cy"] == side["_icy"]))
     share = covered_share(F.col("lon"), F.col("lat"), F.col("edges"), index.pixel_deg)
-    return met.withColumn(name, share).where(F.col(name) > LEAST).drop("_cx", "_cy", "_icx", "_icy", "edges")
+    # as an exploded column the share is worked out once, not in the filter and again after it
+    return met.withColumn(name, F.explode(F.array(share))).where(F.col(name) > LEAST).drop("_cx", "_cy", "_icx", "_icy", "edges")
 
 
 def clip_covered(pixels: DataFrame, index: CoverageIndex) -> DataFrame:
@@ -103,6 +106,7 @@ def clip_covered(pixels: DataFrame, index: CoverageIndex) -> DataFrame:
 
 def zonal_covered(pixels: DataFrame, index: CoverageIndex, kind: str, value: str = "value", keys: Sequence[str] = ("month",),
                   out: str | None = None) -> DataFrame:
-    """Zonal mean or sum of each region, each pixel weighted by its covered share."""
-    met = pixels_covered(pixels, index, "_coverage")
+    """Zonal mean or sum of each region, each pixel weighted by its covered share. A place has many rows (months,
+    bands) but one share in each region: that is worked out once a place and joined to the rows."""
+    met = pixels.join(pixels_covered(pixels.select("lon", "lat").distinct(), index, "_coverage"), ["lon", "lat"])
     return met.groupBy(*REGION_KEYS, *keys).agg(reducer(kind, value, "_coverage").alias(out or value), reducer("sum", "_coverage").alias("covered_pixels"))

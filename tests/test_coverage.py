@@ -63,6 +63,23 @@ def test_weighted_zonal_mean_and_sum(spark):
     assert mean.value == pytest.approx(30.0) and total.value == pytest.approx(45.0) and mean.covered_pixels == pytest.approx(1.5)
 
 
+def test_a_share_is_worked_out_once_a_place(spark, monkeypatch):
+    """Months and bands of a place share its covered shares; a place whose centre differs in one month has its own."""
+    half = [[[0.5, 0.0], [2.0, 0.0], [2.0, 1.0], [0.5, 1.0], [0.5, 0.0]]]
+    feats = spark.createDataFrame([(0, "h", "Polygon", json.dumps(half))], "region_id long, field_id string, geom_type string, coordinates string")
+    rows = [(f"m{m}", x, 0, x + 0.5, 0.5, 10.0 * (m + 1) * (x + 1)) for m in range(20) for x in range(2)]
+    rows += [("m20", 0, 0, 0.75, 0.5, 8.0), ("m20", 1, 0, 1.5, 0.5, 4.0), ("m20", 1, 0, 1.5, 0.5, None), ("m21", 1, 0, None, 0.5, 1.0)]
+    px = spark.createDataFrame(rows, "month string, ix int, iy int, lon double, lat double, value double")
+    idx = CV.CoverageIndex.build(SP.regions(feats), 0.4, 1.0, 1_000_000)
+    places, covered = [], CV.pixels_covered
+    monkeypatch.setattr(CV, "pixels_covered", lambda p, *rest: places.append(p.count()) or covered(p, *rest))
+    got = {r.month: (r.value, r.covered_pixels) for r in CV.zonal_covered(px, idx, "mean").collect()}
+    assert places == [4]  # of 44 rows
+    assert got == {f"m{m}": (pytest.approx((m + 1) * 10 * (0.5 + 2) / 1.5), 1.5) for m in range(20)} | {"m20": (pytest.approx((8 * 0.75 + 4) / 1.75), 2.75)}
+    plan = CV.pixels_covered(px, idx)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("least(greatest((-aggregate(") == 1
+
+
 def test_a_series_of_covered_shares(spark):
     """The extraction job of a source with a pixel size: weights are filled in, and a field smaller than a pixel gets its value."""
     from terrascore.config import PipelineConfig, SourceSpec
