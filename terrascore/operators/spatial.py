@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..session import ensure_checkpoint_dir
 from .raster import reducer
 
 REGION_KEYS = ("region_id", "field_id")
@@ -31,9 +32,10 @@ REGION_KEYS = ("region_id", "field_id")
 def regions(features: DataFrame) -> DataFrame:
     """Feature rows ``(region_id, field_id, geom_type, coordinates)`` →
     ``region_id, field_id, parts, edges, min_x, min_y, max_x, max_y``.
-    Rows whose geometry is not a (Multi)Polygon get null parts and no edges."""
+    Rows whose geometry is not a (Multi)Polygon get null parts and no edges. A file of many polygons is small and read by one
+    task, so the rows are dealt out before their geometry is worked on."""
     parts = G.parts_from_geojson("geom_type", "coordinates")
-    with_parts = features.select("region_id", "field_id", parts.alias("parts"))
+    with_parts = features.repartition(max(1, int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")))).select("region_id", "field_id", parts.alias("parts"))
     box = G.bbox("parts")
     return with_parts.select(
         "region_id", "field_id", "parts",
@@ -93,7 +95,8 @@ class SpatialIndex:
     @classmethod
     def build(cls, region_df: DataFrame, cell_deg: float, max_rows: int,
               max_bytes: int = 256 << 20) -> "SpatialIndex":
-        idx = cell_index(region_df, cell_deg)
+        ensure_checkpoint_dir(region_df.sparkSession)
+        idx = cell_index(region_df, cell_deg).checkpoint()  # worked out once, not for each series that uses it
         stats = idx.agg(F.count(F.lit(1)).alias("rows"),
                         F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges"),
                         F.count_distinct("cx", "cy").alias("cells")).collect()[0]

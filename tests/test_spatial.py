@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrascore.functions.geometry import point_in_polygon
+from terrascore.operators import coverage as CV
 from terrascore.operators import raster as R
 from terrascore.operators import spatial as SP
 from terrascore.plans import testdata as TD
@@ -144,3 +145,16 @@ def test_soil_is_clipped_before_its_shuffle(spark):
     plan = catalog.QUERIES["job_soil"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     semi = plan.index("LeftSemi")
     assert "Aggregate [ix" in plan[:semi] and "Aggregate [ix" not in plan[semi:]
+
+
+def test_the_index_is_worked_out_once_by_many_tasks(spark, monkeypatch):
+    """Polygons read by one task are dealt out, and no use of an index parses them again."""
+    ring = [[[0.0, 0.0], [2.0, 0.0], [2.0, 2.0], [0.0, 2.0], [0.0, 0.0]]]
+    feats = spark.createDataFrame([(i, f"f{i}", "Polygon", json.dumps(ring)) for i in range(40)],
+                                  "region_id long, field_id string, geom_type string, coordinates string").coalesce(1)
+    regions = SP.regions(feats)
+    assert len([n for n in regions.groupBy(F.spark_partition_id()).count().collect()]) > 1
+    for index in (SP.SpatialIndex.build(regions, 1.0, 1_000_000), CV.CoverageIndex.build(regions, 1.0, 0.5, 1_000_000)):
+        plan = index.df._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan and "filter(" not in plan
+        assert index.df.select("region_id").distinct().count() == 40
