@@ -21,6 +21,8 @@ RUN_BYTES = 8 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 _SHIPPED: set[str] = set()
+#: What a worker remembers between the tasks of one operator, dropped by ``release``.
+REMEMBERED: list[dict] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -78,7 +80,10 @@ def runs(batch: pa.RecordBatch, text: str = "text", limit: int = RUN_BYTES) -> I
 
 
 def release() -> None:
-    """Give freed memory back at the end of a task, as workers live on and share their executor's limit with the next stage."""
+    """Give freed memory back at the end of a task, as workers live on and share their executor's limit with the next stage.
+    What the tasks of another operator left in the worker goes too: it is made anew when needed."""
+    for kept in REMEMBERED:
+        kept.clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
     if trim:
@@ -104,6 +109,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 #: A random-looking 64-bit value for each byte.
 BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _POWERS: dict[str, np.ndarray] = {}
+REMEMBERED.append(_POWERS)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

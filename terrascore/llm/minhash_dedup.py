@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -326,11 +327,26 @@ def candidates(dealt: DataFrame, held: DataFrame, percent: int, best: bool) -> D
     return laid_out(dealt, held, F.col("sig")).mapInArrow(lambda it: merge_posts(it, percent, best), "a long, b long").distinct()
 
 
+def shared_posts(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
+    """rep and post, one row for each of a row's posts that may be wanted."""
+    found = unpack(wanted.value)[0]
+    for batch in batches:
+        lists = batch.column(1)
+        keep = pa.array(may_hold(found, np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pc.list_parent_indices(lists).filter(keep)), lists.flatten().filter(keep)], names=["rep", "post"])
+
+
+def held_rows(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
+    """The rows whose id may be wanted."""
+    found = unpack(wanted.value)[0]
+    for batch in batches:
+        yield batch.filter(pa.array(may_hold(found, int_column(batch, "id"))))
+
+
 def packed_texts(batches: Iterator[pa.RecordBatch], wanted: Broadcast) -> Iterator[pa.RecordBatch]:
     """id and compressed text of the rows whose id may be wanted."""
-    squeeze, found = zstandard.ZstdCompressor(level=1).compress, unpack(wanted.value)[0]
-    for batch in batches:
-        keep = batch.filter(pa.array(may_hold(found, int_column(batch, "id"))))
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for keep in held_rows(batches, wanted):
         for i, j, data, off in runs(keep, limit=RUN):
             whole = data.tobytes()
             yield pa.RecordBatch.from_arrays([keep.column(0).slice(i, j - i), pa.array([squeeze(whole[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary())],
@@ -368,8 +384,10 @@ def confirm(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iter
 
 def confirmed(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b), a table, whose whole texts are linked; texts: id, z. Only texts of the pairs are sent,
-    those of a hub once to each task."""
-    of = lambda c: texts.join(pairs.select(F.col(c).alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias(c), F.col("z").alias(f"z{c}"))
+    those of a hub once to each task: the others are left behind by a key filter, before any shuffle."""
+    wanted = key_filter(pairs.select(F.explode(F.array("a", "b")).alias("key")))
+    near = texts.mapInArrow(lambda it: held_rows(it, wanted), "id long, z binary")
+    of = lambda c: near.join(pairs.select(F.col(c).alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias(c), F.col("z").alias(f"z{c}"))
     met = join_values(pairs.join(of("b"), "b"), of("a"), "a", "b", pairs)
     return met.select("a", "b", "za", "zb").mapInArrow(lambda it: confirm(it, words, percent), "a long, b long").distinct()
 
@@ -388,8 +406,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     matches = least_matches(percent)
     # a smaller set can only be linked with its equals
     least = next(n for n in range(1, 102) if 100 * n >= percent * (n + 1) or n == 101)
-    posted = classes.where(F.col("n") >= least).select("rep", F.explode("posts").alias("post"))
-    shared = posted.groupBy("post").agg(F.count(F.lit(1)).alias("f"), F.min("rep").alias("first")).where("f > 1")
+    posting = classes.where(F.col("n") >= least)
+    shared = (posting.select("rep", F.explode("posts").alias("post")).groupBy("post")
+              .agg(F.count(F.lit(1)).alias("f"), F.min("rep").alias("first")).where("f > 1").checkpoint())
+    common = key_filter(shared.select(F.col("post").alias("key")))  # the posts that no other class has don't go to the join
+    posted = posting.select("rep", "posts").mapInArrow(lambda it: shared_posts(it, common), "rep long, post long")
     of_rep = (join_counted(posted, shared, ["post"], "f", base.count() * COORDINATES, "rep").groupBy("rep")
               .agg(F.array_sort(F.collect_list(F.struct("f", "post", "first"))).alias("posts")).where(F.size("posts") >= matches))
     firsts = F.col("posts.first")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs, ship
+from .common import REMEMBERED, runs, ship
 
 #: Distinct words that a worker remembers; then it forgets all and starts anew.
 WORDS_KEPT = 500_000
@@ -128,6 +128,7 @@ class WordEncoder:
 
 #: One encoder a worker and tokenizer file: tasks that follow one another know each other's words.
 _ENCODERS: dict[str, WordEncoder] = {}
+REMEMBERED.append(_ENCODERS)
 
 
 def binary_pieces(stop: np.ndarray, full: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

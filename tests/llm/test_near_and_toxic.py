@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from terrascore.llm import fingerprints, minhash_dedup, toxicity
+from terrascore.llm import common, fingerprints, minhash_dedup, packing, toxicity
 
 from .conftest import rows_of
 
@@ -58,6 +58,41 @@ def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     assert minhash_dedup.near_duplicates(no_docs).count() == 0
 
 
+def test_only_shared_posts_and_wanted_texts_are_sent(spark, monkeypatch):
+    """Posts that no other class has don't go to the join, nor texts without a pair to the shuffle of their confirmation."""
+    alone = [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(400)]
+    pair = [(1000 + i, " ".join(["same"] * i + [f"p{j}" for j in range(60)])) for i in range(2)]
+    joined, sent = [], []
+    counted, values = minhash_dedup.join_counted, minhash_dedup.join_values
+
+    def watch_posts(left, right, keys, *rest):
+        joined.append((keys, left.count()))
+        return counted(left, right, keys, *rest)
+
+    def watch_texts(pairs, texts, *rest):
+        sent.append(texts.count())
+        return values(pairs, texts, *rest)
+
+    monkeypatch.setattr(minhash_dedup, "join_counted", watch_posts)
+    monkeypatch.setattr(minhash_dedup, "join_values", watch_texts)
+    held, kept = [], minhash_dedup.held_rows
+    monkeypatch.setattr(minhash_dedup, "key_filter", lambda keys, f=minhash_dedup.key_filter: held.append(keys.count()) or f(keys))
+    rows = alone + pair
+    assert rows_of(minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2), *COLUMNS) == brute_components(rows, 2)
+    assert [n for keys, n in joined if keys == ["post"]][0] <= 2 * minhash_dedup.COORDINATES + 40  # of 402 x 32
+    assert max(sent) <= 2 and len(held) == 5  # shared posts, held texts, and each round's pairs
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3])], names=["id"])
+    wanted = minhash_dedup.key_filter(spark.createDataFrame([(2,)], "key long"))
+    assert [b.column(0).to_pylist() for b in kept(iter([batch]), wanted)] == [[2]]
+
+
+def test_a_worker_forgets_other_operators():
+    common.powers(1 << 12)
+    packing._ENCODERS["path"] = object()
+    common.release()
+    assert not common._POWERS and not packing._ENCODERS
+
+
 def test_chains_and_large_groups(spark):
     """A chain of texts, each near the next only, and a group of near copies that needs several blocks."""
     word = lambda i: f"w{i}"
