@@ -79,15 +79,25 @@ def runs(batch: pa.RecordBatch, text: str = "text", limit: int = RUN_BYTES) -> I
         i = j
 
 
+def trim() -> None:
+    """Give freed memory back, as workers live on and share their executor's limit with the next stage."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if give:
+        give(0)
+
+
 def release() -> None:
-    """Give freed memory back at the end of a task, as workers live on and share their executor's limit with the next stage.
-    What the tasks of another operator left in the worker goes too: it is made anew when needed."""
+    """Give memory back at the end of a task. What the tasks of another operator left in the worker goes too: it is made anew when needed."""
     for kept in REMEMBERED:
         kept.clear()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
-    if trim:
-        trim(0)
+    trim()
+
+
+def releasing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task that gives its memory back after the last."""
+    yield from batches
+    release()
 
 
 def int_column(batch: pa.RecordBatch, name: str, null: int = -(1 << 63)) -> np.ndarray:

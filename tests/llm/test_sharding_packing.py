@@ -80,6 +80,53 @@ def test_words_as_the_tokenizer_splits_them(small, monkeypatch):
             assert out[a:b].tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 1], t[:80]
 
 
+def test_a_worker_remembers_parts_of_words_and_forgets_old_ones(monkeypatch):
+    encoder = packing.WordEncoder(WORD_BPE)
+    encoder.encode([b" ".join(b"It's%d,x%d" % (i, i % 7) for i in range(1000))], 1)
+    assert len(encoder.known) <= 15  # it, 's, x, the comma and ten digits; not a thousand words
+    monkeypatch.setattr(packing, "WORDS_KEPT", 50)
+    for i in range(20):
+        encoder.encode([" ".join(chr(97 + i) + chr(97 + j) * 9 for j in range(26)).encode() + b" often"], 1)
+        assert len(encoder.known) + len(encoder.older) <= 2 * (50 + 27) and (b"often" in encoder.known or b"often" in encoder.older)
+    monkeypatch.setattr(packing, "BYTES_KEPT", 1000)  # long words count by their bytes
+    for i in range(5):
+        encoder.encode([("\u4e00" + chr(0x4E00 + i)).encode() * 400], 1)
+        assert i < 2 or len(encoder.known) + len(encoder.older) <= 2
+
+
+@pytest.mark.parametrize("direct", [True, False])
+def test_any_text_is_split_as_by_the_tokenizer(direct):
+    from tokenizers import Tokenizer
+
+    rng, tokenizer, encoder = np.random.default_rng(3), Tokenizer.from_file(WORD_BPE), packing.WordEncoder(WORD_BPE)
+    encoder.direct = direct
+    signs = [*"aAsStTmMdDrReEvVlLzZ""<|>0123  \n\t.,;!-", "'s", "'RE", "'ll", "<|", "<|endoftext|>", "\x1c", "\x85", "\xa0", "\x00",
+             *("'" * 9), *"éÉÀÖ×ØÞßà÷øÿÝ", "\u0301", "İ", "Σ", "ς", "ж", "Ж", "字", "٣", "²", "½", "😀", "ﬁ", "\u200b", "\u2028"]
+    texts = ["".join(rng.choice(signs, n)) for n in [*range(8), *rng.integers(0, 60, 1500).tolist()]] + ["'", "x'", "'s", "''s", "'sv", "'r", "'", "e"]
+    for some in (texts, texts[:1], [], [""], ["é"], ["x", "'", "s", "'", "", "re"]):
+        out, stop = encoder.encode([t.encode() for t in some], 7)
+        for t, a, b in zip(some, [0, *stop[:-1]], stop, strict=False):
+            assert out[a:b].tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 7], repr(t)
+        assert len(stop) == len(some) and len(out) == (stop[-1] if some else 0)
+
+
+def test_long_documents_go_on_a_few_pieces_at_a_time(monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 300)
+    texts = ["ab, " * 9000, None, "", "x " * 700, *["one two 3"] * 50]
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *range(len(texts) - 1)], pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    monkeypatch.setattr(packing, "PIECES", 3)
+    got = list(packing.pack_batches(iter([batch.slice(0, 2), batch.slice(2)]), WORD_BPE, 2048, 1))
+    assert max(map(len, got)) <= 3
+    rows, encoder = [r for b in got for r in b.to_pylist()], packing.WordEncoder(WORD_BPE)
+    assert [r["sequence_id"] for r in rows] == list(range(len(rows)))
+    for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+        own = [r for r in rows if r["doc_id"] == doc]
+        ids = encoder.encode([(text or "").encode()], 1)[0].tobytes()
+        assert b"".join(r["ids"] for r in own) == ids and {r["doc_tokens"] for r in own} == {len(ids) // 4}
+        assert [r["start"] for r in own] == np.cumsum([0, *(r["length"] for r in own)])[:-1].tolist()
+        assert [len(r["ids"]) for r in own] == [4 * r["length"] for r in own]
+
+
 def test_buckets_hold_one_length(small, tmp_path):
     pieces = packing.pack_documents(small[0].limit(20), WORD_BPE)
     packing.write_buckets(pieces, str(tmp_path / "out"))
