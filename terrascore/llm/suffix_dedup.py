@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from .common import BYTE_HASH, binary_batch, int_column, mix, pack, prefix_hash, powers, runs, shuffle_partitions, ship, text_view, unpack
+from .common import BYTE_HASH, binary_batch, int_column, mix, pack, prefix_hash, powers, releasing, runs, shuffle_partitions, ship, text_view, unpack
 
 #: k-mers of one window; a power of two, so that minima are found by doubling.
 WINDOW_KMERS = 64
@@ -530,16 +530,16 @@ def remove_repeats(docs: DataFrame, length: int = 100, kept_as: str = "bytes") -
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
     rows = docs.select(F.struct(*others).alias("__rest"), "text", key.alias("__key"), F.xxhash64("text").alias("__tag"))
 
-    hashes = rows.select(F.col("__key").alias("doc_id"), "__tag", "text").mapInArrow(lambda it: anchor_hashes(it, length, parts), "pid int, kind int, value binary")
-    places = hashes.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: shared_anchors(it, bound), "doc_id long, tag long, place long")
+    hashes = rows.select(F.col("__key").alias("doc_id"), "__tag", "text").mapInArrow(lambda it: releasing(anchor_hashes(it, length, parts)), "pid int, kind int, value binary")
+    places = hashes.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: releasing(shared_anchors(it, bound)), "doc_id long, tag long, place long")
     by_doc = places.groupBy(F.col("doc_id").alias("__id"), F.col("tag").alias("__of")).agg(F.collect_set("place").alias("__places")).checkpoint()
     hottest = by_doc.where("__id IS NULL").select("__of", F.explode("__places").alias("h")).orderBy(F.desc("__of"), "h").limit(HOT_KMERS)
     hot = spark.sparkContext.broadcast(np.array([r["h"] for r in hottest.collect()], np.int64).astype(np.uint64))
     same = (F.col("__key") == F.col("__id")) & (F.col("__tag") == F.col("__of"))
-    front = rows.join(by_doc, same).mapInArrow(lambda it: sorted_runs(it, length, parts, hot.value), "pid int, kind int, value binary")
-    spans_found = front.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: merge_runs(it, length), "doc_id long, tag long, a long, b long")
+    front = rows.join(by_doc, same).mapInArrow(lambda it: releasing(sorted_runs(it, length, parts, hot.value)), "pid int, kind int, value binary")
+    spans_found = front.repartitionById(parts, F.col("pid")).mapInArrow(lambda it: releasing(merge_runs(it, length)), "doc_id long, tag long, a long, b long")
     found = spans_found.groupBy(F.col("doc_id").alias("__id"), F.col("tag").alias("__of")).agg(F.collect_set(F.struct("a", "b")).alias("__spans"))
     schema = T.StructType([rows.schema["__rest"], *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
                            T.StructField(name, T.BinaryType() if kind == "binary" else T.StringType())])
-    out = rows.join(found, same, "left").mapInArrow(lambda it: cut(it, kept_as), schema)
+    out = rows.join(found, same, "left").mapInArrow(lambda it: releasing(cut(it, kept_as)), schema)
     return out.select("__rest.*", "n_bytes", "n_removed", "n_spans", name)

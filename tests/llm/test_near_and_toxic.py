@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from terrascore.llm import common, fingerprints, minhash_dedup, packing, toxicity
+from terrascore.llm import common, fingerprints, minhash_dedup, packing, suffix_dedup, toxicity
 
 from .conftest import rows_of
 
@@ -93,6 +93,20 @@ def test_a_worker_forgets_other_operators():
     assert not common._POWERS and not packing._ENCODERS
 
 
+def test_tasks_of_suffix_dedup_leave_nothing_in_the_workers(spark):
+    def remembered(batches):
+        from terrascore.llm import common
+
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, common.REMEMBERED))], pa.int32())], names=["n"])
+
+    rows = [(i, "some words that stand in all of the texts, more than a hundred bytes of them, so that a window is found " + str(i % 3)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert suffix_dedup.remove_repeats(docs, 100).where("n_removed > 0").count() == 39
+    assert {r.n for r in spark.range(0, 16, 1, 16).mapInArrow(remembered, "n int").collect()} == {0}
+
+
 def test_chains_and_large_groups(spark):
     """A chain of texts, each near the next only, and a group of near copies that needs several blocks."""
     word = lambda i: f"w{i}"
